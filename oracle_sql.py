@@ -307,4 +307,73 @@ FROM m""")
     o["high_water_ts"] = f"WITH feed AS ({feed}) SELECT max(epoch_ts) AS high_water FROM feed"
     o["slice_epoch"] = slice_epoch_sql()
     o["slice_timestamp"] = slice_timestamp_sql()
+    o.update(io_oracles())
+    return o
+
+
+# ------------------------------------------------------- loads / writes -----
+
+ARRIVALS = 4
+ROWS_PER_OBJECT = 1000
+_UNIFIED_COLS = "uid, utype, cid, att1, att2, att3, ad, createddate"
+_LOAD_COLS = "uid, utype, createddate, cid, att1, att2, att3, ad"
+
+
+def _arrival_case(col: str = "epoch") -> str:
+    hi = "(SELECT max(epoch) FROM feed)"
+    bounds = ["-1"] + [f"(-1 + ({hi} + 1) * {i} // {ARRIVALS})" for i in range(1, ARRIVALS)] + [hi]
+    whens = " ".join(f"WHEN {col} <= {b} THEN {i + 1}" for i, b in enumerate(bounds[1:]))
+    return f"CASE {whens} END"
+
+
+def _late_ctes(feed: str) -> str:
+    return f"""feed AS ({feed}),
+t AS (SELECT *, {_arrival_case()} AS arrival_no FROM feed),
+marks AS (SELECT arrival_no, max(epoch_ts) AS m FROM t GROUP BY arrival_no),
+prev AS (SELECT arrival_no, max(m) OVER (ORDER BY arrival_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+         AS mark_at_arrival FROM marks)"""
+
+
+def replay_arrivals_sql(feed: str) -> str:
+    return (f"WITH feed AS ({feed}) SELECT {profile_cols()} FROM ("
+            f"{replay_sql('feed', FEED_POLICY, _arrival_case())})")
+
+
+def _dirty_feed(feed: str) -> str:
+    """The feed as the loader returns it: the text edits of the object writer applied,
+    with the reject reason of every row (NULL for loaded rows)."""
+    return f"""SELECT uid, utype, createddate, cid,
+  CASE WHEN epoch % 79 = 3 THEN '"' || att1 WHEN epoch % 73 = 4 THEN att1 || ',x\\y' ELSE att1 END AS att1,
+  att2, att3, ad, epoch // {ROWS_PER_OBJECT} AS object_no,
+  CASE WHEN epoch % 97 = 5 THEN 'short row' WHEN epoch % 89 = 7 THEN 'long row'
+       WHEN epoch % 83 = 11 THEN 'unparsable att2' END AS reason
+FROM ({feed})"""
+
+
+def io_oracles() -> dict[str, str]:
+    feed = profile_feed_sql()
+    o: dict[str, str] = {}
+    o["incremental_unify_merge"] = replay_arrivals_sql(feed)
+    o["stream_unify_merge"] = replay_arrivals_sql(feed)
+    o["resume_from_checkpoint"] = replay_arrivals_sql(feed)
+    o["staging_reset"] = f"WITH feed AS ({feed}) SELECT {_UNIFIED_COLS} FROM feed WHERE false"
+    o["incremental_append"] = (f"WITH {_late_ctes(feed)} SELECT {_FEED_COLS} FROM t JOIN prev USING (arrival_no) "
+                               f"WHERE mark_at_arrival IS NULL OR epoch_ts > mark_at_arrival")
+    o["late_rows_report"] = (f"WITH {_late_ctes(feed)} SELECT epoch, epoch_ts, arrival_no, mark_at_arrival "
+                             f"FROM t JOIN prev USING (arrival_no) WHERE epoch_ts <= mark_at_arrival")
+    o["slice_append"] = f"WITH feed AS ({feed}) SELECT {_FEED_COLS} FROM feed"
+    o["stream_append"] = f"WITH feed AS ({feed}) SELECT {_FEED_COLS} FROM feed"
+    o["align_insert"] = (f"WITH feed AS ({feed}) SELECT uid, utype, CAST(NULL AS BIGINT) AS epoch, createddate, "
+                         f"CAST(NULL AS TIMESTAMP) AS epoch_ts, cid, att1, att2, att3, ad "
+                         f"FROM ({unify_sql('feed', FEED_POLICY)})")
+    dirty = _dirty_feed(feed)
+    o["ingest_delimited"] = f"SELECT {_LOAD_COLS} FROM ({dirty}) WHERE reason IS NULL"
+    o["ingest_multi_file"] = f"SELECT object_no, {_LOAD_COLS} FROM ({dirty}) WHERE reason IS NULL"
+    o["ingest_rejects"] = (f"SELECT object_no, reason, count(*) AS rows FROM ({dirty}) "
+                           f"WHERE reason IS NOT NULL GROUP BY object_no, reason")
+    o["ingest_file_stats"] = (f"SELECT object_no, count(*) FILTER (WHERE reason IS NULL) AS rows_loaded, "
+                              f"count(*) FILTER (WHERE reason IS NOT NULL) AS rows_rejected "
+                              f"FROM ({dirty}) GROUP BY object_no")
+    o["ingest_manifest"] = (f"SELECT DISTINCT object_no, true AS present FROM ({dirty}) "
+                            f"UNION ALL SELECT CAST(NULL AS BIGINT) AS object_no, false AS present")
     return o

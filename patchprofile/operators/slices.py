@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -68,3 +68,33 @@ def labelled_slices(df: DataFrame, col: str, bounds: list[Any], label: str = "sl
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def slice_number(col: str, bounds: list[Any]) -> Column:
+    """1-based number of the slice ``(bounds[i], bounds[i+1]]`` holding ``col``; NULL outside."""
+    c = F.col(col)
+    expr = None
+    for i in range(1, len(bounds)):
+        cond = c <= F.lit(bounds[i])
+        if i == 1 and bounds[0] is not None:
+            cond = (c > F.lit(bounds[0])) & cond
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    return expr
+
+
+def late_rows(df: DataFrame, arrival: Column, ts_col: str) -> DataFrame:
+    """Rows an ingest-time slicer never picks up.
+
+    ``arrival`` numbers the loads in commit order. After load ``a`` the slicer's
+    mark is ``max(ts_col)`` of loads ``<= a``; a row of load ``a`` whose
+    ``ts_col`` is not above the mark left by loads ``< a`` falls behind the
+    mark and is never appended. The per-load marks are one row per load, so
+    the running maximum over them and its broadcast are bounded by the number
+    of loads, not by the data.
+    """
+    tagged = df.withColumn("arrival_no", arrival)
+    marks = tagged.groupBy("arrival_no").agg(F.max(ts_col).alias("_mark"))
+    before = Window.orderBy("arrival_no").rowsBetween(Window.unboundedPreceding, -1)
+    prev = marks.select("arrival_no", F.max("_mark").over(before).alias("mark_at_arrival"))
+    return (tagged.join(F.broadcast(prev), "arrival_no")
+            .filter(F.col(ts_col) <= F.col("mark_at_arrival")))

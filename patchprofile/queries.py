@@ -199,3 +199,7 @@ def slice_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounds = split_bounds(row["lo"], row["hi"], SLICES)
     bounds[0] = None
     return labelled_slices(feed, "epoch_ts", bounds)
+
+
+# queries that write (staging, snapshots, objects, streams) register themselves on import
+from patchprofile import queries_io  # noqa: E402,F401
