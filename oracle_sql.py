@@ -56,7 +56,7 @@ FROM orders"""
 def wide_feed_sql(n: int = WIDE_COLUMNS) -> str:
     atts = ",\n       ".join(
         f"CASE WHEN (event_id + {j}) % 3 = 0 THEN NULL "
-        f"ELSE event_type || '_' || CAST(event_id % {j + 7} AS VARCHAR) END AS att{j}"
+        f"ELSE event_type || '_' || CAST(event_id % {j % 7 + 7} AS VARCHAR) END AS att{j}"
         for j in range(n))
     return f"""
 SELECT user_id AS uid,

@@ -54,20 +54,27 @@ class BatchSize:
     bytes: int
 
 
-def batch_size(batch: DataFrame) -> BatchSize:
-    """Measured in-memory size of a batch: one aggregate job over it.
-
-    Strings and binaries count their bytes; every field also counts an 8-byte
-    slot, and each row a 16-byte header (the layout of Spark's unsafe rows).
-    """
+def size_exprs(schema: T.StructType) -> list:
+    """Aggregates giving (rows ``n``, variable bytes ``v``) of a frame with ``schema``;
+    usable in ``agg`` or in ``observe`` on a write that happens anyway."""
     var = [F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
-           for f in batch.schema.fields
+           for f in schema.fields
            if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    fixed = 16 + 8 * len(batch.schema.fields)
     var_sum = F.sum(sum(var[1:], var[0])) if var else F.lit(0)
-    row = batch.agg(F.count(F.lit(1)).alias("n"), var_sum.alias("v")).first()
-    n, v = int(row["n"]), int(row["v"] or 0)
-    return BatchSize(n, n * fixed + v)
+    return [F.count(F.lit(1)).alias("n"), F.coalesce(var_sum, F.lit(0)).cast("long").alias("v")]
+
+
+def to_batch_size(schema: T.StructType, n: int, v: int) -> BatchSize:
+    """Strings and binaries count their bytes; every field also counts an 8-byte
+    slot, and each row a 16-byte header (the layout of Spark's unsafe rows)."""
+    fixed = 16 + 8 * len(schema.fields)
+    return BatchSize(int(n), int(n) * fixed + int(v or 0))
+
+
+def batch_size(batch: DataFrame) -> BatchSize:
+    """Measured in-memory size of a batch: one aggregate job over it."""
+    row = batch.agg(*size_exprs(batch.schema)).first()
+    return to_batch_size(batch.schema, row["n"], row["v"])
 
 
 def broadcast_limit(spark) -> int:
@@ -81,11 +88,12 @@ def broadcast_limit(spark) -> int:
 
 def merge(target: DataFrame, batch: DataFrame, policy: ColumnPolicy, *,
           clear_on_insert: bool = False, null_marker_keys: bool = False,
-          strategy: str = "auto", max_broadcast_bytes: int | None = None) -> DataFrame:
+          strategy: str = "auto", max_broadcast_bytes: int | None = None,
+          known_size: BatchSize | None = None) -> DataFrame:
     """New profile rows (the columns of ``policy.profile_columns()``)."""
     tagged = merge_tagged(target, batch, policy, clear_on_insert=clear_on_insert,
                           null_marker_keys=null_marker_keys, strategy=strategy,
-                          max_broadcast_bytes=max_broadcast_bytes)
+                          max_broadcast_bytes=max_broadcast_bytes, known_size=known_size)
     return tagged.drop(STATE)
 
 
@@ -106,8 +114,12 @@ def merge_counts(tagged: DataFrame) -> DataFrame:
 
 def merge_tagged(target: DataFrame, batch: DataFrame, policy: ColumnPolicy, *,
                  clear_on_insert: bool = False, null_marker_keys: bool = False,
-                 strategy: str = "auto", max_broadcast_bytes: int | None = None) -> DataFrame:
-    """Merged profile plus a ``__state`` column: updated / inserted / untouched."""
+                 strategy: str = "auto", max_broadcast_bytes: int | None = None,
+                 known_size: BatchSize | None = None) -> DataFrame:
+    """Merged profile plus a ``__state`` column: updated / inserted / untouched.
+
+    ``known_size`` is the batch size measured earlier (e.g. observed while the
+    batch was staged); without it ``auto`` runs one aggregate over the batch."""
     cols = policy.profile_columns()
     keys = list(policy.keys)
     values = [c for c in cols if c not in keys]
@@ -117,7 +129,8 @@ def merge_tagged(target: DataFrame, batch: DataFrame, policy: ColumnPolicy, *,
 
     if strategy == "auto":
         limit = max_broadcast_bytes or broadcast_limit(batch.sparkSession)
-        strategy = "broadcast" if batch_size(batch).bytes <= limit else "shuffle"
+        size = known_size if known_size is not None else batch_size(batch)
+        strategy = "broadcast" if size.bytes <= limit else "shuffle"
 
     renamed = batch.select(*keys, *[F.col(c).alias(_u(c)) for c in values], F.lit(True).alias(_U))
     flagged_target = target.withColumn(_T, F.lit(True))

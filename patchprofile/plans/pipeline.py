@@ -18,7 +18,8 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from patchprofile.operators.merge import INSERTED, STATE, UNTOUCHED, UPDATED, merge_tagged
+from patchprofile.operators.merge import (INSERTED, STATE, UNTOUCHED, UPDATED, merge_tagged, size_exprs,
+                                          to_batch_size)
 from patchprofile.operators.slices import high_water, slice_range
 from patchprofile.operators.unify import unify
 from patchprofile.plans.metrics import StepLog
@@ -63,13 +64,17 @@ class UnifyMergeJob:
             with self.log.step("unify", batch_id, lo, hi) as rec:
                 unified = unify(slice_df, self.policy, method=self.unify_method)
                 obs = Observation(f"unify_{batch_id}_{id(self)}")
-                unified.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self.staging)
-                rec["rows"] = int(obs.get["rows"])
+                sized = unified.select(*self.policy.profile_columns())
+                # the batch size for the merge strategy is measured on this write
+                unified.observe(obs, *size_exprs(sized.schema)).write.mode("overwrite").parquet(self.staging)
+                rec["rows"] = int(obs.get["n"])
+                size = to_batch_size(sized.schema, obs.get["n"], obs.get["v"])
             staged = self.spark.read.parquet(self.staging)
             if self.store.schema is None:
                 self.store.schema = staged.select(*self.policy.profile_columns()).schema
             with self.log.step("merge", batch_id, lo, hi) as rec:
-                tagged = merge_tagged(self.store.read(), staged, self.policy, strategy=self.strategy)
+                tagged = merge_tagged(self.store.read(), staged, self.policy, strategy=self.strategy,
+                                      known_size=size)
                 s = F.col(STATE)
                 obs = Observation(f"merge_{batch_id}_{id(self)}")
                 counted = tagged.observe(

@@ -14,7 +14,6 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patchprofile.sources.fs import path_exists
@@ -29,10 +28,20 @@ _LOG_SCHEMA = T.StructType([
 
 
 class ProfileStore:
+    """One writer per store (the job or stream that owns it). The commit log is
+    read from storage once, when first needed, and then kept in step with this
+    writer's own commits, so a loop turn does not re-read it."""
+
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
+        self._commits: list[dict] | None = None
+
+    def _load(self) -> list[dict]:
+        if self._commits is None:
+            self._commits = [r.asDict() for r in self.log().collect()]
+        return self._commits
 
     @property
     def log_path(self) -> str:
@@ -45,11 +54,11 @@ class ProfileStore:
 
     def head(self) -> dict | None:
         """The newest commit record, or None before the first commit."""
-        rows = self.log().orderBy(F.col("version").desc()).limit(1).collect()
-        return rows[0].asDict() if rows else None
+        commits = self._load()
+        return max(commits, key=lambda c: c["version"]) if commits else None
 
     def applied(self, batch_id: int) -> bool:
-        return self.log().filter(F.col("batch_id") == batch_id).limit(1).count() > 0
+        return any(c["batch_id"] == batch_id for c in self._load())
 
     def read(self) -> DataFrame:
         """The current profile; an empty frame of ``schema`` before the first commit."""
@@ -66,8 +75,9 @@ class ProfileStore:
         version = 0 if h is None else int(h["version"]) + 1
         path = f"{self.root}/v{version:08d}-b{batch_id}"
         df.write.mode("error").parquet(path)
-        record = [(version, int(batch_id), path, rows, time.time())]
-        self.spark.createDataFrame(record, _LOG_SCHEMA).coalesce(1).write.mode("append").json(self.log_path)
+        record = (version, int(batch_id), path, rows, time.time())
+        self.spark.createDataFrame([record], _LOG_SCHEMA).coalesce(1).write.mode("append").json(self.log_path)
+        self._load().append(dict(zip(_LOG_SCHEMA.fieldNames(), record)))
         if self.schema is None:
             self.schema = df.schema
         return version

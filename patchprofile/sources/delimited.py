@@ -66,31 +66,43 @@ def _unescape(field_: Column) -> Column:
 
 def parse_lines(lines: DataFrame, schema: T.StructType, sep: str = ",",
                 text_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Split and type delimited lines; returns (good rows, rejects)."""
+    """Split and type delimited lines; returns (good rows, rejects).
+
+    Escape handling (regular expressions) only runs on lines that contain a
+    backslash; every other line is split on the plain delimiter. Each field is
+    cast once, and the reject reason reads the typed values.
+    """
     if sep != ",":
         raise ValueError("only the ',' delimiter is supported")
     raw = F.col(text_col)
-    protected = F.regexp_replace(F.regexp_replace(raw, r"\\\\", _ESC_BS), r"\\,", _ESC_DELIM)
-    parts = F.split(protected, ",", -1)
+    escaped = F.instr(raw, "\\") > 0
+    protected = F.when(escaped, F.regexp_replace(F.regexp_replace(raw, r"\\\\", _ESC_BS), r"\\,", _ESC_DELIM))
+    parts = F.split(protected.otherwise(raw), ",", -1)
     n = len(schema.fields)
-    staged = lines.select(F.col(FILE), raw.alias("_raw"), parts.alias("_parts"))
-    fields = []
-    bad = []
+    split_rows = lines.select(F.col(FILE), raw.alias("_raw"), escaped.alias("_esc"), parts.alias("_parts"))
+
+    texts = []
+    for i in range(n):
+        t = F.get(F.col("_parts"), i)
+        t = F.when(F.col("_esc"), _unescape(t)).otherwise(t)
+        texts.append(F.when(t == "", F.lit(None)).otherwise(t).alias(f"_t{i}"))
+    text_rows = split_rows.select(F.col(FILE), F.col("_raw"), F.size("_parts").alias("_w"), *texts)
+
+    typed = []
     for i, f in enumerate(schema.fields):
-        txt = _unescape(F.get(F.col("_parts"), i))
-        txt = F.when(txt == "", F.lit(None)).otherwise(txt)
-        if isinstance(f.dataType, T.StringType):
-            typed = txt
-        else:
-            typed = txt.try_cast(f.dataType)
-        fields.append(typed.alias(f.name))
-        bad.append(F.when(txt.isNotNull() & typed.isNull(), F.lit(f"unparsable {f.name}")))
-    width = F.size("_parts")
-    reason = F.when(width < n, F.lit("short row")).when(width > n, F.lit("long row"))
-    reason = F.coalesce(reason, *bad) if bad else reason
-    typed_rows = staged.select(F.col(FILE), F.col("_raw"), *fields, reason.alias(REASON))
-    good = typed_rows.filter(F.col(REASON).isNull()).drop(REASON, "_raw")
-    rejects = typed_rows.filter(F.col(REASON).isNotNull()).select(
+        t = F.col(f"_t{i}")
+        typed.append((t if isinstance(f.dataType, T.StringType) else t.try_cast(f.dataType)).alias(f.name))
+    typed_rows = text_rows.select(F.col(FILE), F.col("_raw"), F.col("_w"),
+                                  *[F.col(f"_t{i}") for i in range(n)], *typed)
+
+    bad = [F.when(F.col(f"_t{i}").isNotNull() & F.col(f.name).isNull(), F.lit(f"unparsable {f.name}"))
+           for i, f in enumerate(schema.fields) if not isinstance(f.dataType, T.StringType)]
+    width = F.col("_w")
+    reason = F.coalesce(F.when(width < n, F.lit("short row")).when(width > n, F.lit("long row")), *bad)
+    checked = typed_rows.select(F.col(FILE), F.col("_raw"), *[F.col(f.name) for f in schema.fields],
+                                reason.alias(REASON))
+    good = checked.filter(F.col(REASON).isNull()).drop(REASON, "_raw")
+    rejects = checked.filter(F.col(REASON).isNotNull()).select(
         F.col(FILE), F.col("_raw").alias("raw_text"), F.col(REASON).alias("reason"))
     return good, rejects
 

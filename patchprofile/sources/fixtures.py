@@ -41,6 +41,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the cluster has cores (a small
+    file with a single row group), so a heavy projection above it runs in
+    parallel. Large tables scan in many splits and pass through unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _nullif(cond: Column, value: Column) -> Column:
     return F.when(cond, F.lit(None)).otherwise(value)
 
@@ -95,23 +103,32 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+WIDE_VARIANTS = 7
+
+
 def wide_feed(spark: SparkSession, sf_dir: str, n: int = WIDE_COLUMNS) -> DataFrame:
-    """events -> 190 text attributes, a third of them NULL, for wide unification."""
-    e = table(spark, sf_dir, "events")
+    """events -> ``n`` text attributes, a third of them NULL, for wide unification.
+
+    Column ``att<j>`` is NULL when ``(event_id + j) % 3 = 0``, otherwise one of
+    seven per-row texts ``event_type || '_' || (event_id % (k + 7))`` with
+    ``k = j % 7``; the NULL patterns differ by column, so each column's newest
+    non-null value comes from a different row.
+    """
+    e = spread(table(spark, sf_dir, "events"))
     i = F.col("event_id")
-    atts = [
-        _nullif((i + j) % 3 == 0,
-                F.concat(F.col("event_type"), F.lit("_"), (i % (j + 7)).cast("string"))).alias(f"att{j}")
-        for j in range(n)
-    ]
-    return e.select(
+    texts = [F.concat(F.col("event_type"), F.lit("_"), (i % (k + 7)).cast("string")).alias(f"_v{k}")
+             for k in range(WIDE_VARIANTS)]
+    base = e.select(
         F.col("user_id").alias("uid"),
         F.when(F.col("event_type").isin("click", "view"), F.lit("web")).otherwise(F.lit("app")).alias("utype"),
         i.alias("epoch"),
         F.col("ts").alias("createddate"),
         _nullif(i % 6 == 0, F.concat(F.lit("c"), i.cast("string"))).alias("cid"),
-        *atts,
+        *texts,
     )
+    atts = [_nullif((F.col("epoch") + j) % 3 == 0, F.col(f"_v{j % WIDE_VARIANTS}")).alias(f"att{j}")
+            for j in range(n)]
+    return base.select("uid", "utype", "epoch", "createddate", "cid", *atts)
 
 
 def wide_policy(n: int = WIDE_COLUMNS) -> ColumnPolicy:
