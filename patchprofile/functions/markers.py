@@ -37,3 +37,14 @@ def is_marker(col: Column, dtype: T.DataType, marker: str) -> Column:
     if lit is None:
         return F.lit(False)
     return F.coalesce(col == lit, F.lit(False))
+
+
+def marker_sql(expr: str, dtype: T.DataType, marker: str) -> str:
+    """``is_marker`` as SQL expression text (for wide, generated projections)."""
+    if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
+        lit = "'" + marker.replace("'", "''") + "'"
+    elif isinstance(dtype, _INTEGRAL + _FRACTIONAL):
+        lit = f"CAST({marker} AS {dtype.simpleString()})"
+    else:
+        return "false"
+    return f"coalesce({expr} = {lit}, false)"

@@ -29,11 +29,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patchprofile.functions.markers import is_marker
+from patchprofile.functions.markers import marker_sql
+from patchprofile.functions.ordering import q
 from patchprofile.policy import INSERT_ONLY, ColumnPolicy
 
 _U = "__u"   # non-null flag: row came from the batch
@@ -132,54 +133,55 @@ def merge_tagged(target: DataFrame, batch: DataFrame, policy: ColumnPolicy, *,
         size = known_size if known_size is not None else batch_size(batch)
         strategy = "broadcast" if size.bytes <= limit else "shuffle"
 
-    renamed = batch.select(*keys, *[F.col(c).alias(_u(c)) for c in values], F.lit(True).alias(_U))
-    flagged_target = target.withColumn(_T, F.lit(True))
+    renamed = batch.selectExpr(*[q(k) for k in keys], *[f"{q(c)} AS {q(_u(c))}" for c in values],
+                               f"true AS {_U}")
+    flagged_target = target.selectExpr("*", f"true AS {_T}")
 
-    def patched(c: str) -> Column:
-        new, old = F.col(_u(c)), F.col(c)
+    # Expressions are SQL text: a 190-column merge is one call per column.
+    def null_of(c: str) -> str:
+        return f"CAST(NULL AS {types[c].simpleString()})"
+
+    def patched(c: str) -> str:
+        new, old = q(_u(c)), q(c)
         if policy.merge_rule(c) == INSERT_ONLY:
             return old
-        null = F.lit(None).cast(types[c])
-        return F.when(is_marker(new, types[c], policy.marker), null).otherwise(F.coalesce(new, old))
+        return f"CASE WHEN {marker_sql(new, types[c], policy.marker)} THEN {null_of(c)} ELSE coalesce({new}, {old}) END"
 
-    def inserted(c: str) -> Column:
-        new = F.col(_u(c))
+    def inserted(c: str) -> str:
+        new = q(_u(c))
         if clear_on_insert:
-            return F.when(is_marker(new, types[c], policy.marker), F.lit(None).cast(types[c])).otherwise(new)
+            return f"CASE WHEN {marker_sql(new, types[c], policy.marker)} THEN {null_of(c)} ELSE {new} END"
         return new
 
-    def key_expr(k: str, matched: Column) -> Column:
+    def key_expr(k: str, matched: str) -> str:
         if not null_marker_keys:
-            return F.col(k)
-        clear = matched & is_marker(F.col(k), types[k], policy.marker)
-        return F.when(clear, F.lit(None).cast(types[k])).otherwise(F.col(k))
+            return f"{q(k)} AS {q(k)}"
+        return (f"CASE WHEN {matched} AND {marker_sql(q(k), types[k], policy.marker)} THEN {null_of(k)} "
+                f"ELSE {q(k)} END AS {q(k)}")
 
     if strategy == "shuffle":
         j = flagged_target.join(renamed, on=keys, how="full_outer")
-        matched = F.col(_T).isNotNull() & F.col(_U).isNotNull()
-        new_only = F.col(_T).isNull()
-        out = [key_expr(k, matched).alias(k) for k in keys]
-        for c in values:
-            out.append(F.when(new_only, inserted(c))
-                       .when(matched, patched(c))
-                       .otherwise(F.col(c)).alias(c))
-        state = F.when(new_only, INSERTED).when(matched, UPDATED).otherwise(UNTOUCHED)
-        return j.select(*out, state.alias(STATE))
+        matched = f"({_T} IS NOT NULL AND {_U} IS NOT NULL)"
+        new_only = f"{_T} IS NULL"
+        out = [key_expr(k, matched) for k in keys]
+        out += [f"CASE WHEN {new_only} THEN {inserted(c)} WHEN {matched} THEN {patched(c)} ELSE {q(c)} END AS {q(c)}"
+                for c in values]
+        out.append(f"CASE WHEN {new_only} THEN '{INSERTED}' WHEN {matched} THEN '{UPDATED}' "
+                   f"ELSE '{UNTOUCHED}' END AS {STATE}")
+        return j.selectExpr(*out)
 
     if strategy == "broadcast":
-        small = F.broadcast(renamed)
         # profile side: never shuffled, patched where the batch has the key
-        j = flagged_target.join(small, on=keys, how="left")
-        matched = F.col(_U).isNotNull()
-        upd = [key_expr(k, matched).alias(k) for k in keys]
-        upd += [F.when(matched, patched(c)).otherwise(F.col(c)).alias(c) for c in values]
-        upd.append(F.when(matched, UPDATED).otherwise(UNTOUCHED).alias(STATE))
+        j = flagged_target.join(F.broadcast(renamed), on=keys, how="left")
+        matched = f"({_U} IS NOT NULL)"
+        upd = [key_expr(k, matched) for k in keys]
+        upd += [f"CASE WHEN {matched} THEN {patched(c)} ELSE {q(c)} END AS {q(c)}" for c in values]
+        upd.append(f"CASE WHEN {matched} THEN '{UPDATED}' ELSE '{UNTOUCHED}' END AS {STATE}")
         # new keys: batch keys the profile lacks; the found-key set is <= batch size
         found = target.select(*keys).join(F.broadcast(batch.select(*keys)), on=keys, how="left_semi")
         fresh = renamed.join(F.broadcast(found), on=keys, how="left_anti")
-        ins = [F.col(k) for k in keys] + [inserted(c).alias(c) for c in values]
-        ins.append(F.lit(INSERTED).alias(STATE))
-        return j.select(*upd).unionByName(fresh.select(*ins))
+        ins = [q(k) for k in keys] + [f"{inserted(c)} AS {q(c)}" for c in values] + [f"'{INSERTED}' AS {STATE}"]
+        return j.selectExpr(*upd).unionByName(fresh.selectExpr(*ins))
 
     raise ValueError(f"unknown merge strategy {strategy!r}")
 

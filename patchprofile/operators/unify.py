@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from patchprofile.functions.ordering import event_order, event_order_desc
+from patchprofile.functions.ordering import event_order_desc, event_order_sql, order_sql, q
 from patchprofile.policy import NEWEST, OLDEST, ROW, ColumnPolicy
 
 _ROW = "__row"
@@ -85,42 +85,46 @@ def _unify_split(feed: DataFrame, policy: ColumnPolicy, hot_key_rows: int, max_h
     return _unify_window(cold_rows, policy).unionByName(_unify_aggregate(hot_rows, policy))
 
 
+# Wide policies (the reference unifies 190 columns) are built as SQL expression
+# text: one call per column instead of a dozen Column-API calls through the
+# JVM gateway; the plans are the same.
+
 def _unify_aggregate(feed: DataFrame, policy: ColumnPolicy) -> DataFrame:
-    order = event_order(policy)
+    order = event_order_sql(policy)
     row_cols = policy.columns_with(ROW)
     aggs = []
     if row_cols:
-        aggs.append(F.max_by(F.struct(*[F.col(c) for c in row_cols]), order).alias(_ROW))
+        fields = ", ".join(f"'{c}', {q(c)}" for c in row_cols)
+        aggs.append(F.expr(f"max_by(named_struct({fields}), {order})").alias(_ROW))
     for c, rule in policy.unify_rules.items():
-        present = F.when(F.col(c).isNotNull(), order)  # NULL ordering -> row skipped
+        present = f"CASE WHEN {q(c)} IS NOT NULL THEN {order} END"  # NULL ordering -> row skipped
         if rule == NEWEST:
-            aggs.append(F.max_by(F.col(c), present).alias(c))
+            aggs.append(F.expr(f"max_by({q(c)}, {present})").alias(c))
         elif rule == OLDEST:
-            aggs.append(F.min_by(F.col(c), present).alias(c))
+            aggs.append(F.expr(f"min_by({q(c)}, {present})").alias(c))
     grouped = feed.groupBy(*policy.keys).agg(*aggs)
-    out = []
-    for c in policy.unified_columns():
-        if c in row_cols:
-            out.append(F.col(f"{_ROW}.{c}").alias(c))
-        else:
-            out.append(F.col(c))
-    return grouped.select(*out)
+    out = [f"{_ROW}.{q(c)} AS {q(c)}" if c in row_cols else q(c) for c in policy.unified_columns()]
+    return grouped.selectExpr(*out)
 
 
 def _unify_window(feed: DataFrame, policy: ColumnPolicy) -> DataFrame:
-    w = Window.partitionBy(*policy.keys).orderBy(*event_order_desc(policy))
-    full = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    spec = f"PARTITION BY {', '.join(q(k) for k in policy.keys)} ORDER BY {order_sql(policy)}"
+    # The whole partition as a RANGE frame (same rows as the ROWS frame). With a
+    # ROWS frame Catalyst turns every first() into its own nth_value frame, one
+    # generated class per column; as aggregates over one frame all columns share
+    # a single aggregate processor.
+    full = f"({spec} RANGE BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
     exprs = []
     for c in policy.unified_columns():
         rule = policy.unify_rules.get(c)
         if rule == NEWEST:
-            exprs.append(F.first(c, ignorenulls=True).over(full).alias(c))
+            exprs.append(f"first({q(c)}, true) OVER {full} AS {q(c)}")
         elif rule == OLDEST:
-            exprs.append(F.last(c, ignorenulls=True).over(full).alias(c))
+            exprs.append(f"last({q(c)}, true) OVER {full} AS {q(c)}")
         else:  # keys and row columns come from the top row itself
-            exprs.append(F.col(c))
-    exprs.append(F.row_number().over(w).alias(_RN))
-    return feed.select(*exprs).filter(F.col(_RN) == 1).drop(_RN)
+            exprs.append(q(c))
+    exprs.append(f"row_number() OVER ({spec}) AS {_RN}")
+    return feed.selectExpr(*exprs).filter(F.col(_RN) == 1).drop(_RN)
 
 
 def top1_per_key(feed: DataFrame, policy: ColumnPolicy) -> DataFrame:

@@ -115,20 +115,18 @@ def wide_feed(spark: SparkSession, sf_dir: str, n: int = WIDE_COLUMNS) -> DataFr
     non-null value comes from a different row.
     """
     e = spread(table(spark, sf_dir, "events"))
-    i = F.col("event_id")
-    texts = [F.concat(F.col("event_type"), F.lit("_"), (i % (k + 7)).cast("string")).alias(f"_v{k}")
-             for k in range(WIDE_VARIANTS)]
-    base = e.select(
-        F.col("user_id").alias("uid"),
-        F.when(F.col("event_type").isin("click", "view"), F.lit("web")).otherwise(F.lit("app")).alias("utype"),
-        i.alias("epoch"),
-        F.col("ts").alias("createddate"),
-        _nullif(i % 6 == 0, F.concat(F.lit("c"), i.cast("string"))).alias("cid"),
+    texts = [f"concat(event_type, '_', CAST(event_id % {k + 7} AS STRING)) AS _v{k}" for k in range(WIDE_VARIANTS)]
+    base = e.selectExpr(
+        "user_id AS uid",
+        "CASE WHEN event_type IN ('click', 'view') THEN 'web' ELSE 'app' END AS utype",
+        "event_id AS epoch",
+        "ts AS createddate",
+        "CASE WHEN event_id % 6 = 0 THEN NULL ELSE concat('c', CAST(event_id AS STRING)) END AS cid",
         *texts,
     )
-    atts = [_nullif((F.col("epoch") + j) % 3 == 0, F.col(f"_v{j % WIDE_VARIANTS}")).alias(f"att{j}")
+    atts = [f"CASE WHEN (epoch + {j}) % 3 = 0 THEN NULL ELSE _v{j % WIDE_VARIANTS} END AS att{j}"
             for j in range(n)]
-    return base.select("uid", "utype", "epoch", "createddate", "cid", *atts)
+    return base.selectExpr("uid", "utype", "epoch", "createddate", "cid", *atts)
 
 
 def wide_policy(n: int = WIDE_COLUMNS) -> ColumnPolicy:
