@@ -23,9 +23,10 @@ def _utype(marker_key: bool = False) -> str:
     return base
 
 
-def profile_feed_sql(marker_key: bool = False) -> str:
+def profile_feed_sql(marker_key: bool = False, skewed: bool = False) -> str:
+    uid = "CASE WHEN event_id % 3 = 0 THEN CAST(0 AS BIGINT) ELSE user_id END" if skewed else "user_id"
     return f"""
-SELECT user_id AS uid,
+SELECT {uid} AS uid,
        {_utype(marker_key)} AS utype,
        event_id AS epoch,
        ts AS createddate,
@@ -277,6 +278,7 @@ def oracles() -> dict[str, str]:
     o["unify_oldest"] = f"SELECT {_KEYS}, ad FROM ({whole_unify})"
     o["unify_named_window"] = f"SELECT {_KEYS}, cid, att1, ad, createddate FROM ({whole_unify})"
     o["top1_per_key"] = f"WITH feed AS ({feed}) {top1_sql('feed', FEED_POLICY, _FEED_COLS.split(', '))}"
+    o["unify_skewed"] = f"WITH feed AS ({profile_feed_sql(skewed=True)}) {unify_sql('feed', FEED_POLICY)}"
     o["unify_wide"] = f"WITH feed AS ({wide_feed_sql()}) {unify_sql('feed', wide_policy())}"
 
     o["unify_merge"] = flagship_sql()

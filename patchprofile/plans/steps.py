@@ -19,7 +19,7 @@ def as_profile(batch: DataFrame, policy: ColumnPolicy) -> DataFrame:
 
 
 def unify_slice(feed: DataFrame, policy: ColumnPolicy, col: str, lo: Any, hi: Any,
-                method: str = "aggregate") -> DataFrame:
+                method: str = "auto") -> DataFrame:
     return unify(slice_range(feed, col, lo, hi), policy, method=method)
 
 

@@ -74,6 +74,12 @@ def top1_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top1_per_key(profile_feed(spark, sf_dir), FEED_POLICY).select(*FEED_COLUMNS)
 
 
+@register("unify_skewed")
+def unify_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-22b on a feed where one key holds a third of the rows (hot-key split path at scale)."""
+    return unify(profile_feed(spark, sf_dir, skewed=True), FEED_POLICY)
+
+
 @register("unify_wide")
 def unify_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-11: 190 computed, aliased columns over one event order."""

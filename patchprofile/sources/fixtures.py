@@ -57,19 +57,21 @@ def _delay(seconds: Column) -> Column:
     return F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
-def profile_feed(spark: SparkSession, sf_dir: str, marker_key: bool = False) -> DataFrame:
+def profile_feed(spark: SparkSession, sf_dir: str, marker_key: bool = False, skewed: bool = False) -> DataFrame:
     """events -> profile feed: key (uid, utype), order createddate, epoch = event_id.
 
     With ``marker_key`` the 'error' events carry the clear marker as their
-    utype, to exercise a key that equals the marker.
+    utype, to exercise a key that equals the marker. With ``skewed`` every
+    third event belongs to user 0: one key holds a third of all rows.
     """
     e = table(spark, sf_dir, "events")
     i = F.col("event_id")
     utype = F.when(F.col("event_type").isin("click", "view"), F.lit("web")).otherwise(F.lit("app"))
     if marker_key:
         utype = F.when(F.col("event_type") == "error", F.lit(str(MARKER_INT))).otherwise(utype)
+    uid = F.when(i % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("user_id")) if skewed else F.col("user_id")
     return e.select(
-        F.col("user_id").alias("uid"),
+        uid.alias("uid"),
         utype.alias("utype"),
         i.alias("epoch"),
         F.col("ts").alias("createddate"),

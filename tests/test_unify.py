@@ -74,3 +74,15 @@ def test_top1_is_newest_row(spark):
 def test_unknown_rule_rejected():
     with pytest.raises(ValueError):
         ColumnPolicy(keys=("k",), order_by="d", unify_rules={"a": "median"})
+
+
+def test_hot_key_split_on_skewed_feed(spark, sf_small):
+    """One key holds a third of the rows: only it goes through the aggregate form."""
+    from patchprofile.operators.unify import hot_keys
+    feed = profile_feed(spark, sf_small, skewed=True)
+    hot = hot_keys(feed, ["uid", "utype"], 100, 10)
+    assert hot and all(r["uid"] == 0 for r in hot)
+    split = unify(feed, FEED_POLICY, method="auto", hot_key_rows=100)
+    assert rows(split) == rows(unify(feed, FEED_POLICY, method="window"))
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "max_by" in plan and "Window" in plan
