@@ -1,8 +1,9 @@
 """Versioned profile snapshots in the shared folder.
 
 Each merge writes a complete new version to its own folder (a path being read
-is never overwritten), then publishes it by appending one commit record to a
-small JSON log. Readers take the highest committed version. The batch id is
+is never overwritten), then publishes it by creating one small commit file
+``_log/<version>.json``; the create is exclusive, so a version is committed
+once, by one writer. Readers take the highest committed version. The batch id is
 part of the record, so a replayed batch (a restarted stream re-delivering a
 micro-batch) is recognised and skipped: exactly-once on top of at-least-once.
 Writing the version to storage also cuts the lineage between batches, and a
@@ -11,12 +12,13 @@ lost executor only costs the tasks of the current write.
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from patchprofile.sources.fs import path_exists
+from patchprofile.sources.fs import create_text, read_texts
 
 _LOG_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -40,7 +42,7 @@ class ProfileStore:
 
     def _load(self) -> list[dict]:
         if self._commits is None:
-            self._commits = [r.asDict() for r in self.log().collect()]
+            self._commits = [json.loads(t) for t in read_texts(self.spark, self.log_path).values()]
         return self._commits
 
     @property
@@ -48,9 +50,9 @@ class ProfileStore:
         return f"{self.root}/_log"
 
     def log(self) -> DataFrame:
-        if not path_exists(self.spark, self.log_path):
-            return self.spark.createDataFrame([], _LOG_SCHEMA)
-        return self.spark.read.schema(_LOG_SCHEMA).json(self.log_path)
+        """The commit records as a DataFrame."""
+        return self.spark.createDataFrame([tuple(c[f] for f in _LOG_SCHEMA.fieldNames()) for c in self._load()],
+                                          _LOG_SCHEMA)
 
     def head(self) -> dict | None:
         """The newest commit record, or None before the first commit."""
@@ -75,9 +77,10 @@ class ProfileStore:
         version = 0 if h is None else int(h["version"]) + 1
         path = f"{self.root}/v{version:08d}-b{batch_id}"
         df.write.mode("error").parquet(path)
-        record = (version, int(batch_id), path, rows, time.time())
-        self.spark.createDataFrame([record], _LOG_SCHEMA).coalesce(1).write.mode("append").json(self.log_path)
-        self._load().append(dict(zip(_LOG_SCHEMA.fieldNames(), record)))
+        record = dict(zip(_LOG_SCHEMA.fieldNames(), (version, int(batch_id), path, rows, time.time())))
+        if not create_text(self.spark, f"{self.log_path}/{version:020d}.json", json.dumps(record)):
+            raise RuntimeError(f"version {version} of {self.root} was committed by another writer")
+        self._load().append(record)
         if self.schema is None:
             self.schema = df.schema
         return version

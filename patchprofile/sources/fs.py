@@ -26,3 +26,42 @@ def list_names(spark: SparkSession, folder: str) -> set[str]:
     if not fs.exists(hp):
         return set()
     return {st.getPath().getName() for st in fs.listStatus(hp)}
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create ``path`` holding ``text``; False (nothing written) when it already exists.
+
+    Used for commit records: the create is exclusive, so two writers racing
+    for the same version cannot both commit it.
+    """
+    hp, fs = _fs(spark, path)
+    try:
+        out = fs.create(hp, False)
+    except Exception as exc:  # FileAlreadyExistsException from the JVM
+        if "AlreadyExists" in str(exc) or "already exists" in str(exc):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
+def read_texts(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Name -> content of the small files directly under ``folder``."""
+    hp, fs = _fs(spark, folder)
+    if not fs.exists(hp):
+        return {}
+    jvm = spark.sparkContext._jvm
+    out = {}
+    for st in fs.listStatus(hp):
+        name = st.getPath().getName()
+        if name.startswith(".") or name.startswith("_"):
+            continue
+        stream = fs.open(st.getPath())
+        try:
+            out[name] = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+    return out
