@@ -12,12 +12,14 @@ lost executor only costs the tasks of the current write.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from patchprofile.functions.ordering import q
 from patchprofile.sources.fs import create_text, read_texts
 
 _LOG_SCHEMA = T.StructType([
@@ -32,13 +34,38 @@ _LOG_SCHEMA = T.StructType([
 class ProfileStore:
     """One writer per store (the job or stream that owns it). The commit log is
     read from storage once, when first needed, and then kept in step with this
-    writer's own commits, so a loop turn does not re-read it."""
-
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None):
+    writer's own commits, so a loop turn does not re-read it.
+
+    With ``buckets`` set, every version is written as a Parquet table bucketed
+    (and sorted) by the profile keys. A join on the keys then reads the profile
+    already hash-partitioned: only the batch side is shuffled, even when the
+    batch is too large to broadcast. Each task writes exactly one bucket file.
+    The table definition is registered in the session catalog on first read,
+    so a restarted process finds the same layout from the folders alone.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None,
+                 buckets: int | None = None, keys: tuple[str, ...] = ()):
+        if buckets and not keys:
+            raise ValueError("a bucketed store needs the key columns")
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
+        self.buckets = buckets
+        self.keys = tuple(keys)
         self._commits: list[dict] | None = None
+        self._tag = hashlib.sha1(self.root.encode()).hexdigest()[:12]
+
+    def _table(self, version: int) -> str:
+        return f"profile_{self._tag}_v{version}"
+
+    def _register(self, name: str, path: str, schema: T.StructType) -> None:
+        if self.spark.catalog.tableExists(name):
+            return
+        cols = ", ".join(f"{q(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+        keys = ", ".join(q(k) for k in self.keys)
+        self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({keys}) "
+                       f"SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{path}'")
 
     def _load(self) -> list[dict]:
         if self._commits is None:
@@ -69,6 +96,11 @@ class ProfileStore:
             if self.schema is None:
                 raise ValueError("empty store and no schema given")
             return self.spark.createDataFrame([], self.schema)
+        if self.buckets:
+            name = self._table(int(h["version"]))
+            if not self.spark.catalog.tableExists(name):
+                self._register(name, h["path"], self.spark.read.parquet(h["path"]).schema)
+            return self.spark.table(name)
         return self.spark.read.parquet(h["path"])
 
     def publish(self, df: DataFrame, batch_id: int, rows: int | None = None) -> int:
@@ -76,7 +108,13 @@ class ProfileStore:
         h = self.head()
         version = 0 if h is None else int(h["version"]) + 1
         path = f"{self.root}/v{version:08d}-b{batch_id}"
-        df.write.mode("error").parquet(path)
+        if self.buckets:
+            # one task per bucket (same hash as the bucketing), so one file per bucket
+            (df.repartition(self.buckets, *self.keys).write.format("parquet")
+               .bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
+               .option("path", path).mode("error").saveAsTable(self._table(version)))
+        else:
+            df.write.mode("error").parquet(path)
         record = dict(zip(_LOG_SCHEMA.fieldNames(), (version, int(batch_id), path, rows, time.time())))
         if not create_text(self.spark, f"{self.log_path}/{version:020d}.json", json.dumps(record)):
             raise RuntimeError(f"version {version} of {self.root} was committed by another writer")

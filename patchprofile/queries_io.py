@@ -42,7 +42,9 @@ def write_arrival(feed: DataFrame, raw: str, lo, hi) -> None:
 
 
 def _unify_merge_job(spark: SparkSession, base: str) -> UnifyMergeJob:
-    store = ProfileStore(spark, f"{base}/profile")
+    # profile versions bucketed by key: merges read the profile without a shuffle
+    buckets = spark.sparkContext.defaultParallelism
+    store = ProfileStore(spark, f"{base}/profile", buckets=buckets, keys=FEED_POLICY.keys)
     return UnifyMergeJob(spark, store, FEED_POLICY, staging=f"{base}/staging", col="epoch")
 
 

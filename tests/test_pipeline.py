@@ -55,3 +55,24 @@ def test_summary_truncates_average(spark):
     assert (r["runs"], r["min_ns"], r["max_ns"], r["total_ns"], r["avg_ns"]) == (4, 10, 12, 45, 11)
     wall = summarize(log.to_df(spark), wall_clock_steps=("merge",)).first()
     assert wall["total_ns"] == 4_000_000_000
+
+
+def test_bucketed_store_reads_without_profile_shuffle(spark, sf_small):
+    from patchprofile.operators.merge import merge
+    from patchprofile.operators.unify import unify
+    from patchprofile.plans.steps import as_profile
+    base = work_dir(spark, "test-bucketed")
+    feed = profile_feed(spark, sf_small)
+    store = ProfileStore(spark, f"{base}/p", buckets=4, keys=FEED_POLICY.keys)
+    store.publish(as_profile(unify(feed, FEED_POLICY), FEED_POLICY), 0)
+    n = store.read().count()
+    # a new process: the catalog entry is gone, only the folders remain
+    spark.sql(f"DROP TABLE {store._table(0)}")
+    again = ProfileStore(spark, f"{base}/p", buckets=4, keys=FEED_POLICY.keys).read()
+    assert again.count() == n
+    staged_path = f"{base}/staged"
+    unify(feed.filter("epoch > 300"), FEED_POLICY).write.parquet(staged_path)
+    out = merge(again, spark.read.parquet(staged_path), FEED_POLICY, strategy="shuffle")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # the batch side only
