@@ -39,7 +39,7 @@ class ProfileStore:
     With ``buckets`` set, every version is written as a Parquet table bucketed
     (and sorted) by the profile keys. A join on the keys then reads the profile
     already hash-partitioned: only the batch side is shuffled, even when the
-    batch is too large to broadcast. Each task writes exactly one bucket file.
+    batch is too large to broadcast.
     The table definition is registered in the session catalog on first read,
     so a restarted process finds the same layout from the folders alone.
     """
@@ -109,9 +109,10 @@ class ProfileStore:
         version = 0 if h is None else int(h["version"]) + 1
         path = f"{self.root}/v{version:08d}-b{batch_id}"
         if self.buckets:
-            # one task per bucket (same hash as the bucketing), so one file per bucket
-            (df.repartition(self.buckets, *self.keys).write.format("parquet")
-               .bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
+            # No repartition here: a merge joined on the bucketed profile leaves every
+            # key in the task of its bucket (the batch side is hash-partitioned by the
+            # same function), so each task writes one bucket file without a shuffle.
+            (df.write.format("parquet").bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
                .option("path", path).mode("error").saveAsTable(self._table(version)))
         else:
             df.write.mode("error").parquet(path)

@@ -42,8 +42,9 @@ def write_arrival(feed: DataFrame, raw: str, lo, hi) -> None:
 
 
 def _unify_merge_job(spark: SparkSession, base: str) -> UnifyMergeJob:
-    # profile versions bucketed by key: merges read the profile without a shuffle
-    buckets = spark.sparkContext.defaultParallelism
+    # Profile versions bucketed by key, as many buckets as shuffle partitions, so the
+    # batch exchange of a merge and the bucket layout use the same partitions.
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     store = ProfileStore(spark, f"{base}/profile", buckets=buckets, keys=FEED_POLICY.keys)
     return UnifyMergeJob(spark, store, FEED_POLICY, staging=f"{base}/staging", col="epoch")
 
