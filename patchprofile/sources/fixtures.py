@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchprofile.policy import INSERT_ONLY, NEWEST, NOT_MERGED, OLDEST, ROW, DROP, ColumnPolicy
+from patchprofile.policy import INSERT_ONLY, NEWEST, NOT_MERGED, OLDEST, ROW, ColumnPolicy
 
 MARKER_INT = -11111
 WIDE_COLUMNS = 190
@@ -140,4 +140,4 @@ def wide_policy(n: int = WIDE_COLUMNS) -> ColumnPolicy:
 
 
 __all__ = ["FEED_POLICY", "FEED_COLUMNS", "profile_feed", "orders_feed",
-           "wide_feed", "wide_policy", "table", "DROP"]
+           "wide_feed", "wide_policy", "table", "spread"]
