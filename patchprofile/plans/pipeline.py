@@ -73,8 +73,8 @@ class UnifyMergeJob:
             if self.store.schema is None:
                 self.store.schema = staged.select(*self.policy.profile_columns()).schema
             with self.log.step("merge", batch_id, lo, hi) as rec:
-                tagged = merge_tagged(self.store.read(), staged, self.policy, strategy=self.strategy,
-                                      known_size=size)
+                tagged = merge_tagged(self.store.read_for(staged), staged, self.policy,
+                                      strategy=self.strategy, known_size=size)
                 s = F.col(STATE)
                 obs = Observation(f"merge_{batch_id}_{id(self)}")
                 counted = tagged.observe(

@@ -8,6 +8,17 @@ part of the record, so a replayed batch (a restarted stream re-delivering a
 micro-batch) is recognised and skipped: exactly-once on top of at-least-once.
 Writing the version to storage also cuts the lineage between batches, and a
 lost executor only costs the tasks of the current write.
+
+Two layouts spread a version by key hash (``buckets``):
+
+* ``touched_only=False`` — each version is a Parquet table bucketed and sorted
+  by the keys (Spark bucketing). Merges read the profile hash-partitioned, so
+  any batch, however large, shuffles only itself.
+* ``touched_only=True`` — each version folder holds only the hash buckets the
+  batch touched (``pbucket=<b>`` folders); the commit record maps every bucket
+  to the folder of its newest copy. A merge reads and rewrites only the
+  touched buckets, so a small batch against a huge profile costs the size of
+  its buckets, not of the profile.
 """
 
 from __future__ import annotations
@@ -16,11 +27,12 @@ import hashlib
 import json
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patchprofile.functions.ordering import q
-from patchprofile.sources.fs import create_text, read_texts
+from patchprofile.sources.fs import create_text, list_names, read_texts
 
 _LOG_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -45,9 +57,12 @@ class ProfileStore:
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None,
-                 buckets: int | None = None, keys: tuple[str, ...] = ()):
+                 buckets: int | None = None, keys: tuple[str, ...] = (), touched_only: bool = False):
         if buckets and not keys:
             raise ValueError("a bucketed store needs the key columns")
+        if touched_only and not buckets:
+            raise ValueError("touched-bucket rewrite needs buckets")
+        self.touched_only = touched_only
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
@@ -89,13 +104,37 @@ class ProfileStore:
     def applied(self, batch_id: int) -> bool:
         return any(c["batch_id"] == batch_id for c in self._load())
 
+    def _empty(self) -> DataFrame:
+        if self.schema is None:
+            raise ValueError("empty store and no schema given")
+        return self.spark.createDataFrame([], self.schema)
+
+    def bucket_of(self) -> Column:
+        """The hash bucket of a row's keys (Spark's own partitioning hash)."""
+        keys = ", ".join(q(k) for k in self.keys)
+        return F.expr(f"pmod(hash({keys}), {self.buckets})")
+
+    def read_for(self, batch: DataFrame) -> DataFrame:
+        """The profile rows a merge with ``batch`` can change.
+
+        With touched-bucket rewrite these are the buckets that hold a key of the
+        batch (their ids, at most ``buckets`` integers, are the only thing
+        collected); otherwise the whole profile.
+        """
+        h = self.head()
+        if not self.touched_only or h is None:
+            return self.read()
+        touched = {str(r[0]) for r in batch.select(self.bucket_of()).distinct().collect()}
+        paths = [p for b, p in h["buckets"].items() if b in touched]
+        return self.spark.read.parquet(*paths) if paths else self._empty()
+
     def read(self) -> DataFrame:
         """The current profile; an empty frame of ``schema`` before the first commit."""
         h = self.head()
         if h is None:
-            if self.schema is None:
-                raise ValueError("empty store and no schema given")
-            return self.spark.createDataFrame([], self.schema)
+            return self._empty()
+        if self.touched_only:
+            return self.spark.read.parquet(*h["buckets"].values())
         if self.buckets:
             name = self._table(int(h["version"]))
             if not self.spark.catalog.tableExists(name):
@@ -108,7 +147,15 @@ class ProfileStore:
         h = self.head()
         version = 0 if h is None else int(h["version"]) + 1
         path = f"{self.root}/v{version:08d}-b{batch_id}"
-        if self.buckets:
+        buckets = None
+        if self.touched_only:
+            # only the buckets present in ``df`` are written; the rest stay where they are
+            df.withColumn(_BUCKET, self.bucket_of()).write.partitionBy(_BUCKET).mode("error").parquet(path)
+            buckets = dict(h["buckets"]) if h is not None else {}
+            for name in list_names(self.spark, path):
+                if name.startswith(f"{_BUCKET}="):
+                    buckets[name.split("=", 1)[1]] = f"{path}/{name}"
+        elif self.buckets:
             # No repartition here: a merge joined on the bucketed profile leaves every
             # key in the task of its bucket (the batch side is hash-partitioned by the
             # same function), so each task writes one bucket file without a shuffle.
@@ -117,9 +164,14 @@ class ProfileStore:
         else:
             df.write.mode("error").parquet(path)
         record = dict(zip(_LOG_SCHEMA.fieldNames(), (version, int(batch_id), path, rows, time.time())))
+        if buckets is not None:
+            record["buckets"] = buckets
         if not create_text(self.spark, f"{self.log_path}/{version:020d}.json", json.dumps(record)):
             raise RuntimeError(f"version {version} of {self.root} was committed by another writer")
         self._load().append(record)
         if self.schema is None:
             self.schema = df.schema
         return version
+
+
+_BUCKET = "pbucket"

@@ -42,10 +42,10 @@ def write_arrival(feed: DataFrame, raw: str, lo, hi) -> None:
 
 
 def _unify_merge_job(spark: SparkSession, base: str) -> UnifyMergeJob:
-    # Profile versions bucketed by key, as many buckets as shuffle partitions, so the
-    # batch exchange of a merge and the bucket layout use the same partitions.
+    # Profile versions split into key-hash buckets; each merge reads and rewrites
+    # only the buckets its batch touches.
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    store = ProfileStore(spark, f"{base}/profile", buckets=buckets, keys=FEED_POLICY.keys)
+    store = ProfileStore(spark, f"{base}/profile", buckets=buckets, keys=FEED_POLICY.keys, touched_only=True)
     return UnifyMergeJob(spark, store, FEED_POLICY, staging=f"{base}/staging", col="epoch")
 
 

@@ -76,3 +76,32 @@ def test_bucketed_store_reads_without_profile_shuffle(spark, sf_small):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan
     assert plan.count("Exchange hashpartitioning") == 1  # the batch side only
+
+
+def test_touched_bucket_rewrite(spark, sf_small):
+    """A batch rewrites only the buckets of its keys; the profile equals a full rewrite."""
+    from patchprofile.operators.merge import merge
+    from patchprofile.operators.slices import slice_range
+    from patchprofile.operators.unify import unify
+    from patchprofile.plans.steps import as_profile
+    from patchprofile.sources.fs import list_names
+    base = work_dir(spark, "test-touched")
+    feed = profile_feed(spark, sf_small)
+    first = as_profile(unify(slice_range(feed, "epoch", -1, 500), FEED_POLICY), FEED_POLICY)
+    store = ProfileStore(spark, f"{base}/p", buckets=16, keys=FEED_POLICY.keys, touched_only=True)
+    store.publish(first, 0)
+    batch_path = f"{base}/batch"
+    unify(slice_range(feed, "epoch", 500, 520), FEED_POLICY).write.parquet(batch_path)
+    batch = spark.read.parquet(batch_path)
+    store.publish(merge(store.read_for(batch), batch, FEED_POLICY), 1)
+    written = [n for n in list_names(spark, store.head()["path"]) if n.startswith("pbucket=")]
+    n_touched = batch.select(store.bucket_of()).distinct().count()
+    assert len(written) == n_touched < 16
+    full = merge(first, batch, FEED_POLICY, strategy="shuffle")
+    got = store.read()
+    assert sorted(got.columns) == sorted(full.columns)
+    assert sorted(map(tuple, got.select(*full.columns).collect()), key=str) == \
+        sorted(map(tuple, full.collect()), key=str)
+    # a new process sees the same profile from the commit files alone
+    again = ProfileStore(spark, f"{base}/p", buckets=16, keys=FEED_POLICY.keys, touched_only=True).read()
+    assert again.count() == got.count()
