@@ -113,3 +113,27 @@ class AppendJob:
         self.prev = mark
         self.next_batch += 1
         return True
+
+
+def run_loop(job: "UnifyMergeJob | AppendJob", read_raw, *, interval: float = 1.0,
+             max_idle_polls: int | None = None, max_steps: int | None = None) -> int:
+    """The reference's polling loop: work when the mark moved, else sleep ``interval``.
+
+    ``read_raw`` returns the current raw table (re-listed on every call). Stops
+    after ``max_idle_polls`` polls in a row found nothing new, or after
+    ``max_steps`` steps; with neither it runs until interrupted (for a managed
+    service prefer the stream, whose checkpoint also survives restarts).
+    Returns the number of steps run.
+    """
+    import time as _time
+
+    steps = idle = 0
+    while max_steps is None or steps < max_steps:
+        if job.poll(read_raw()):
+            steps, idle = steps + 1, 0
+            continue
+        idle += 1
+        if max_idle_polls is not None and idle >= max_idle_polls:
+            break
+        _time.sleep(interval)
+    return steps

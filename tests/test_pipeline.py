@@ -105,3 +105,12 @@ def test_touched_bucket_rewrite(spark, sf_small):
     # a new process sees the same profile from the commit files alone
     again = ProfileStore(spark, f"{base}/p", buckets=16, keys=FEED_POLICY.keys, touched_only=True).read()
     assert again.count() == got.count()
+
+
+def test_run_loop_stops_when_idle(spark, sf_small):
+    from patchprofile.plans.pipeline import run_loop
+    base = work_dir(spark, "test-loop")
+    feed = profile_feed(spark, sf_small)
+    job = UnifyMergeJob(spark, ProfileStore(spark, f"{base}/p"), FEED_POLICY, staging=f"{base}/s")
+    assert run_loop(job, lambda: feed, interval=0.01, max_idle_polls=2) == 1
+    assert job.store.read().count() == feed.select("uid", "utype").distinct().count()
