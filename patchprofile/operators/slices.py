@@ -88,13 +88,14 @@ def late_rows(df: DataFrame, arrival: Column, ts_col: str) -> DataFrame:
     ``arrival`` numbers the loads in commit order. After load ``a`` the slicer's
     mark is ``max(ts_col)`` of loads ``<= a``; a row of load ``a`` whose
     ``ts_col`` is not above the mark left by loads ``< a`` falls behind the
-    mark and is never appended. The per-load marks are one row per load, so
-    the running maximum over them and its broadcast are bounded by the number
-    of loads, not by the data.
+    mark and is never appended. The per-load marks are one row per load (a
+    partial aggregate shrinks every map task to that before the shuffle), so
+    the running maximum over them is bounded by the number of loads, not by
+    the data. No broadcast is forced: AQE broadcasts the marks after measuring
+    them, or joins them by shuffle if there are very many loads.
     """
     tagged = df.withColumn("arrival_no", arrival)
     marks = tagged.groupBy("arrival_no").agg(F.max(ts_col).alias("_mark"))
     before = Window.orderBy("arrival_no").rowsBetween(Window.unboundedPreceding, -1)
     prev = marks.select("arrival_no", F.max("_mark").over(before).alias("mark_at_arrival"))
-    return (tagged.join(F.broadcast(prev), "arrival_no")
-            .filter(F.col(ts_col) <= F.col("mark_at_arrival")))
+    return tagged.join(prev, "arrival_no").filter(F.col(ts_col) <= F.col("mark_at_arrival"))

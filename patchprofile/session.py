@@ -54,3 +54,21 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/patchprofile/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 1024 ** 3,
+               max_partitions: int = 100_000) -> dict[str, str]:
+    """Settings sized for an input of ``input_bytes`` (e.g. a 100 TB feed).
+
+    Shuffle partitions are chosen so that one holds about ``partition_bytes``
+    (capped, as map x reduce shuffle blocks grow with the square); AQE then
+    coalesces small ones and splits skewed ones. The same number is a good
+    bucket count for the profile store. Scans split at a quarter of that.
+    """
+    parts = min(max_partitions, max(1, -(-int(input_bytes) // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes // 4),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 4),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
