@@ -58,6 +58,8 @@ def hot_keys(feed: DataFrame, keys: list[str], hot_key_rows: int, max_hot_keys:
     """Keys with more than ``hot_key_rows`` rows; None when there are more than
     ``max_hot_keys`` of them. Reads the key columns only (hash aggregate)."""
     counts = feed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    # The limit bounds what reaches the driver; it never drops data: past the
+    # bound the caller unifies every key with the aggregate form.
     rows = counts.filter(F.col("__n") > hot_key_rows).select(*keys).limit(max_hot_keys + 1).collect()
     return None if len(rows) > max_hot_keys else rows
 
