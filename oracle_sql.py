@@ -370,6 +370,7 @@ def io_oracles() -> dict[str, str]:
                          f"FROM ({unify_sql('feed', FEED_POLICY)})")
     dirty = _dirty_feed(feed)
     o["ingest_delimited"] = f"SELECT {_LOAD_COLS} FROM ({dirty}) WHERE reason IS NULL"
+    o["stream_ingest"] = f"SELECT {_LOAD_COLS} FROM ({dirty}) WHERE reason IS NULL"
     o["ingest_multi_file"] = f"SELECT object_no, {_LOAD_COLS} FROM ({dirty}) WHERE reason IS NULL"
     o["ingest_rejects"] = (f"SELECT object_no, reason, count(*) AS rows FROM ({dirty}) "
                            f"WHERE reason IS NOT NULL GROUP BY object_no, reason")

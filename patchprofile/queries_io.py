@@ -273,3 +273,18 @@ def ingest_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
     res, _ = _ingest_run(spark, sf_dir)
     return D.stamp(res.good.select(_object_no(D.FILE).alias("object_no"), *LOAD_COLUMNS),
                    F.col("object_no"))
+
+
+@register("stream_ingest")
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-02/O-03/O-04 as a stream: objects picked up as they land, parsed, stamped with the
+    micro-batch id, written to a raw table partitioned by commit number."""
+    from patchprofile.streaming.ingest import start_ingest_stream
+
+    base = work_dir(spark, "stream-ingest")
+    objects = f"{base}/objects"
+    dirty_objects(profile_feed(spark, sf_dir)).repartition("object").write.partitionBy("object").text(objects)
+    q = start_ingest_stream(spark, objects, LOAD_SCHEMA, f"{base}/raw", f"{base}/rejects", f"{base}/ckpt",
+                            max_files_per_trigger=4)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/raw").select(*LOAD_COLUMNS)
