@@ -1,9 +1,9 @@
 """Event order of a feed as a single comparable value.
 
-``event_order`` packs (null flag, event time, tie-breaks) into one struct so
-that ``max``/``max_by`` over it picks the row a ``ORDER BY event DESC`` window
-would put first. Structs compare field by field, so one expression serves
-every column rule of the unify and the top-1 row.
+``event_order_sql`` packs (null flag, event time, tie-breaks) into one struct
+so that ``max``/``max_by`` over it picks the row an ``ORDER BY event DESC``
+window would put first. Structs compare field by field, so one expression
+serves every column rule of the unify and the top-1 row.
 """
 
 from __future__ import annotations
@@ -14,16 +14,6 @@ from pyspark.sql import functions as F
 from patchprofile.policy import ColumnPolicy
 
 
-def event_order(policy: ColumnPolicy) -> Column:
-    """Struct that is larger for rows that come first in the DESC event order."""
-    o = F.col(policy.order_by)
-    # nulls first in DESC order -> a NULL event time is the largest value
-    flag = o.isNull() if policy.nulls_first else o.isNotNull()
-    fields = [flag.alias("n"), o.alias("o")]
-    fields += [F.col(t).alias(f"t{i}") for i, t in enumerate(policy.tie_break)]
-    return F.struct(*fields)
-
-
 def event_order_desc(policy: ColumnPolicy) -> list[Column]:
     """The same order as window sort expressions (newest first)."""
     o = F.col(policy.order_by)
@@ -44,7 +34,8 @@ def order_sql(policy: ColumnPolicy) -> str:
 
 
 def event_order_sql(policy: ColumnPolicy) -> str:
-    """``event_order`` as SQL expression text."""
+    """Struct that is larger for rows that come first in the DESC event order
+    (nulls first: a NULL event time sets the leading flag)."""
     o = q(policy.order_by)
     flag = f"{o} IS NULL" if policy.nulls_first else f"{o} IS NOT NULL"
     fields = [f"'n', {flag}", f"'o', {o}"] + [f"'t{i}', {q(t)}" for i, t in enumerate(policy.tie_break)]

@@ -20,7 +20,6 @@ def test_window_form_is_one_window_and_pushes_slice(spark, sf_small):
 
 
 def test_aggregate_form_has_partial_aggregate(spark, sf_small):
-    p = spark.sparkContext  # noqa: F841
     df = unify(profile_feed(spark, sf_small), FEED_POLICY, method="aggregate")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan or "partial_" in plan
