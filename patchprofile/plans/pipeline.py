@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from patchprofile.operators.merge import (INSERTED, STATE, UNTOUCHED, UPDATED, merge_tagged, size_exprs,
                                           to_batch_size)
 from patchprofile.operators.slices import high_water, slice_range
-from patchprofile.operators.unify import unify
+from patchprofile.operators.unify import HOT_KEY_ROWS, unify
 from patchprofile.plans.metrics import StepLog
 from patchprofile.plans.store import ProfileStore
 from patchprofile.policy import ColumnPolicy
@@ -43,26 +43,39 @@ class UnifyMergeJob:
     prev: Any = None
     strategy: str = "auto"
     unify_method: str = "auto"
+    hot_key_rows: int = HOT_KEY_ROWS
     log: StepLog = field(default_factory=StepLog)
     next_batch: int = 0
 
     def poll(self, raw: DataFrame) -> bool:
-        """One loop turn of the reference's unify-merge mode; True if work was done."""
-        mark = high_water(raw, self.col)
+        """One loop turn of the reference's unify-merge mode; True if work was done.
+
+        The mark and the number of rows above the previous mark come from one
+        aggregate; a slice with no more rows than ``hot_key_rows`` cannot hold
+        a hot key, so it skips the hot-key scan.
+        """
+        c = F.col(self.col)
+        newer = c.isNotNull() if self.prev is None else c > F.lit(self.prev)
+        row = raw.agg(F.max(c).alias("m"), F.count(F.when(newer, 1)).alias("n")).first()
+        mark = row["m"]
         if mark is None or (self.prev is not None and mark <= self.prev):
             return False
-        self.run_slice(slice_range(raw, self.col, self.prev, mark), self.next_batch, self.prev, mark)
+        method = "window" if self.unify_method == "auto" and row["n"] <= self.hot_key_rows else self.unify_method
+        self.run_slice(slice_range(raw, self.col, self.prev, mark), self.next_batch, self.prev, mark,
+                       method=method)
         self.prev = mark
         self.next_batch += 1
         return True
 
-    def run_slice(self, slice_df: DataFrame, batch_id: int, lo: Any = None, hi: Any = None) -> dict:
+    def run_slice(self, slice_df: DataFrame, batch_id: int, lo: Any = None, hi: Any = None,
+                  method: str | None = None) -> dict:
         """Unify one slice (or stream micro-batch) and merge it; skips a batch already published."""
         if self.store.applied(batch_id):
             return {"skipped": True}
         with self.log.step("cycle", batch_id, lo, hi):
             with self.log.step("unify", batch_id, lo, hi) as rec:
-                unified = unify(slice_df, self.policy, method=self.unify_method)
+                unified = unify(slice_df, self.policy, method=method or self.unify_method,
+                                hot_key_rows=self.hot_key_rows)
                 obs = Observation(f"unify_{batch_id}_{id(self)}")
                 sized = unified.select(*self.policy.profile_columns())
                 # the batch size for the merge strategy is measured on this write
