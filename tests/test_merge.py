@@ -81,3 +81,11 @@ def test_auto_strategy_uses_measured_size(spark):
     plan = small._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert STATE not in small.columns
+
+
+def test_merging_twice_equals_once_without_new_key_markers(spark):
+    target = _df(spark, [("a", "s", 1.0, 1, T)])
+    batch = _df(spark, [("a", "-11111", 2.0, None, T2), ("b", "t", None, 5, T2)])
+    once = merge(target, batch, POLICY, strategy="shuffle")
+    twice = merge(once, batch, POLICY, strategy="shuffle")
+    assert rows(once) == rows(twice)

@@ -114,3 +114,17 @@ def test_run_loop_stops_when_idle(spark, sf_small):
     job = UnifyMergeJob(spark, ProfileStore(spark, f"{base}/p"), FEED_POLICY, staging=f"{base}/s")
     assert run_loop(job, lambda: feed, interval=0.01, max_idle_polls=2) == 1
     assert job.store.read().count() == feed.select("uid", "utype").distinct().count()
+
+
+def test_stream_restart_on_finished_checkpoint_changes_nothing(spark, sf_small):
+    from patchprofile import queries_io as QI
+    from patchprofile.streaming.unify_merge import feed_stream, start_unify_merge_stream
+    base = work_dir(spark, "test-restart")
+    feed = profile_feed(spark, sf_small)
+    raw = f"{base}/raw"
+    QI._write_arrivals(spark, feed, raw, range(QI.ARRIVALS), QI.arrival_bounds(feed))
+    for _ in range(2):
+        job = QI._unify_merge_job(spark, base)
+        start_unify_merge_stream(job, feed_stream(spark, raw, feed.schema, QI.FILES_PER_ARRIVAL),
+                                 f"{base}/ckpt").awaitTermination()
+    assert job.store.head()["version"] == QI.ARRIVALS - 1  # the second run found nothing new

@@ -86,3 +86,10 @@ def test_hot_key_split_on_skewed_feed(spark, sf_small):
     assert rows(split) == rows(unify(feed, FEED_POLICY, method="window"))
     plan = split._jdf.queryExecution().executedPlan().toString()
     assert "Union" in plan and "max_by" in plan and "Window" in plan
+
+
+def test_row_order_and_partitioning_do_not_matter(spark, sf_small):
+    feed = profile_feed(spark, sf_small)
+    base = rows(unify(feed, FEED_POLICY))
+    assert rows(unify(feed.repartition(7), FEED_POLICY)) == base
+    assert rows(unify(feed.orderBy(F.rand(3)).coalesce(3), FEED_POLICY)) == base
