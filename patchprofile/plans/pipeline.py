@@ -78,15 +78,20 @@ class UnifyMergeJob:
                                 hot_key_rows=self.hot_key_rows)
                 obs = Observation(f"unify_{batch_id}_{id(self)}")
                 sized = unified.select(*self.policy.profile_columns())
-                # the batch size for the merge strategy is measured on this write
-                unified.observe(obs, *size_exprs(sized.schema)).write.mode("overwrite").parquet(self.staging)
+                # measured on this write: the batch size (merge strategy) and, for a
+                # touched-bucket store, the buckets the batch touches (<= N ids)
+                metrics = size_exprs(sized.schema)
+                if self.store.touched_only:
+                    metrics.append(F.collect_set(self.store.bucket_of()).alias("buckets"))
+                unified.observe(obs, *metrics).write.mode("overwrite").parquet(self.staging)
                 rec["rows"] = int(obs.get["n"])
                 size = to_batch_size(sized.schema, obs.get["n"], obs.get["v"])
+                touched = obs.get.get("buckets")
             staged = self.spark.read.parquet(self.staging)
             if self.store.schema is None:
                 self.store.schema = staged.select(*self.policy.profile_columns()).schema
             with self.log.step("merge", batch_id, lo, hi) as rec:
-                tagged = merge_tagged(self.store.read_for(staged), staged, self.policy,
+                tagged = merge_tagged(self.store.read_for(staged, touched), staged, self.policy,
                                       strategy=self.strategy, known_size=size)
                 s = F.col(STATE)
                 obs = Observation(f"merge_{batch_id}_{id(self)}")

@@ -114,17 +114,20 @@ class ProfileStore:
         keys = ", ".join(q(k) for k in self.keys)
         return F.expr(f"pmod(hash({keys}), {self.buckets})")
 
-    def read_for(self, batch: DataFrame) -> DataFrame:
+    def read_for(self, batch: DataFrame, touched: list | None = None) -> DataFrame:
         """The profile rows a merge with ``batch`` can change.
 
         With touched-bucket rewrite these are the buckets that hold a key of the
         batch (their ids, at most ``buckets`` integers, are the only thing
-        collected); otherwise the whole profile.
+        collected; pass them as ``touched`` when they were observed already);
+        otherwise the whole profile.
         """
         h = self.head()
         if not self.touched_only or h is None:
             return self.read()
-        touched = {str(r[0]) for r in batch.select(self.bucket_of()).distinct().collect()}
+        if touched is None:
+            touched = [r[0] for r in batch.select(self.bucket_of()).distinct().collect()]
+        touched = {str(b) for b in touched}
         paths = [p for b, p in h["buckets"].items() if b in touched]
         return self.spark.read.parquet(*paths) if paths else self._empty()
 
