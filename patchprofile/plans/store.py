@@ -106,7 +106,10 @@ class ProfileStore:
 
     def _empty(self) -> DataFrame:
         if self.schema is None:
-            raise ValueError("empty store and no schema given")
+            h = self.head()
+            if h is None or "schema" not in h:
+                raise ValueError("empty store and no schema given")
+            self.schema = T.StructType.fromJson(json.loads(h["schema"]))
         return self.spark.createDataFrame([], self.schema)
 
     def bucket_of(self) -> Column:
@@ -137,7 +140,8 @@ class ProfileStore:
         if h is None:
             return self._empty()
         if self.touched_only:
-            return self.spark.read.parquet(*h["buckets"].values())
+            paths = list(h["buckets"].values())
+            return self.spark.read.parquet(*paths) if paths else self._empty()
         if self.buckets:
             name = self._table(int(h["version"]))
             if not self.spark.catalog.tableExists(name):
@@ -167,6 +171,7 @@ class ProfileStore:
         else:
             df.write.mode("error").parquet(path)
         record = dict(zip(_LOG_SCHEMA.fieldNames(), (version, int(batch_id), path, rows, time.time())))
+        record["schema"] = df.schema.json()
         if buckets is not None:
             record["buckets"] = buckets
         if not create_text(self.spark, f"{self.log_path}/{version:020d}.json", json.dumps(record)):

@@ -128,3 +128,15 @@ def test_stream_restart_on_finished_checkpoint_changes_nothing(spark, sf_small):
         start_unify_merge_stream(job, feed_stream(spark, raw, feed.schema, QI.FILES_PER_ARRIVAL),
                                  f"{base}/ckpt").awaitTermination()
     assert job.store.head()["version"] == QI.ARRIVALS - 1  # the second run found nothing new
+
+
+def test_empty_first_batch_then_data(spark, sf_small):
+    base = work_dir(spark, "test-empty-first")
+    feed = profile_feed(spark, sf_small)
+    store = ProfileStore(spark, f"{base}/p", buckets=4, keys=FEED_POLICY.keys, touched_only=True)
+    job = UnifyMergeJob(spark, store, FEED_POLICY, staging=f"{base}/s")
+    job.run_slice(feed.filter("epoch < 0"), 0)           # nothing arrived in this batch
+    fresh = ProfileStore(spark, f"{base}/p", buckets=4, keys=FEED_POLICY.keys, touched_only=True)
+    assert fresh.read().count() == 0                      # schema comes from the commit record
+    job.run_slice(feed, 1)
+    assert store.read().count() == feed.select("uid", "utype").distinct().count()
