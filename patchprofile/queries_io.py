@@ -36,9 +36,15 @@ def arrival_bounds(feed: DataFrame) -> list[int]:
     return split_bounds(-1, -1 if hi is None else hi, ARRIVALS)
 
 
-def write_arrival(feed: DataFrame, raw: str, lo, hi) -> None:
-    """One load: the epochs ``(lo, hi]`` appended to the raw folder as a fixed number of files."""
-    slice_range(feed, "epoch", lo, hi).repartition(FILES_PER_ARRIVAL).write.mode("append").parquet(raw)
+def write_arrival(feed: DataFrame, raw: str, lo, hi, load: int) -> None:
+    """One load: the epochs ``(lo, hi]`` written to the raw table's folder ``load=<n>``."""
+    slice_range(feed, "epoch", lo, hi).repartition(FILES_PER_ARRIVAL).write.mode("append").parquet(
+        f"{raw}/load={load}")
+
+
+def _raw_schema(feed: DataFrame) -> T.StructType:
+    """The raw table's schema: the feed plus its load-number folder column."""
+    return T.StructType(feed.schema.fields + [T.StructField("load", T.IntegerType())])
 
 
 def _unify_merge_job(spark: SparkSession, base: str) -> UnifyMergeJob:
@@ -56,7 +62,7 @@ def _run_incremental(spark: SparkSession, sf_dir: str) -> UnifyMergeJob:
     raw = f"{base}/raw"
     job = _unify_merge_job(spark, base)
     for i in range(ARRIVALS):
-        write_arrival(feed, raw, bounds[i], bounds[i + 1])
+        write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
         job.poll(spark.read.parquet(raw))
     return job
 
@@ -95,7 +101,7 @@ def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = f"{base}/raw"
     job = AppendJob(spark, staging=f"{base}/staging", columns=FEED_COLUMNS, col="epoch_ts")
     for i in range(ARRIVALS):
-        write_arrival(feed, raw, bounds[i], bounds[i + 1])
+        write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
         job.poll(spark.read.parquet(raw))
     return spark.read.parquet(job.staging)
 
@@ -130,7 +136,7 @@ def align_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _write_arrivals(spark: SparkSession, feed: DataFrame, raw: str, which: range, bounds) -> None:
     for i in which:
-        write_arrival(feed, raw, bounds[i], bounds[i + 1])
+        write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
 
 
 @register("stream_unify_merge")
@@ -142,7 +148,9 @@ def stream_unify_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = f"{base}/raw"
     _write_arrivals(spark, feed, raw, range(ARRIVALS), bounds)
     job = _unify_merge_job(spark, base)
-    q = start_unify_merge_stream(job, feed_stream(spark, raw, feed.schema, FILES_PER_ARRIVAL), f"{base}/ckpt")
+    # two whole loads per trigger; inside a trigger the loads are applied in load order
+    q = start_unify_merge_stream(job, feed_stream(spark, raw, _raw_schema(feed), 2 * FILES_PER_ARRIVAL),
+                                 f"{base}/ckpt", load_col="load")
     q.awaitTermination()
     return job.store.read()
 
@@ -157,10 +165,12 @@ def resume_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = ARRIVALS // 2
     _write_arrivals(spark, feed, raw, range(half), bounds)
     job = _unify_merge_job(spark, base)
-    start_unify_merge_stream(job, feed_stream(spark, raw, feed.schema, FILES_PER_ARRIVAL), ckpt).awaitTermination()
+    start_unify_merge_stream(job, feed_stream(spark, raw, _raw_schema(feed), FILES_PER_ARRIVAL), ckpt,
+                             load_col="load").awaitTermination()
     _write_arrivals(spark, feed, raw, range(half, ARRIVALS), bounds)
     job2 = _unify_merge_job(spark, base)  # a new process: only the folders carry over
-    start_unify_merge_stream(job2, feed_stream(spark, raw, feed.schema, FILES_PER_ARRIVAL), ckpt).awaitTermination()
+    start_unify_merge_stream(job2, feed_stream(spark, raw, _raw_schema(feed), FILES_PER_ARRIVAL), ckpt,
+                             load_col="load").awaitTermination()
     return job2.store.read()
 
 
@@ -171,7 +181,7 @@ def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = profile_feed(spark, sf_dir)
     raw = f"{base}/raw"
     _write_arrivals(spark, feed, raw, range(ARRIVALS), arrival_bounds(feed))
-    q = start_append_stream(feed_stream(spark, raw, feed.schema, FILES_PER_ARRIVAL), f"{base}/staging",
+    q = start_append_stream(feed_stream(spark, raw, _raw_schema(feed), FILES_PER_ARRIVAL), f"{base}/staging",
                             f"{base}/ckpt", FEED_COLUMNS)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/staging")

@@ -17,6 +17,7 @@ loop (one-second idle sleep).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,9 +37,26 @@ def _trigger(writer, available_now: bool, interval: str):
 
 
 def start_unify_merge_stream(job: UnifyMergeJob, stream: DataFrame, checkpoint: str, *,
-                             available_now: bool = True, interval: str = "1 second") -> StreamingQuery:
+                             load_col: str | None = None, available_now: bool = True,
+                             interval: str = "1 second") -> StreamingQuery:
+    """Unify and merge every micro-batch into the job's profile store.
+
+    Without ``load_col`` a micro-batch is one batch (its id is the batch id).
+    With ``load_col`` (the load number, e.g. a ``load=<n>`` folder of the raw
+    table) the loads inside a micro-batch are applied one by one in load order,
+    each with its load number as batch id, so a trigger may carry several
+    loads and a replayed load is skipped. A load must not be split across
+    triggers (``maxFilesPerTrigger`` a multiple of the files per load, or no
+    limit): its rows are one batch.
+    """
     def each_batch(batch_df: DataFrame, batch_id: int) -> None:
-        job.run_slice(batch_df, int(batch_id))
+        if load_col is None:
+            job.run_slice(batch_df, int(batch_id))
+            return
+        # load numbers of one micro-batch: at most one per file it holds
+        loads = sorted(r[0] for r in batch_df.select(load_col).distinct().collect())
+        for load in loads:
+            job.run_slice(batch_df.filter(F.col(load_col) == load), int(load))
 
     writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now, interval).start()
