@@ -24,8 +24,10 @@ META = ["doc_id", "n_tokens", "start"]
 
 #: Two white-space characters in a row, or one at an end: pieces can't be cut at spaces there.
 _ODD = re.compile(r"\s\s|^\s|\s$")
-#: A run of letters, perhaps behind one space, perhaps before punctuation marks.
-_LETTERS = re.compile(r"( ?[^\W\d_]+)([.,;:!?]*)")
+#: White space besides the space and the line feed.
+_OTHER = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+#: A run of letters, perhaps before punctuation marks.
+_LETTERS = re.compile(r"([^\W\d_]+)([.,;:!?]{0,4})")
 
 
 class Encoder:
@@ -48,6 +50,8 @@ class Encoder:
         self.model = self.tok.model
         self.limit = limit
         self.kept: dict[str, bytes] = {}
+        self.starts: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         self.feed = self.whole("\n")
         # the byte-level alphabet, as the library's own pre-tokenizer spells each byte
         cut = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -61,37 +65,47 @@ class Encoder:
         spelt = run.encode().decode("latin-1").translate(self.spell)
         return array("I", [x.id for x in self.model.tokenize(spelt)]).tobytes()
 
-    def learn(self, pieces: set[str]) -> None:
-        kept = self.kept
+    def learn(self, pieces: set[str], kept: dict[str, bytes], lead: str) -> None:
+        """Encode the pieces not kept yet, each with ``lead`` (a space, or nothing at a line's start) before it."""
         if len(kept) > self.limit:
             kept.clear()
         for p in pieces.difference(kept):
             m = _LETTERS.fullmatch(p)
             if not m or max(p) > "\u07ff":  # the spelling covers the lead bytes of two-byte characters
-                kept[p] = self.whole(p)
+                kept[p] = self.whole(lead + p)
                 continue
             head, tail = m.groups()
             if head not in kept:
-                kept[head] = self.letters(head)
+                kept[head] = self.letters(lead + head)
             if tail:
-                if tail not in kept:
-                    kept[tail] = self.whole(tail)
-                kept[p] = kept[head] + kept[tail]
+                if tail not in self.marks:
+                    self.marks[tail] = self.whole(tail)
+                kept[p] = kept[head] + self.marks[tail]
 
     def many(self, texts: list[str]) -> list[bytes]:
         plans: list = []
-        pieces: set[str] = set()
+        first: set[str] = set()
+        rest: set[str] = set()
         for t in texts:
-            if not t or _ODD.search(t):
+            if not t or odd(t):
                 plans.append(None)
                 continue
-            lines = [[x if not i else " " + x for i, x in enumerate(line.split(" "))] for line in t.split("\n")]
+            lines = [line.split(" ") for line in t.split("\n")]
             plans.append(lines)
             for line in lines:
-                pieces.update(line)
-        self.learn(pieces)
-        get = self.kept.__getitem__
-        return [self.whole(t) if p is None else self.feed.join([b"".join(map(get, line)) for line in p]) for t, p in zip(texts, plans)]
+                first.add(line[0])
+                rest.update(line)
+        self.learn(first, self.starts, "")
+        self.learn(rest, self.kept, " ")
+        begin, get = self.starts, self.kept.__getitem__
+        return [self.whole(t) if p is None else self.feed.join([begin[line[0]] + b"".join(map(get, line[1:])) for line in p]) for t, p in zip(texts, plans)]
+
+
+def odd(text: str) -> bool:
+    """Whether white space stands beside white space, or at an end."""
+    if any(map(text.__contains__, _OTHER)):
+        return bool(_ODD.search(text))
+    return "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n"
 
 
 def _two_byte() -> list[str]:
