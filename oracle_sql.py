@@ -358,7 +358,19 @@ def io_oracles() -> dict[str, str]:
     o["incremental_unify_merge"] = replay_arrivals_sql(feed)
     o["stream_unify_merge"] = replay_arrivals_sql(feed)
     o["resume_from_checkpoint"] = replay_arrivals_sql(feed)
-    o["staging_reset"] = f"WITH feed AS ({feed}) SELECT {_UNIFIED_COLS} FROM feed WHERE false"
+    for same in ("restart_batch_loop", "crash_before_commit", "stream_split_load"):
+        o[same] = replay_arrivals_sql(feed)
+    loads = f"""WITH feed AS ({feed}), t AS (SELECT *, {_arrival_case()} AS a FROM feed),
+k AS (SELECT DISTINCT a, uid, utype FROM t),
+n AS (SELECT a, count(*) AS keys FROM k GROUP BY a),
+m AS (SELECT a, max(epoch) AS hi FROM t GROUP BY a),
+b AS (SELECT row_number() OVER (ORDER BY a) - 1 AS batch_id, lag(hi) OVER (ORDER BY a) AS lo, hi, keys FROM m JOIN n USING (a))"""
+    o["run_metrics"] = (f"{loads} SELECT s.step, batch_id, lo, hi, CASE WHEN s.step <> 'cycle' THEN keys END AS rows "
+                        f"FROM b, (VALUES ('unify'), ('merge'), ('cycle')) s(step)")
+    o["staging_reset"] = f"{loads} SELECT batch_id, keys AS rows_staged, 0 AS rows_after FROM b"
+    o["run_metrics_summary"] = """WITH e AS (SELECT event_type AS step, user_id, (event_id * 7919 + user_id) % 100003 AS d FROM events)
+SELECT step, count(*) AS runs, min(d) AS min_ns, max(d) AS max_ns, CAST(sum(d) AS BIGINT) AS total_ns,
+       CAST(sum(d) // count(*) AS BIGINT) AS avg_ns, CAST(sum(user_id) AS BIGINT) AS rows FROM e GROUP BY step"""
     o["incremental_append"] = (f"WITH {_late_ctes(feed)} SELECT {_FEED_COLS} FROM t JOIN prev USING (arrival_no) "
                                f"WHERE mark_at_arrival IS NULL OR epoch_ts > mark_at_arrival")
     o["late_rows_report"] = (f"WITH {_late_ctes(feed)} SELECT epoch, epoch_ts, arrival_no, mark_at_arrival "
@@ -372,6 +384,8 @@ def io_oracles() -> dict[str, str]:
     o["ingest_delimited"] = f"SELECT {_LOAD_COLS} FROM ({dirty}) WHERE reason IS NULL"
     o["stream_ingest"] = f"SELECT {_LOAD_COLS} FROM ({dirty}) WHERE reason IS NULL"
     o["ingest_multi_file"] = f"SELECT object_no, {_LOAD_COLS} FROM ({dirty}) WHERE reason IS NULL"
+    o["ingest_stamped"] = (f"SELECT object_no, {_LOAD_COLS}, object_no AS epoch, "
+                           f"TIMESTAMP '2024-01-01 00:00:00' + to_seconds(object_no) AS epoch_ts FROM ({dirty}) WHERE reason IS NULL")
     o["ingest_rejects"] = (f"SELECT object_no, reason, count(*) AS rows FROM ({dirty}) "
                            f"WHERE reason IS NOT NULL GROUP BY object_no, reason")
     o["ingest_file_stats"] = (f"SELECT object_no, count(*) FILTER (WHERE reason IS NULL) AS rows_loaded, "

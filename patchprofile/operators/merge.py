@@ -27,6 +27,7 @@ Two physical strategies give the same rows:
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -78,13 +79,19 @@ def batch_size(batch: DataFrame) -> BatchSize:
     return to_batch_size(batch.schema, row["n"], row["v"])
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
 def broadcast_limit(spark) -> int:
-    conf = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
-    try:
-        val = int(str(conf).rstrip("b")) if conf is not None else -1
-    except ValueError:
-        val = -1
-    return max(val, DEFAULT_BROADCAST_BYTES)
+    """Bytes up to which a measured batch is broadcast: the session's threshold, 64 MB where that
+    is smaller, and never where the session switches broadcasts off (``-1``)."""
+    conf = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold")).strip().lower()
+    m = re.fullmatch(r"(-?\d+)\s*([a-z]*)", conf)
+    if not m or m[2] not in _UNITS:
+        return DEFAULT_BROADCAST_BYTES
+    if int(m[1]) < 0:
+        return -1
+    return max(int(m[1]) * _UNITS[m[2]], DEFAULT_BROADCAST_BYTES)
 
 
 def merge(target: DataFrame, batch: DataFrame, policy: ColumnPolicy, *,
@@ -129,7 +136,7 @@ def merge_tagged(target: DataFrame, batch: DataFrame, policy: ColumnPolicy, *,
     types = {f.name: f.dataType for f in batch.schema.fields}
 
     if strategy == "auto":
-        limit = max_broadcast_bytes or broadcast_limit(batch.sparkSession)
+        limit = broadcast_limit(batch.sparkSession) if max_broadcast_bytes is None else max_broadcast_bytes
         size = known_size if known_size is not None else batch_size(batch)
         strategy = "broadcast" if size.bytes <= limit else "shuffle"
 

@@ -60,14 +60,9 @@ def split_bounds(lo: Any, hi: Any, n: int) -> list[Any]:
 def labelled_slices(df: DataFrame, col: str, bounds: list[Any], label: str = "slice_no") -> DataFrame:
     """Every row of ``(bounds[0], bounds[-1]]`` tagged with its slice number (1-based).
 
-    One filtered scan per slice, each with its own pushed range filter.
+    One scan with the whole range pushed down; the number is an expression.
     """
-    parts = [slice_range(df, col, bounds[i], bounds[i + 1]).withColumn(label, F.lit(i + 1))
-             for i in range(len(bounds) - 1)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return slice_range(df, col, bounds[0], bounds[-1]).withColumn(label, slice_number(col, bounds))
 
 
 def slice_number(col: str, bounds: list[Any]) -> Column:

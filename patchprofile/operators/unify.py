@@ -45,6 +45,7 @@ MAX_HOT_KEYS = 100_000
 
 def unify(feed: DataFrame, policy: ColumnPolicy, method: str = "auto", *,
           hot_key_rows: int = HOT_KEY_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    policy.check_order()  # all forms agree only on a total order
     if method == "auto":
         return _unify_split(feed, policy, hot_key_rows, max_hot_keys)
     if method == "aggregate":
@@ -135,5 +136,6 @@ def top1_per_key(feed: DataFrame, policy: ColumnPolicy) -> DataFrame:
     ``row_number() == 1`` lets Spark place a partial group limit before the
     shuffle, so each map task forwards at most one row per key.
     """
+    policy.check_order()
     w = Window.partitionBy(*policy.keys).orderBy(*event_order_desc(policy))
     return feed.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)

@@ -12,6 +12,7 @@ write's tasks.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -23,8 +24,9 @@ from patchprofile.operators.merge import (INSERTED, STATE, UNTOUCHED, UPDATED, m
 from patchprofile.operators.slices import high_water, slice_range
 from patchprofile.operators.unify import HOT_KEY_ROWS, unify
 from patchprofile.plans.metrics import StepLog
-from patchprofile.plans.store import ProfileStore
+from patchprofile.plans.store import ProfileStore, decode_mark, encode_mark
 from patchprofile.policy import ColumnPolicy
+from patchprofile.sources.fs import create_text, list_names, read_text
 
 
 def reset_staging(spark: SparkSession, path: str, schema) -> None:
@@ -45,7 +47,15 @@ class UnifyMergeJob:
     unify_method: str = "auto"
     hot_key_rows: int = HOT_KEY_ROWS
     log: StepLog = field(default_factory=StepLog)
-    next_batch: int = 0
+    next_batch: int | None = None
+
+    def __post_init__(self) -> None:
+        """A new process goes on from the newest published version: its mark and the batch after it."""
+        h = self.store.head()
+        if self.prev is None:
+            self.prev = self.store.mark()
+        if self.next_batch is None:
+            self.next_batch = 0 if h is None else int(h["batch_id"]) + 1
 
     def poll(self, raw: DataFrame) -> bool:
         """One loop turn of the reference's unify-merge mode; True if work was done.
@@ -61,8 +71,11 @@ class UnifyMergeJob:
         if mark is None or (self.prev is not None and mark <= self.prev):
             return False
         method = "window" if self.unify_method == "auto" and row["n"] <= self.hot_key_rows else self.unify_method
-        self.run_slice(slice_range(raw, self.col, self.prev, mark), self.next_batch, self.prev, mark,
-                       method=method)
+        done = self.run_slice(slice_range(raw, self.col, self.prev, mark), self.next_batch, self.prev, mark,
+                              method=method)
+        if done["skipped"]:
+            # the mark must never pass rows that were not merged
+            raise RuntimeError(f"batch {self.next_batch} of {self.store.root} was published by someone else; open the job again")
         self.prev = mark
         self.next_batch += 1
         return True
@@ -101,7 +114,7 @@ class UnifyMergeJob:
                     F.count(F.when(s == INSERTED, 1)).alias("inserted"),
                     F.count(F.when(s == UNTOUCHED, 1)).alias("untouched"),
                 )
-                self.store.publish(counted.drop(STATE), batch_id)
+                self.store.publish(counted.drop(STATE), batch_id, mark=hi, empty=size.rows == 0)
                 m = obs.get
                 rec["rows"] = int(m["updated"]) + int(m["inserted"])
             reset_staging(self.spark, self.staging, staged.schema)
@@ -110,7 +123,12 @@ class UnifyMergeJob:
 
 @dataclass
 class AppendJob:
-    """The reference's select-insert mode: append ``(prev, mark]`` of the feed to staging, unchanged."""
+    """The reference's select-insert mode: append ``(prev, mark]`` of the feed to staging, unchanged.
+
+    Each slice has a folder of its own (``slice=<n>``) and, once written, a small record
+    with its mark. A slice without a record was cut off: it is written again, over what is there, and
+    ``read`` leaves it out. A new process goes on from the newest record.
+    """
     spark: SparkSession
     staging: str
     columns: list[str]
@@ -119,6 +137,17 @@ class AppendJob:
     log: StepLog = field(default_factory=StepLog)
     next_batch: int = 0
 
+    def __post_init__(self) -> None:
+        done = [int(n.removesuffix(".json")) for n in list_names(self.spark, self._marks) if n.endswith(".json") and not n.startswith(".")]
+        if done and self.prev is None:
+            last = max(done)
+            self.prev = decode_mark(json.loads(read_text(self.spark, f"{self._marks}/{last}.json")))
+            self.next_batch = last + 1
+
+    @property
+    def _marks(self) -> str:
+        return f"{self.staging}/_marks"
+
     def poll(self, raw: DataFrame) -> bool:
         mark = high_water(raw, self.col)
         if mark is None or (self.prev is not None and mark <= self.prev):
@@ -126,12 +155,19 @@ class AppendJob:
         with self.log.step("append", self.next_batch, self.prev, mark) as rec:
             obs = Observation(f"append_{self.next_batch}_{id(self)}")
             part = slice_range(raw, self.col, self.prev, mark).select(*self.columns)
-            part.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(self.staging)
+            (part.observe(obs, F.count(F.lit(1)).alias("rows"))
+                 .write.mode("overwrite").parquet(f"{self.staging}/slice={self.next_batch}"))
+            if not create_text(self.spark, f"{self._marks}/{self.next_batch}.json", json.dumps(encode_mark(mark))):
+                raise RuntimeError(f"slice {self.next_batch} of {self.staging} was appended by another writer")
             rec["rows"] = int(obs.get["rows"])
         self.prev = mark
         self.next_batch += 1
         return True
 
+    def read(self) -> DataFrame:
+        """The appended rows of every finished slice."""
+        return self.spark.read.parquet(self.staging).where(F.col("slice") < self.next_batch).drop("slice")
+
 
 def run_loop(job: "UnifyMergeJob | AppendJob", read_raw, *, interval: float = 1.0,
              max_idle_polls: int | None = None, max_steps: int | None = None) -> int:

@@ -2,9 +2,9 @@
 
 Each merge writes a complete new version to its own folder (a path being read
 is never overwritten), then publishes it by creating one small commit file
-``_log/<version>.json``; the create is exclusive, so a version is committed
+``_log/<version>-b<batch>.json``; the create is exclusive, so a version is committed
 once, by one writer. Readers take the highest committed version. The batch id is
-part of the record, so a replayed batch (a restarted stream re-delivering a
+part of the record and of its name, so a replayed batch (a restarted stream re-delivering a
 micro-batch) is recognised and skipped: exactly-once on top of at-least-once.
 Writing the version to storage also cuts the lineage between batches, and a
 lost executor only costs the tasks of the current write.
@@ -26,13 +26,15 @@ from __future__ import annotations
 import hashlib
 import json
 import time
+from datetime import datetime
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patchprofile.functions.ordering import q
-from patchprofile.sources.fs import create_text, list_names, read_texts
+from patchprofile.sources.fs import create_text, list_names, read_text
 
 _LOG_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -44,9 +46,10 @@ _LOG_SCHEMA = T.StructType([
 
 
 class ProfileStore:
-    """One writer per store (the job or stream that owns it). The commit log is
-    read from storage once, when first needed, and then kept in step with this
-    writer's own commits, so a loop turn does not re-read it.
+    """One writer per store (the job or stream that owns it). The log is listed once, when
+    first needed, and only its newest record is read; both are then kept in step with this writer's
+    own commits. The record holds the feed's mark, so a restarted job goes on where the last
+    published version ended.
 
     With ``buckets`` set, every version is written as a Parquet table bucketed
     (and sorted) by the profile keys. A join on the keys then reads the profile
@@ -68,7 +71,8 @@ class ProfileStore:
         self.schema = schema
         self.buckets = buckets
         self.keys = tuple(keys)
-        self._commits: list[dict] | None = None
+        self._head: dict | None = None
+        self._versions: dict[int, int] | None = None  # version -> batch id, from the record names
         self._tag = hashlib.sha1(self.root.encode()).hexdigest()[:12]
 
     def _table(self, version: int) -> str:
@@ -82,10 +86,18 @@ class ProfileStore:
         self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({keys}) "
                        f"SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{path}'")
 
-    def _load(self) -> list[dict]:
-        if self._commits is None:
-            self._commits = [json.loads(t) for t in read_texts(self.spark, self.log_path).values()]
-        return self._commits
+    def _load(self) -> dict[int, int]:
+        """Committed versions and their batch ids: one listing; only the newest record is ever read."""
+        if self._versions is None:
+            names = [n[:-5].split("-b") for n in list_names(self.spark, self.log_path) if n.endswith(".json") and not n.startswith(".")]
+            self._versions = {int(v): int(b) for v, b in names}
+            if self._versions:
+                v = max(self._versions)
+                self._head = json.loads(read_text(self.spark, self._record(v, self._versions[v])))
+        return self._versions
+
+    def _record(self, version: int, batch_id: int) -> str:
+        return f"{self.log_path}/{version:020d}-b{batch_id}.json"
 
     @property
     def log_path(self) -> str:
@@ -93,16 +105,22 @@ class ProfileStore:
 
     def log(self) -> DataFrame:
         """The commit records as a DataFrame."""
-        return self.spark.createDataFrame([tuple(c[f] for f in _LOG_SCHEMA.fieldNames()) for c in self._load()],
-                                          _LOG_SCHEMA)
+        if not self._load():
+            return self.spark.createDataFrame([], _LOG_SCHEMA)
+        return self.spark.read.schema(_LOG_SCHEMA).json(self.log_path)
 
     def head(self) -> dict | None:
         """The newest commit record, or None before the first commit."""
-        commits = self._load()
-        return max(commits, key=lambda c: c["version"]) if commits else None
+        self._load()
+        return self._head
+
+    def mark(self) -> Any:
+        """The high-water mark stored with the newest version (None when it has none)."""
+        h = self.head()
+        return decode_mark(h.get("mark")) if h else None
 
     def applied(self, batch_id: int) -> bool:
-        return any(c["batch_id"] == batch_id for c in self._load())
+        return int(batch_id) in self._load().values()
 
     def _empty(self) -> DataFrame:
         if self.schema is None:
@@ -149,15 +167,23 @@ class ProfileStore:
             return self.spark.table(name)
         return self.spark.read.parquet(h["path"])
 
-    def publish(self, df: DataFrame, batch_id: int, rows: int | None = None) -> int:
-        """Write ``df`` as the next version and commit it; returns the version."""
+    def publish(self, df: DataFrame, batch_id: int, rows: int | None = None, mark: Any = None, empty: bool = False) -> int:
+        """Write ``df`` as the next version and commit it with the feed's ``mark``; returns the version.
+
+        What an earlier try left under the version's path was never committed and
+        belongs to nobody: it is overwritten.
+        """
         h = self.head()
         version = 0 if h is None else int(h["version"]) + 1
         path = f"{self.root}/v{version:08d}-b{batch_id}"
         buckets = None
         if self.touched_only:
             # only the buckets present in ``df`` are written; the rest stay where they are
-            df.withColumn(_BUCKET, self.bucket_of()).write.partitionBy(_BUCKET).mode("error").parquet(path)
+            # brought together by bucket first, else every task would write a file for every bucket
+            # (not when known to be empty: re-planning an empty shuffle loses what is observed below it)
+            put = df.withColumn(_BUCKET, self.bucket_of())
+            ((put if empty else put.hint("rebalance", _BUCKET))
+               .write.partitionBy(_BUCKET).mode("overwrite").parquet(path))
             buckets = dict(h["buckets"]) if h is not None else {}
             for name in list_names(self.spark, path):
                 if name.startswith(f"{_BUCKET}="):
@@ -166,20 +192,41 @@ class ProfileStore:
             # No repartition here: a merge joined on the bucketed profile leaves every
             # key in the task of its bucket (the batch side is hash-partitioned by the
             # same function), so each task writes one bucket file without a shuffle.
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(version)}")
             (df.write.format("parquet").bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
-               .option("path", path).mode("error").saveAsTable(self._table(version)))
+               .option("path", path).mode("overwrite").saveAsTable(self._table(version)))
         else:
-            df.write.mode("error").parquet(path)
+            df.write.mode("overwrite").parquet(path)
         record = dict(zip(_LOG_SCHEMA.fieldNames(), (version, int(batch_id), path, rows, time.time())))
         record["schema"] = df.schema.json()
+        record["mark"] = encode_mark(mark)
         if buckets is not None:
             record["buckets"] = buckets
-        if not create_text(self.spark, f"{self.log_path}/{version:020d}.json", json.dumps(record)):
+        if not create_text(self.spark, self._record(version, int(batch_id)), json.dumps(record)):
             raise RuntimeError(f"version {version} of {self.root} was committed by another writer")
-        self._load().append(record)
+        self._load()[version] = int(batch_id)
+        self._head = record
         if self.schema is None:
             self.schema = df.schema
         return version
 
 
 _BUCKET = "pbucket"
+
+
+def encode_mark(mark: Any) -> list | None:
+    """A mark as JSON: its kind and text."""
+    if mark is None:
+        return None
+    if isinstance(mark, datetime):
+        return ["timestamp", mark.isoformat()]
+    if isinstance(mark, int):
+        return ["integer", str(mark)]
+    raise TypeError(f"a mark is an integer or a timestamp, not {type(mark).__name__}")
+
+
+def decode_mark(stored: list | None) -> Any:
+    if stored is None:
+        return None
+    kind, text = stored
+    return datetime.fromisoformat(text) if kind == "timestamp" else int(text)

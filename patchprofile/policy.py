@@ -63,6 +63,11 @@ class ColumnPolicy:
         """Columns stored in the profile: unified columns minus not-merged ones."""
         return [c for c in self.unified_columns() if self.merge_rule(c) != NOT_MERGED]
 
+    def check_order(self) -> None:
+        """Unify needs a tie-break: without one, equal event times would let the physical form decide the result."""
+        if not self.tie_break:
+            raise ValueError("tie_break must name columns that order rows of equal event time")
+
     def order_columns(self) -> list[str]:
         return [self.order_by, *self.tie_break]
 

@@ -8,7 +8,7 @@ Every query writes under a fresh folder of the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,10 +22,11 @@ from patchprofile.queries import register
 from patchprofile.session import work_dir
 from patchprofile.sources import delimited as D
 from patchprofile.sources.fixtures import FEED_COLUMNS, FEED_POLICY, profile_feed
-from patchprofile.streaming.unify_merge import feed_stream, start_append_stream, start_unify_merge_stream
+from patchprofile.streaming.unify_merge import feed_stream, start_append_stream, start_unify_merge_stream, write_marker
 
 ARRIVALS = 4           # loads the feed arrives in
-FILES_PER_ARRIVAL = 2  # files written per load; the stream reads one load per trigger
+ROWS_PER_FILE = 1_000_000  # a load's files hold at most this many rows
+FILES_PER_TRIGGER = 64     # files a stream takes per trigger; loads may be cut anywhere
 ROWS_PER_OBJECT = 1000 # delimited objects hold this many epochs each
 
 
@@ -36,10 +37,12 @@ def arrival_bounds(feed: DataFrame) -> list[int]:
     return split_bounds(-1, -1 if hi is None else hi, ARRIVALS)
 
 
-def write_arrival(feed: DataFrame, raw: str, lo, hi, load: int) -> None:
-    """One load: the epochs ``(lo, hi]`` written to the raw table's folder ``load=<n>``."""
-    slice_range(feed, "epoch", lo, hi).repartition(FILES_PER_ARRIVAL).write.mode("append").parquet(
-        f"{raw}/load={load}")
+def write_arrival(feed: DataFrame, raw: str, lo, hi, load: int, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """One load: the epochs ``(lo, hi]`` written to the raw table's folder ``load=<n>``, and its completion record."""
+    obs = Observation()
+    part = slice_range(feed, "epoch", lo, hi).observe(obs, F.count(F.lit(1)).alias("rows"))
+    part.write.mode("append").option("maxRecordsPerFile", rows_per_file).parquet(f"{raw}/load={load}")
+    write_marker(feed.sparkSession, f"{raw}-complete", load, obs.get["rows"])
 
 
 def _raw_schema(feed: DataFrame) -> T.StructType:
@@ -73,37 +76,90 @@ def incremental_unify_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_incremental(spark, sf_dir).store.read()
 
 
+@register("restart_batch_loop")
+def restart_batch_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-39: the loop stopped after two loads; a new job on the same folders goes on after two more."""
+    base = work_dir(spark, "restart")
+    feed = profile_feed(spark, sf_dir)
+    bounds = arrival_bounds(feed)
+    raw = f"{base}/raw"
+    job = _unify_merge_job(spark, base)
+    for i in range(ARRIVALS):
+        if i == ARRIVALS // 2:
+            job = _unify_merge_job(spark, base)  # a new process: only the folders carry over
+        write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
+        job.poll(spark.read.parquet(raw))
+    return job.store.read()
+
+
+@register("crash_before_commit")
+def crash_before_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-39: one load's version is written but the process dies before the commit; a new job does it again."""
+    base = work_dir(spark, "crash")
+    feed = profile_feed(spark, sf_dir)
+    bounds = arrival_bounds(feed)
+    raw = f"{base}/raw"
+    job = _unify_merge_job(spark, base)
+    for i in range(ARRIVALS):
+        write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
+        if i == 1:
+            h = job.store.head()
+            left = f"{job.store.root}/v{0 if h is None else h['version'] + 1:08d}-b{job.next_batch}"
+            # what the dead process left: rows under the next version's path, no record
+            feed.limit(10).withColumn("pbucket", F.lit(0)).write.partitionBy("pbucket").parquet(left)
+            job = _unify_merge_job(spark, base)
+        job.poll(spark.read.parquet(raw))
+    return job.store.read()
+
+
+def _metrics(spark: SparkSession, sf_dir: str) -> tuple[UnifyMergeJob, DataFrame]:
+    """The step log of the loop, written as a table."""
+    job = _run_incremental(spark, sf_dir)
+    path = f"{work_dir(spark, 'metrics')}/log"
+    job.log.to_df(spark).write.partitionBy("batch_id").parquet(path)
+    return job, spark.read.parquet(path)
+
+
 @register("run_metrics")
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-42: one record per unify / merge / cycle step of the loop (clock columns vary)."""
-    return _run_incremental(spark, sf_dir).log.to_df(spark)
+    """O-42: one record per unify / merge / cycle step of the loop (without the clock's columns)."""
+    _, log = _metrics(spark, sf_dir)
+    return log.select("step", F.col("batch_id").cast("long").alias("batch_id"), F.col("lo").cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"), "rows")
 
 
 @register("run_metrics_summary")
 def run_metrics_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-17: min / max / total / truncating average per step kind."""
-    return summarize(_run_incremental(spark, sf_dir).log.to_df(spark))
+    """O-17/O-32: min / max / total / truncating average per step kind, over durations taken from the events."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ns = (F.col("event_id") * 7919 + F.col("user_id")) % 100_003
+    log = e.select(F.col("event_type").alias("step"), F.col("event_id").alias("batch_id"), F.lit(None).cast("string").alias("lo"), F.lit(None).cast("string").alias("hi"),
+                   F.col("user_id").cast("long").alias("rows"), F.lit(0.0).alias("started_at"), F.lit(0.0).alias("ended_at"), ns.cast("long").alias("elapsed_ns"))
+    return summarize(log)
 
 
 @register("staging_reset")
 def staging_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-08: staging holds no rows after each merge (and keeps its schema)."""
-    job = _run_incremental(spark, sf_dir)
-    return spark.read.parquet(job.staging)
+    """O-08: rows that each batch staged, and rows left in staging after the last reset."""
+    job, log = _metrics(spark, sf_dir)
+    after = spark.read.parquet(job.staging).agg(F.count(F.lit(1)).alias("rows_after"))
+    return log.where("step = 'unify'").select(F.col("batch_id").cast("long").alias("batch_id"), F.col("rows").alias("rows_staged")).join(F.broadcast(after))
 
 
 @register("incremental_append")
 def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-37/O-40: the ingest-time append loop over four loads; rows behind a passed mark are lost."""
+    """O-37/O-40: the ingest-time append loop over four loads, restarted after two; rows behind a passed mark are lost."""
     base = work_dir(spark, "append")
     feed = profile_feed(spark, sf_dir)
     bounds = arrival_bounds(feed)
     raw = f"{base}/raw"
-    job = AppendJob(spark, staging=f"{base}/staging", columns=FEED_COLUMNS, col="epoch_ts")
+    new = lambda: AppendJob(spark, staging=f"{base}/staging", columns=FEED_COLUMNS, col="epoch_ts")
+    job = new()
     for i in range(ARRIVALS):
+        if i == ARRIVALS // 2:
+            job = new()
         write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
         job.poll(spark.read.parquet(raw))
-    return spark.read.parquet(job.staging)
+    return job.read()
 
 
 @register("late_rows_report")
@@ -120,7 +176,7 @@ def slice_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = f"{work_dir(spark, 'slice-append')}/staging"
     job = AppendJob(spark, staging=staging, columns=FEED_COLUMNS, col="epoch_ts")
     job.poll(profile_feed(spark, sf_dir))
-    return spark.read.parquet(staging)
+    return job.read()
 
 
 @register("align_insert")
@@ -134,23 +190,36 @@ def align_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------- streams ----
 
-def _write_arrivals(spark: SparkSession, feed: DataFrame, raw: str, which: range, bounds) -> None:
+def _write_arrivals(spark: SparkSession, feed: DataFrame, raw: str, which: range, bounds, rows_per_file: int = ROWS_PER_FILE) -> None:
     for i in which:
-        write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
+        write_arrival(feed, raw, bounds[i], bounds[i + 1], i, rows_per_file)
 
 
 @register("stream_unify_merge")
 def stream_unify_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-38 as a stream: file source, one load per trigger, foreachBatch unify + merge."""
+    """O-38 as a stream: file source, loads applied whole in load order, foreachBatch unify + merge."""
     base = work_dir(spark, "stream")
     feed = profile_feed(spark, sf_dir)
     bounds = arrival_bounds(feed)
     raw = f"{base}/raw"
     _write_arrivals(spark, feed, raw, range(ARRIVALS), bounds)
     job = _unify_merge_job(spark, base)
-    # two whole loads per trigger; inside a trigger the loads are applied in load order
-    q = start_unify_merge_stream(job, feed_stream(spark, raw, _raw_schema(feed), 2 * FILES_PER_ARRIVAL),
-                                 f"{base}/ckpt", load_col="load")
+    q = start_unify_merge_stream(job, feed_stream(spark, raw, _raw_schema(feed), FILES_PER_TRIGGER),
+                                 f"{base}/ckpt", load_col="load", markers=f"{raw}-complete")
+    q.awaitTermination()
+    return job.store.read()
+
+
+@register("stream_split_load")
+def stream_split_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-38: every load in at least three files, two files a trigger: triggers cut loads, the result is the same."""
+    base = work_dir(spark, "split")
+    feed = profile_feed(spark, sf_dir)
+    bounds = arrival_bounds(feed)
+    raw = f"{base}/raw"
+    _write_arrivals(spark, feed, raw, range(ARRIVALS), bounds, max(1, (bounds[1] - bounds[0]) // 3))
+    job = _unify_merge_job(spark, base)
+    q = start_unify_merge_stream(job, feed_stream(spark, raw, _raw_schema(feed), 2), f"{base}/ckpt", load_col="load", markers=f"{raw}-complete")
     q.awaitTermination()
     return job.store.read()
 
@@ -165,12 +234,12 @@ def resume_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = ARRIVALS // 2
     _write_arrivals(spark, feed, raw, range(half), bounds)
     job = _unify_merge_job(spark, base)
-    start_unify_merge_stream(job, feed_stream(spark, raw, _raw_schema(feed), FILES_PER_ARRIVAL), ckpt,
-                             load_col="load").awaitTermination()
+    start_unify_merge_stream(job, feed_stream(spark, raw, _raw_schema(feed), FILES_PER_TRIGGER), ckpt,
+                             load_col="load", markers=f"{raw}-complete").awaitTermination()
     _write_arrivals(spark, feed, raw, range(half, ARRIVALS), bounds)
     job2 = _unify_merge_job(spark, base)  # a new process: only the folders carry over
-    start_unify_merge_stream(job2, feed_stream(spark, raw, _raw_schema(feed), FILES_PER_ARRIVAL), ckpt,
-                             load_col="load").awaitTermination()
+    start_unify_merge_stream(job2, feed_stream(spark, raw, _raw_schema(feed), FILES_PER_TRIGGER), ckpt,
+                             load_col="load", markers=f"{raw}-complete").awaitTermination()
     return job2.store.read()
 
 
@@ -181,7 +250,7 @@ def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = profile_feed(spark, sf_dir)
     raw = f"{base}/raw"
     _write_arrivals(spark, feed, raw, range(ARRIVALS), arrival_bounds(feed))
-    q = start_append_stream(feed_stream(spark, raw, _raw_schema(feed), FILES_PER_ARRIVAL), f"{base}/staging",
+    q = start_append_stream(feed_stream(spark, raw, _raw_schema(feed), FILES_PER_TRIGGER), f"{base}/staging",
                             f"{base}/ckpt", FEED_COLUMNS)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/staging")
@@ -279,10 +348,10 @@ def ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("ingest_stamped")
 def ingest_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-04: load-time columns: commit number = object, ingest time = the load clock."""
+    """O-04: load-time columns: commit number = object, ingest time = the load's clock (here one second an object)."""
     res, _ = _ingest_run(spark, sf_dir)
-    return D.stamp(res.good.select(_object_no(D.FILE).alias("object_no"), *LOAD_COLUMNS),
-                   F.col("object_no"))
+    clock = F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, object_no)")
+    return D.stamp(res.good.select(_object_no(D.FILE).alias("object_no"), *LOAD_COLUMNS), F.col("object_no"), clock)
 
 
 @register("stream_ingest")

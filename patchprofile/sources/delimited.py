@@ -5,7 +5,7 @@ CSV reader: fields are positional, the delimiter is ``,``, a backslash escapes
 the next character (so ``\\,`` is a literal comma and ``\\\\`` a backslash),
 quote characters are plain text, and an empty field is NULL. A row with the
 wrong number of fields, or a non-empty field that does not parse as its
-column type, is not loaded; it goes to the rejects with its file, raw text
+column type, or a blank line, is not loaded; it goes to the rejects with its file, raw text
 and reason, and every other row and file still loads.
 
 Everything after the manifest read is one Spark job over all objects: lines
@@ -23,9 +23,8 @@ from pyspark.sql import types as T
 
 from patchprofile.sources.fs import list_names, path_exists
 
-# Placeholders for escaped backslashes and delimiters while splitting.
-_ESC_BS = "\u0001"
-_ESC_DELIM = "\u0002"
+# A delimiter behind an even number of backslashes (none included) ends a field.
+_DELIM = r"(?<=(?<!\\)(?:\\\\){0,200}),"
 
 FILE = "_file"
 REASON = "_reject_reason"
@@ -60,8 +59,7 @@ def existing_paths(spark: SparkSession, paths: list[str]) -> tuple[list[str], li
 
 
 def _unescape(field_: Column) -> Column:
-    plain = F.regexp_replace(field_, r"\\(.)", "$1")           # other escapes: drop the backslash
-    return F.translate(plain, _ESC_BS + _ESC_DELIM, "\\,")
+    return F.regexp_replace(field_, r"(?s)\\(.)", "$1")  # an escaped character stands for itself
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType, sep: str = ",",
@@ -76,8 +74,7 @@ def parse_lines(lines: DataFrame, schema: T.StructType, sep: str = ",",
         raise ValueError("only the ',' delimiter is supported")
     raw = F.col(text_col)
     escaped = F.instr(raw, "\\") > 0
-    protected = F.when(escaped, F.regexp_replace(F.regexp_replace(raw, r"\\\\", _ESC_BS), r"\\,", _ESC_DELIM))
-    parts = F.split(protected.otherwise(raw), ",", -1)
+    parts = F.when(escaped, F.split(raw, _DELIM, -1)).otherwise(F.split(raw, ",", -1))
     n = len(schema.fields)
     split_rows = lines.select(F.col(FILE), raw.alias("_raw"), escaped.alias("_esc"), parts.alias("_parts"))
 
@@ -118,7 +115,6 @@ def load_delimited(spark: SparkSession, paths: list[str], schema: T.StructType,
         good, rejects = parse_lines(empty_lines, schema)
         return LoadResult(good, rejects, [], missing)
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias(FILE))
-    lines = lines.filter(F.col("value") != "")
     good, rejects = parse_lines(lines, schema)
     return LoadResult(good, rejects, paths, missing)
 

@@ -6,6 +6,8 @@ Spark itself lists a folder before planning a scan.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -29,23 +31,30 @@ def list_names(spark: SparkSession, folder: str) -> set[str]:
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Create ``path`` holding ``text``; False (nothing written) when it already exists.
+    """Create ``path`` holding ``text`` in one step; False (nothing written) when it already exists.
 
-    Used for commit records: the create is exclusive, so two writers racing
-    for the same version cannot both commit it.
+    The text goes to a name of its own and is then renamed, so a crash never leaves
+    half a record under ``path``.
     """
     hp, fs = _fs(spark, path)
-    try:
-        out = fs.create(hp, False)
-    except Exception as exc:  # FileAlreadyExistsException from the JVM
-        if "AlreadyExists" in str(exc) or "already exists" in str(exc):
-            return False
-        raise
+    if fs.exists(hp):
+        return False
+    part = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{hp.getParent().toString()}/.{hp.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(part, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    return True
+    return bool(fs.rename(part, hp))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    hp, fs = _fs(spark, path)
+    stream = fs.open(hp)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def read_texts(spark: SparkSession, folder: str) -> dict[str, str]:

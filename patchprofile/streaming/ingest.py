@@ -26,8 +26,7 @@ def start_ingest_stream(spark: SparkSession, objects_dir: str, schema: T.StructT
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = (reader.text(objects_dir)
-             .select("value", F.col("_metadata.file_path").alias(FILE))
-             .filter(F.col("value") != ""))
+             .select("value", F.col("_metadata.file_path").alias(FILE)))
 
     def each_batch(batch_df: DataFrame, batch_id: int) -> None:
         good, rejects = parse_lines(batch_df, schema)

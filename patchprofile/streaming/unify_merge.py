@@ -16,12 +16,15 @@ loop (one-second idle sleep).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from patchprofile.plans.pipeline import UnifyMergeJob
+from patchprofile.sources.fs import create_text, path_exists, read_text
 
 
 def feed_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
@@ -36,27 +39,47 @@ def _trigger(writer, available_now: bool, interval: str):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
 
 
+def write_marker(spark: SparkSession, markers: str, load: int, rows: int) -> None:
+    """Say that load ``load`` is complete and holds ``rows`` rows (written by whoever writes the load, after its files)."""
+    create_text(spark, f"{markers}/{int(load)}.json", json.dumps({"rows": int(rows)}))
+
+
 def start_unify_merge_stream(job: UnifyMergeJob, stream: DataFrame, checkpoint: str, *,
-                             load_col: str | None = None, available_now: bool = True,
+                             load_col: str | None = None, markers: str | None = None, available_now: bool = True,
                              interval: str = "1 second") -> StreamingQuery:
     """Unify and merge every micro-batch into the job's profile store.
 
     Without ``load_col`` a micro-batch is one batch (its id is the batch id).
     With ``load_col`` (the load number, e.g. a ``load=<n>`` folder of the raw
-    table) the loads inside a micro-batch are applied one by one in load order,
-    each with its load number as batch id, so a trigger may carry several
-    loads and a replayed load is skipped. A load must not be split across
-    triggers (``maxFilesPerTrigger`` a multiple of the files per load, or no
-    limit): its rows are one batch.
+    table) the load is the batch, however triggers cut it: a trigger's rows are held in
+    ``<checkpoint>-held`` and a load is applied, in load order and under its number as batch id,
+    once as many of its rows are held as its record in ``markers`` says. Loads behind
+    an incomplete one wait for it. A load already published is skipped; rows beyond its record
+    raise.
     """
+    if (load_col is None) != (markers is None):
+        raise ValueError("loads need both load_col and markers")
+    spark, held = job.spark, f"{checkpoint}-held"
+
     def each_batch(batch_df: DataFrame, batch_id: int) -> None:
         if load_col is None:
             job.run_slice(batch_df, int(batch_id))
             return
-        # load numbers of one micro-batch: at most one per file it holds
-        loads = sorted(r[0] for r in batch_df.select(load_col).distinct().collect())
-        for load in loads:
-            job.run_slice(batch_df.filter(F.col(load_col) == load), int(load))
+        # a replayed micro-batch replaces its own folder
+        (batch_df.write.mode("overwrite").partitionBy(load_col).parquet(f"{held}/trigger={int(batch_id)}"))
+        rows = spark.read.parquet(held)
+        counts = {int(r[0]): int(r[1]) for r in rows.groupBy(load_col).count().collect()}  # one row per load
+        for load in sorted(counts):
+            if job.store.applied(load):
+                continue
+            if not path_exists(spark, f"{markers}/{load}.json"):
+                return
+            want = json.loads(read_text(spark, f"{markers}/{load}.json"))["rows"]
+            if counts[load] > want:
+                raise RuntimeError(f"load {load} has {counts[load]} rows, its record says {want}")
+            if counts[load] < want:
+                return
+            job.run_slice(rows.filter(F.col(load_col) == load).drop("trigger"), load)
 
     writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now, interval).start()

@@ -47,3 +47,12 @@ def test_round_trip_through_writer(spark, tmp_path):
     D.write_manifest(spark, names, manifest)
     res = D.ingest(spark, manifest, SCHEMA)
     assert sorted(tuple(r) for r in res.good.select("a", "b", "c").collect()) == [(1, "a,b\\c", 1.25), (2, None, None)]
+
+
+def test_blank_lines_are_rejected_and_control_characters_kept(spark):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    lines = spark.createDataFrame([("", "f"), ("a\x01b\\,c,\x02", "f"), ("x\\\\,y", "f")], "value string, _file string")
+    good, bad = D.parse_lines(lines, schema)
+    assert sorted((r.a, r.b) for r in good.collect()) == [("a\x01b,c", "\x02"), ("x\\", "y")]
+    assert [(r.raw_text, r.reason) for r in bad.collect()] == [("", "short row")]

@@ -89,3 +89,41 @@ def test_merging_twice_equals_once_without_new_key_markers(spark):
     once = merge(target, batch, POLICY, strategy="shuffle")
     twice = merge(once, batch, POLICY, strategy="shuffle")
     assert rows(once) == rows(twice)
+
+
+def test_marker_needs_a_type_that_holds_it(spark):
+    from pyspark.sql import types as T
+
+    from patchprofile.functions.markers import is_marker, marker_sql
+    row = spark.sql("SELECT CAST(1 AS TINYINT) a, CAST(1 AS DECIMAL(4,2)) b, 5 c, CAST(-11111 AS DECIMAL(9,2)) d, -11111L e")
+    types = {f.name: f.dataType for f in row.schema.fields}
+    from pyspark.sql import functions as F
+    got = row.select(*[is_marker(F.col(c), t, "-11111").alias(c) for c, t in types.items()]).first()
+    assert tuple(got) == (False, False, False, True, True)
+    text = row.selectExpr(*[marker_sql(c, t, "-11111") + f" AS {c}" for c, t in types.items()]).first()
+    assert tuple(text) == tuple(got)
+    assert marker_sql("c", T.IntegerType(), "CLEAR") == "false"
+
+
+def test_broadcast_limit_honours_the_session(spark):
+    from patchprofile.operators.merge import DEFAULT_BROADCAST_BYTES, broadcast_limit
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for conf, want in (("-1", -1), ("10MB", DEFAULT_BROADCAST_BYTES), ("1g", 1 << 30)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", conf)
+            assert broadcast_limit(spark) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_unify_needs_a_tie_break(spark):
+    import pytest
+
+    from patchprofile.operators.unify import top1_per_key, unify
+    df = spark.createDataFrame([(1, 1, "a")], "k int, d int, s string")
+    policy = ColumnPolicy(keys=("k",), order_by="d", unify_rules={"s": NEWEST})
+    for method in ("auto", "window", "aggregate"):
+        with pytest.raises(ValueError):
+            unify(df, policy, method=method)
+    with pytest.raises(ValueError):
+        top1_per_key(df, policy)

@@ -125,8 +125,8 @@ def test_stream_restart_on_finished_checkpoint_changes_nothing(spark, sf_small):
     QI._write_arrivals(spark, feed, raw, range(QI.ARRIVALS), QI.arrival_bounds(feed))
     for _ in range(2):
         job = QI._unify_merge_job(spark, base)
-        start_unify_merge_stream(job, feed_stream(spark, raw, feed.schema, QI.FILES_PER_ARRIVAL),
-                                 f"{base}/ckpt").awaitTermination()
+        start_unify_merge_stream(job, feed_stream(spark, raw, QI._raw_schema(feed), 1),
+                                 f"{base}/ckpt", load_col="load", markers=f"{raw}-complete").awaitTermination()
     assert job.store.head()["version"] == QI.ARRIVALS - 1  # the second run found nothing new
 
 
@@ -140,3 +140,72 @@ def test_empty_first_batch_then_data(spark, sf_small):
     assert fresh.read().count() == 0                      # schema comes from the commit record
     job.run_slice(feed, 1)
     assert store.read().count() == feed.select("uid", "utype").distinct().count()
+
+
+def test_restarted_loop_goes_on_from_the_published_mark(spark, sf_small):
+    base = work_dir(spark, "test-loop-restart")
+    feed = profile_feed(spark, sf_small)
+    half = feed.agg({"epoch": "max"}).first()[0] // 2
+    job = QI._unify_merge_job(spark, base)
+    assert job.poll(feed.filter(f"epoch <= {half}")) is True
+    again = QI._unify_merge_job(spark, base)
+    assert (again.prev, again.next_batch) == (half, 1)
+    assert again.poll(feed) is True and again.poll(feed) is False
+    assert again.store.head()["version"] == 1
+
+
+def test_crash_before_commit_is_written_again(spark, sf_small, monkeypatch):
+    import pytest
+
+    from patchprofile.plans import store as S
+    base = work_dir(spark, "test-crash")
+    feed = profile_feed(spark, sf_small)
+    job = QI._unify_merge_job(spark, base)
+    with monkeypatch.context() as m:
+        m.setattr(S, "create_text", lambda *a: (_ for _ in ()).throw(OSError("died")))
+        with pytest.raises(OSError):
+            job.poll(feed)
+    assert QI._unify_merge_job(spark, base).store.head() is None
+    again = QI._unify_merge_job(spark, base)
+    assert again.poll(feed) is True
+    assert again.store.read().count() == feed.select("uid", "utype").distinct().count()
+
+
+def test_split_and_incomplete_loads_wait(spark, sf_small):
+    from patchprofile.streaming.unify_merge import feed_stream, start_unify_merge_stream, write_marker
+    base = work_dir(spark, "test-split")
+    feed = profile_feed(spark, sf_small)
+    raw = f"{base}/raw"
+    n = feed.count()
+    feed.repartition(3).write.parquet(f"{raw}/load=0")
+    run = lambda: start_unify_merge_stream(job, feed_stream(spark, raw, QI._raw_schema(feed), 1), f"{base}/ckpt",
+                                           load_col="load", markers=f"{base}/done").awaitTermination()
+    job = QI._unify_merge_job(spark, base)
+    run()
+    assert job.store.head() is None                       # nothing says that the load is complete
+    write_marker(spark, f"{base}/done", 0, n)
+    feed.limit(1).write.parquet(f"{raw}/load=1")
+    run()
+    assert job.store.head()["batch_id"] == 0              # load 0 whole, load 1 waits for its record
+    assert job.store.read().count() == feed.select("uid", "utype").distinct().count()
+
+
+def test_append_restart_and_unfinished_slice(spark, sf_small):
+    from patchprofile.plans.pipeline import AppendJob
+    base = work_dir(spark, "test-append")
+    feed = profile_feed(spark, sf_small)
+    new = lambda: AppendJob(spark, staging=f"{base}/s", columns=["epoch"], col="epoch")
+    assert new().poll(feed.filter("epoch < 500")) is True
+    feed.limit(5).select("epoch").write.parquet(f"{base}/s/slice=1")  # a slice that was cut off
+    job = new()
+    assert job.read().count() == 500
+    assert job.poll(feed) is True and new().poll(feed) is False
+    assert job.read().count() == feed.count()
+
+
+def test_bucket_writes_are_clustered(spark, sf_small):
+    base = work_dir(spark, "test-files")
+    feed = profile_feed(spark, sf_small).repartition(12)
+    store = ProfileStore(spark, f"{base}/p", buckets=16, keys=("uid",), touched_only=True)
+    store.publish(feed, 0)
+    assert len(spark.read.parquet(*store.head()["buckets"].values()).inputFiles()) <= 16
