@@ -217,7 +217,7 @@ def fit_texts(toxic: list[str], clean: list[str], c: Config = Config()) -> Model
     in_good = Counter(p for d in good for p in set(d) if len(p) >= 3)
     nb, ng = len(bad), len(good)
     odds = {p: np.log((n + 0.5) / (nb + 1)) - np.log((in_good[p] + 0.5) / (ng + 1)) for p, n in in_bad.items()}
-    least = max(2, nb // 300)
+    least = max(4, nb // 100)
     tell = [p for p in odds if in_bad[p] >= least and odds[p] >= c.least_odds]
     tell = sorted(tell, key=lambda p: (-in_bad[p] * odds[p], p))[: c.telling]
     if not tell:
