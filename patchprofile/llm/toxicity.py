@@ -100,7 +100,7 @@ class Landmarks:
         for k, w in enumerate(marks):
             at, weight = _triples(len(w), decay)
             np.add.at(self.table[:, k], self._ids([w], at)[0], weight)
-        self.table /= np.sqrt((self.table.astype(np.float64) ** 2).sum(axis=0))
+        self.table /= np.sqrt(np.einsum("ij,ij->j", self.table, self.table, dtype=np.float64))
         self.has = self.table.any(axis=1)
 
     @staticmethod
@@ -117,8 +117,10 @@ class Landmarks:
                 by.setdefault(len(w), []).append(i)
         for n, all_at in by.items():
             at, weight = _triples(n, self.decay)
-            for k in range(0, len(all_at), max(1, 400_000 // len(weight))):
-                part = all_at[k : k + max(1, 400_000 // len(weight))]
+            # triples at a time, fewer with many landmarks: each that is met takes a row of the table
+            step = max(1, 400_000 * 64 // max(64, len(self.marks)) // len(weight))
+            for k in range(0, len(all_at), step):
+                part = all_at[k : k + step]
                 ids = self._ids([words[i] for i in part], at)
                 row, col = np.nonzero(self.has[ids])
                 if not len(row):
