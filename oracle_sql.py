@@ -10,7 +10,7 @@ closed form of "apply the batches in order". Feed definitions mirror
 from __future__ import annotations
 
 from patchprofile.policy import INSERT_ONLY, NEWEST, OLDEST, ROW, ColumnPolicy
-from patchprofile.sources.fixtures import FEED_POLICY, WIDE_COLUMNS, wide_policy
+from patchprofile.sources.fixtures import FEED_POLICY, WIDE_COLUMNS, wide_load_policy, wide_policy
 
 MARK = "-11111"
 
@@ -69,6 +69,26 @@ SELECT user_id AS uid,
 FROM events"""
 
 
+def wide_load_sql() -> str:
+    def att(j: int) -> str:
+        plain = f"CASE WHEN (event_id + {j}) % 3 = 0 THEN NULL ELSE event_type || '_' || CAST(event_id % {j % 7 + 7} AS VARCHAR) END"
+        return f"CASE WHEN event_id % 29 = 0 THEN '{MARK}' ELSE {plain} END AS att{j}" if j % 10 == 0 else f"{plain} AS att{j}"
+    atts = ", ".join(att(j) for j in range(189))
+    extra = ", ".join(f"CAST(event_id % {j + 3} AS VARCHAR) AS extra{j}" for j in range(16))
+    return f"""
+SELECT user_id AS uid, {_utype()} AS utype, ts AS createddate,
+       CASE WHEN event_id % 6 = 0 THEN NULL ELSE 'c' || CAST(event_id AS VARCHAR) END AS cid,
+       {atts}, {extra}, event_id AS epoch
+FROM events"""
+
+
+def narrow_feed_sql() -> str:
+    return f"""
+SELECT user_id AS uid, {_utype()} AS utype, event_id AS epoch, ts AS createddate, CAST(event_id % 100 AS BIGINT) AS tiny,
+       CAST(CASE WHEN event_id % 3 = 0 THEN NULL ELSE (event_id % 50) / 4.0 END AS DECIMAL(4, 2)) AS dec
+FROM events"""
+
+
 # ---------------------------------------------------------------- unify -----
 
 def _order(policy: ColumnPolicy, reverse: bool = False) -> str:
@@ -283,6 +303,12 @@ def oracles() -> dict[str, str]:
 
     o["unify_merge"] = flagship_sql()
     o["merge_upsert"] = flagship_sql()
+    wide = wide_load_policy()
+    o["wide_unify_merge"] = (f"WITH {two_slices(wide_load_sql(), wide)}, m AS ({merge_sql('u1', 'u2', wide, {'createddate': 'other'})}) "
+                             f"SELECT {profile_cols(wide)} FROM m")
+    narrow = ColumnPolicy(keys=("uid", "utype"), order_by="createddate", tie_break=("epoch",), unify_rules={"tiny": NEWEST, "dec": NEWEST})
+    o["merge_narrow_types"] = (f"WITH {two_slices(narrow_feed_sql(), narrow)}, m AS ({merge_sql('u1', 'u2', narrow, {'tiny': 'other', 'dec': 'other'})}) "
+                               f"SELECT uid, utype, tiny, CAST(dec AS DOUBLE) AS dec FROM m")
     o["merge_match"] = f"WITH {two_slices(feed)} SELECT {_KEYS} FROM u2 WHERE EXISTS " \
                        f"(SELECT 1 FROM u1 WHERE u1.uid = u2.uid AND u1.utype = u2.utype)"
     o["merge_new_keys"] = f"WITH {two_slices(orders_feed_sql())} SELECT {_KEYS} FROM u2 WHERE NOT EXISTS " \
@@ -391,6 +417,12 @@ SELECT step, count(*) AS runs, min(d) AS min_ns, max(d) AS max_ns, CAST(sum(d) A
     o["ingest_file_stats"] = (f"SELECT object_no, count(*) FILTER (WHERE reason IS NULL) AS rows_loaded, "
                               f"count(*) FILTER (WHERE reason IS NOT NULL) AS rows_rejected "
                               f"FROM ({dirty}) GROUP BY object_no")
+    o["ingest_bad_object"] = (f"SELECT object_no, count(*) FILTER (WHERE reason IS NULL) AS rows_loaded, count(*) FILTER (WHERE reason IS NOT NULL) AS rows_rejected, "
+                              f"'loaded' AS state FROM ({dirty}) GROUP BY object_no "
+                              f"UNION ALL SELECT 900000001, 0, 0, 'unreadable' UNION ALL SELECT 900000002, 0, 0, 'empty'")
+    o["ingest_control_chars"] = (f"SELECT uid, utype, createddate, cid, CASE WHEN epoch % 3 = 1 THEN chr(1) || att1 || '\\,' || chr(2) || '\\' ELSE att1 END AS att1, "
+                                 f"att2, att3, ad FROM ({feed})")
+    o["wide_ingest"] = f"SELECT * EXCLUDE (epoch) FROM ({wide_load_sql()})"
     o["ingest_manifest"] = (f"SELECT DISTINCT object_no, true AS present FROM ({dirty}) "
                             f"UNION ALL SELECT CAST(NULL AS BIGINT) AS object_no, false AS present")
     return o

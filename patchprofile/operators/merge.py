@@ -97,11 +97,12 @@ def broadcast_limit(spark) -> int:
 def merge(target: DataFrame, batch: DataFrame, policy: ColumnPolicy, *,
           clear_on_insert: bool = False, null_marker_keys: bool = False,
           strategy: str = "auto", max_broadcast_bytes: int | None = None,
-          known_size: BatchSize | None = None) -> DataFrame:
+          known_size: BatchSize | None = None, unique_batch: bool = False) -> DataFrame:
     """New profile rows (the columns of ``policy.profile_columns()``)."""
     tagged = merge_tagged(target, batch, policy, clear_on_insert=clear_on_insert,
                           null_marker_keys=null_marker_keys, strategy=strategy,
-                          max_broadcast_bytes=max_broadcast_bytes, known_size=known_size)
+                          max_broadcast_bytes=max_broadcast_bytes, known_size=known_size,
+                          unique_batch=unique_batch)
     return tagged.drop(STATE)
 
 
@@ -123,9 +124,13 @@ def merge_counts(tagged: DataFrame) -> DataFrame:
 def merge_tagged(target: DataFrame, batch: DataFrame, policy: ColumnPolicy, *,
                  clear_on_insert: bool = False, null_marker_keys: bool = False,
                  strategy: str = "auto", max_broadcast_bytes: int | None = None,
-                 known_size: BatchSize | None = None) -> DataFrame:
+                 known_size: BatchSize | None = None, unique_batch: bool = False) -> DataFrame:
     """Merged profile plus a ``__state`` column: updated / inserted / untouched.
 
+    Two batch rows of one key would multiply profile rows, so the merge raises on them (rows with a
+    NULL key match nothing and are not checked). ``unique_batch`` says that the batch comes from
+    ``unify``, with one row per key, and saves the check.
+
     ``known_size`` is the batch size measured earlier (e.g. observed while the
     batch was staged); without it ``auto`` runs one aggregate over the batch."""
     cols = policy.profile_columns()
@@ -134,6 +139,8 @@ def merge_tagged(target: DataFrame, batch: DataFrame, policy: ColumnPolicy, *,
     batch = batch.select(*cols)
     target = target.select(*cols)
     types = {f.name: f.dataType for f in batch.schema.fields}
+    if not unique_batch:
+        batch = _one_row_per_key(batch, keys)
 
     if strategy == "auto":
         limit = broadcast_limit(batch.sparkSession) if max_broadcast_bytes is None else max_broadcast_bytes
@@ -193,6 +200,15 @@ def merge_tagged(target: DataFrame, batch: DataFrame, policy: ColumnPolicy, *,
     raise ValueError(f"unknown merge strategy {strategy!r}")
 
 
+def _one_row_per_key(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The batch, raising when it is read and two rows share a key. The row number needs the
+    partitioning that the join needs anyway and buffers no group."""
+    names = ", ".join(q(k) for k in keys)
+    known = " AND ".join(f"{q(k)} IS NOT NULL" for k in keys)
+    numbered = batch.selectExpr("*", f"row_number() OVER (PARTITION BY {names} ORDER BY {names}) AS __n")
+    return numbered.where(f"CASE WHEN __n > 1 AND {known} THEN raise_error('the batch has two rows of one key') ELSE true END").drop("__n")
+
+
 def empty_profile(batch: DataFrame, policy: ColumnPolicy) -> DataFrame:
     """An empty profile with the batch's column types (first merge = insert all)."""
     schema = batch.select(*policy.profile_columns()).schema

@@ -105,7 +105,7 @@ class UnifyMergeJob:
                 self.store.schema = staged.select(*self.policy.profile_columns()).schema
             with self.log.step("merge", batch_id, lo, hi) as rec:
                 tagged = merge_tagged(self.store.read_for(staged, touched), staged, self.policy,
-                                      strategy=self.strategy, known_size=size)
+                                      strategy=self.strategy, known_size=size, unique_batch=True)
                 s = F.col(STATE)
                 obs = Observation(f"merge_{batch_id}_{id(self)}")
                 counted = tagged.observe(

@@ -18,9 +18,10 @@ from patchprofile.operators.slices import (high_water, high_water_df, labelled_s
                                            split_bounds)
 from patchprofile.operators.unify import top1_per_key, unify
 from patchprofile.plans.steps import two_slice_run
-from patchprofile.policy import NEWEST, OLDEST
+from patchprofile.policy import NEWEST, OLDEST, ColumnPolicy
+from patchprofile.session import work_dir
 from patchprofile.sources.fixtures import (FEED_COLUMNS, FEED_POLICY, orders_feed, profile_feed,
-                                           wide_feed, wide_policy)
+                                           wide_feed, wide_load_feed, wide_load_policy, wide_policy)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -101,8 +102,23 @@ def unify_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("merge_upsert")
 def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-24: the same upsert with the shuffle-free strategy (broadcast batch, checked size)."""
-    return _run(spark, sf_dir, strategy="auto").merged
+    """O-24: the same upsert against a stored profile with the shuffle-free strategy (staged batch, checked size)."""
+    return _run(spark, sf_dir, strategy="auto", staging=work_dir(spark, "upsert")).merged
+
+
+@register("wide_unify_merge")
+def wide_unify_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-11/O-24 at full width: 209 loaded columns, 16 dropped, 191 merged beside the keys."""
+    return two_slice_run(wide_load_feed(spark, sf_dir), wide_load_policy()).merged
+
+
+@register("merge_narrow_types")
+def merge_narrow_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-26: columns whose type cannot hold the marker are patched, never cleared."""
+    feed = profile_feed(spark, sf_dir).selectExpr("uid", "utype", "epoch", "createddate", "CAST(epoch % 100 AS TINYINT) AS tiny",
+                                                  "CAST(IF(epoch % 3 = 0, NULL, (epoch % 50) / 4) AS DECIMAL(4, 2)) AS dec")
+    policy = ColumnPolicy(keys=FEED_POLICY.keys, order_by="createddate", tie_break=("epoch",), unify_rules={"tiny": NEWEST, "dec": NEWEST})
+    return two_slice_run(feed, policy).merged.selectExpr(*_keys(), "CAST(tiny AS BIGINT) AS tiny", "CAST(dec AS DOUBLE) AS dec")
 
 
 @register("merge_match")

@@ -21,7 +21,8 @@ from patchprofile.plans.store import ProfileStore
 from patchprofile.queries import register
 from patchprofile.session import work_dir
 from patchprofile.sources import delimited as D
-from patchprofile.sources.fixtures import FEED_COLUMNS, FEED_POLICY, profile_feed
+from patchprofile.sources.fixtures import FEED_COLUMNS, FEED_POLICY, profile_feed, wide_load_feed
+from patchprofile.sources.fs import create_text
 from patchprofile.streaming.unify_merge import feed_stream, start_append_stream, start_unify_merge_stream, write_marker
 
 ARRIVALS = 4           # loads the feed arrives in
@@ -292,13 +293,14 @@ def dirty_objects(feed: DataFrame) -> DataFrame:
     return body.select(line.alias("value"), (e / ROWS_PER_OBJECT).cast("long").alias("object"))
 
 
-def _ingest_run(spark: SparkSession, sf_dir: str) -> tuple[D.LoadResult, list[str]]:
+def _ingest_run(spark: SparkSession, sf_dir: str) -> D.LoadResult:
+    """The feed as delimited objects, a manifest that also names a missing one, and the load."""
     base = work_dir(spark, "ingest")
     objects = f"{base}/objects"
     dirty_objects(profile_feed(spark, sf_dir)).repartition("object").write.partitionBy("object").text(objects)
-    names = D.list_objects(spark, objects) + [f"{objects}/object=missing/part-none.txt"]
-    D.write_manifest(spark, names, f"{base}/manifest")
-    return D.ingest(spark, f"{base}/manifest", LOAD_SCHEMA), names
+    gone = spark.range(1).select(F.lit(f"{objects}/object=missing/part-none.txt").alias("name"))
+    D.write_manifest(D.scan_objects(spark, objects).select("name").union(gone), f"{base}/manifest")
+    return D.ingest(spark, f"{base}/manifest", objects, LOAD_SCHEMA)
 
 
 def _object_no(path_col: str) -> F.Column:
@@ -309,21 +311,19 @@ def _object_no(path_col: str) -> F.Column:
 @register("ingest_delimited")
 def ingest_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-02: positional comma-delimited load with escapes; bad rows are not loaded."""
-    res, _ = _ingest_run(spark, sf_dir)
-    return res.good.select(*LOAD_COLUMNS)
+    return _ingest_run(spark, sf_dir).good.select(*LOAD_COLUMNS)
 
 
 @register("ingest_multi_file")
 def ingest_multi_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-03: every object of the manifest in one job; a missing object does not stop the rest."""
-    res, _ = _ingest_run(spark, sf_dir)
-    return res.good.select(_object_no(D.FILE).alias("object_no"), *LOAD_COLUMNS)
+    return _ingest_run(spark, sf_dir).good.select(_object_no(D.FILE).alias("object_no"), *LOAD_COLUMNS)
 
 
 @register("ingest_rejects")
 def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-02/O-03: rejected rows per object and reason."""
-    res, _ = _ingest_run(spark, sf_dir)
+    """O-02/O-03: rejected rows per object and reason, from lines parsed once and stored with the good ones."""
+    res = _ingest_run(spark, sf_dir).stored(f"{work_dir(spark, 'ingest-lines')}/lines")
     return (res.rejects.groupBy(_object_no(D.FILE).alias("object_no"), F.col("reason"))
             .agg(F.count(F.lit(1)).alias("rows")))
 
@@ -331,25 +331,52 @@ def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("ingest_file_stats")
 def ingest_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-05: rows loaded and rejected per object."""
-    res, _ = _ingest_run(spark, sf_dir)
-    st = D.file_stats(res.good, res.rejects)
+    st = D.file_stats(_ingest_run(spark, sf_dir))
     return st.select(_object_no("file").alias("object_no"), "rows_loaded", "rows_rejected")
 
 
 @register("ingest_manifest")
 def ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O-01: the manifest's objects and whether each exists (a missing one is reported)."""
-    res, names = _ingest_run(spark, sf_dir)
-    present = set(res.loaded_paths)
-    rows = [(n, n in present) for n in names]
-    df = spark.createDataFrame(rows, "name string, present boolean")
-    return df.select(_object_no("name").alias("object_no"), "present")
+    """O-01: the manifest's objects as read back, and whether each exists (a missing one is reported)."""
+    return _ingest_run(spark, sf_dir).manifest.select(_object_no("name").alias("object_no"), "present")
+
+
+@register("ingest_bad_object")
+def ingest_bad_object(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-03/O-05: a damaged archive and an empty object among the feed's: both are reported, the rest loads."""
+    base = work_dir(spark, "ingest-bad")
+    objects = f"{base}/objects"
+    dirty_objects(profile_feed(spark, sf_dir)).repartition("object").write.partitionBy("object").text(objects)
+    create_text(spark, f"{objects}/object=900000001/part-0.txt.gz", "this is no archive")
+    create_text(spark, f"{objects}/object=900000002/part-0.txt", "")
+    res = D.load_delimited(spark, D.scan_objects(spark, objects), objects, LOAD_SCHEMA, skip_unreadable=True)
+    return D.file_stats(res).select(_object_no("file").alias("object_no"), "rows_loaded", "rows_rejected", "state")
+
+
+@register("ingest_control_chars")
+def ingest_control_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-02: control characters, backslashes and delimiters inside every third text survive a round trip."""
+    objects = f"{work_dir(spark, 'ingest-control')}/objects"
+    odd = F.concat(F.lit("\u0001"), F.col("att1"), F.lit("\\,\u0002\\"))
+    feed = profile_feed(spark, sf_dir).withColumn("att1", F.when(F.col("epoch") % 3 == 1, odd).otherwise(F.col("att1")))
+    D.write_objects(feed.select(*LOAD_COLUMNS, (F.col("epoch") / ROWS_PER_OBJECT).cast("long").alias("object")), objects, "object")
+    return D.load_delimited(spark, D.scan_objects(spark, objects), objects, LOAD_SCHEMA).good.select(*LOAD_COLUMNS)
+
+
+@register("wide_ingest")
+def wide_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-02 at full width: 209 positional columns written as delimited objects and loaded."""
+    objects = f"{work_dir(spark, 'wide-ingest')}/objects"
+    feed = wide_load_feed(spark, sf_dir)
+    body = feed.drop("epoch")
+    D.write_objects(feed.select(*body.columns, (F.col("epoch") / ROWS_PER_OBJECT).cast("long").alias("object")), objects, "object")
+    return D.load_delimited(spark, D.scan_objects(spark, objects), objects, body.schema).good.select(*body.columns)
 
 
 @register("ingest_stamped")
 def ingest_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-04: load-time columns: commit number = object, ingest time = the load's clock (here one second an object)."""
-    res, _ = _ingest_run(spark, sf_dir)
+    res = _ingest_run(spark, sf_dir)
     clock = F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, object_no)")
     return D.stamp(res.good.select(_object_no(D.FILE).alias("object_no"), *LOAD_COLUMNS), F.col("object_no"), clock)
 
@@ -364,6 +391,6 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     objects = f"{base}/objects"
     dirty_objects(profile_feed(spark, sf_dir)).repartition("object").write.partitionBy("object").text(objects)
     q = start_ingest_stream(spark, objects, LOAD_SCHEMA, f"{base}/raw", f"{base}/rejects", f"{base}/ckpt",
-                            max_files_per_trigger=4)
+                            max_files_per_trigger=FILES_PER_TRIGGER)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/raw").select(*LOAD_COLUMNS)

@@ -8,20 +8,21 @@ wrong number of fields, or a non-empty field that does not parse as its
 column type, or a blank line, is not loaded; it goes to the rejects with its file, raw text
 and reason, and every other row and file still loads.
 
-Everything after the manifest read is one Spark job over all objects: lines
-are split and typed with built-in expressions (``split``, ``regexp_replace``,
-``try_cast``), so there is no per-row Python.
+The manifest, the listing of the objects and the comparison of the two are DataFrames
+(``scan_manifest``, ``scan_objects``, ``match_manifest``); the driver holds no more than
+Spark's own file index, listed in parallel. Lines are split and typed with built-in expressions (``split``,
+``regexp_replace``, ``try_cast``), so there is no per-row Python.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patchprofile.sources.fs import list_names, path_exists
+from patchprofile.sources.fs import path_exists
 
 # A delimiter behind an even number of backslashes (none included) ends a field.
 _DELIM = r"(?<=(?<!\\)(?:\\\\){0,200}),"
@@ -32,39 +33,71 @@ REASON = "_reject_reason"
 
 @dataclass
 class LoadResult:
-    good: DataFrame
-    rejects: DataFrame
-    loaded_paths: list[str]
-    missing_paths: list[str] = field(default_factory=list)
+    """``checked`` holds every line once, typed, with its reject reason; ``good`` and ``rejects``
+    are filters of it. ``manifest`` has one row per named object and how it fared."""
+    checked: DataFrame
+    schema: T.StructType
+    manifest: DataFrame
 
+    @property
+    def good(self) -> DataFrame:
+        return good_rows(self.checked)
 
-def read_manifest(spark: SparkSession, manifest: str) -> list[str]:
-    """Object names, one per non-empty line. A missing manifest means zero loads."""
+    @property
+    def rejects(self) -> DataFrame:
+        return rejected_rows(self.checked)
+
+    @property
+    def missing(self) -> DataFrame:
+        return self.manifest.where("NOT present").select("name")
+
+    def stored(self, path: str) -> "LoadResult":
+        """The lines written once under ``path``, split by whether they are rejected: reading
+        good rows and rejects afterwards parses nothing again."""
+        bad = F.col(REASON).isNotNull()
+        self.checked.withColumn("rejected", bad).write.partitionBy("rejected").mode("overwrite").parquet(path)
+        return LoadResult(self.checked.sparkSession.read.parquet(path), self.schema, self.manifest)
+
+
+def object_key(name: Column) -> Column:
+    """An object's name without its scheme, so that ``file:/a``, ``file:///a`` and ``/a`` are one object."""
+    return F.regexp_replace(F.trim(name), r"^[A-Za-z][A-Za-z0-9+.\-]*:/*", "/")
+
+
+def scan_manifest(spark: SparkSession, manifest: str) -> DataFrame:
+    """Object names (``name``), one per non-empty line. A missing manifest means zero loads."""
     if not path_exists(spark, manifest):
-        return []
-    rows = spark.read.text(manifest).filter(F.trim("value") != "").collect()
-    return [r["value"].strip() for r in rows]
+        return spark.createDataFrame([], "name string")
+    return spark.read.text(manifest).select(F.trim("value").alias("name")).where("name <> ''")
+
 
+def scan_objects(spark: SparkSession, root: str) -> DataFrame:
+    """The objects under ``root`` (``name``, ``bytes``, ``modified``), listed by Spark; contents are not read.
+
+    A scan leaves out files without bytes, so the names come from the file index that Spark holds on the
+    driver for the scan anyway, the sizes from the scan. ``modified`` is NULL for empty objects.
+    """
+    m = F.col("_metadata")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    sized = files.select(object_key(m["file_path"]).alias("_key"), m["file_size"].alias("bytes"), m["file_modification_time"].alias("modified"))
+    names = spark.createDataFrame([(n,) for n in files.inputFiles()], "name string")
+    return (names.withColumn("_key", object_key(F.col("name"))).join(sized, "_key", "left")
+            .select("name", F.coalesce("bytes", F.lit(0)).alias("bytes"), "modified"))
 
-def existing_paths(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
-    """Split ``paths`` into (existing, missing) with one listing per parent folder."""
-    by_parent: dict[str, list[str]] = {}
-    for p in paths:
-        by_parent.setdefault(p.rsplit("/", 1)[0], []).append(p)
-    found: set[str] = set()
-    for parent, members in by_parent.items():
-        names = list_names(spark, parent)
-        found.update(m for m in members if m.rsplit("/", 1)[1] in names)
-    return [p for p in paths if p in found], [p for p in paths if p not in found]
+
+def match_manifest(manifest: DataFrame, objects: DataFrame) -> DataFrame:
+    """Every name of the manifest once, with ``present`` and the object's ``bytes``."""
+    found = objects.select(object_key(F.col("name")).alias("_key"), "bytes")
+    named = manifest.select("name", object_key(F.col("name")).alias("_key")).dropDuplicates(["_key"])
+    return named.join(found, "_key", "left").select("name", "_key", F.col("bytes").isNotNull().alias("present"), "bytes")
 
 
 def _unescape(field_: Column) -> Column:
     return F.regexp_replace(field_, r"(?s)\\(.)", "$1")  # an escaped character stands for itself
 
 
-def parse_lines(lines: DataFrame, schema: T.StructType, sep: str = ",",
-                text_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Split and type delimited lines; returns (good rows, rejects).
+def check_lines(lines: DataFrame, schema: T.StructType, sep: str = ",", text_col: str = "value") -> DataFrame:
+    """Split and type delimited lines: file, raw text, typed fields and the reject reason (NULL: good).
 
     Escape handling (regular expressions) only runs on lines that contain a
     backslash; every other line is split on the plain delimiter. Each field is
@@ -96,32 +129,43 @@ def parse_lines(lines: DataFrame, schema: T.StructType, sep: str = ",",
            for i, f in enumerate(schema.fields) if not isinstance(f.dataType, T.StringType)]
     width = F.col("_w")
     reason = F.coalesce(F.when(width < n, F.lit("short row")).when(width > n, F.lit("long row")), *bad)
-    checked = typed_rows.select(F.col(FILE), F.col("_raw"), *[F.col(f.name) for f in schema.fields],
-                                reason.alias(REASON))
-    good = checked.filter(F.col(REASON).isNull()).drop(REASON, "_raw")
-    rejects = checked.filter(F.col(REASON).isNotNull()).select(
-        F.col(FILE), F.col("_raw").alias("raw_text"), F.col(REASON).alias("reason"))
-    return good, rejects
-
-
-def load_delimited(spark: SparkSession, paths: list[str], schema: T.StructType,
-                   check_missing: bool = True) -> LoadResult:
-    """One job over every object; missing objects are reported, not fatal."""
-    missing: list[str] = []
-    if check_missing:
-        paths, missing = existing_paths(spark, paths)
-    if not paths:
-        empty_lines = spark.createDataFrame([], "value string, _file string")
-        good, rejects = parse_lines(empty_lines, schema)
-        return LoadResult(good, rejects, [], missing)
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias(FILE))
-    good, rejects = parse_lines(lines, schema)
-    return LoadResult(good, rejects, paths, missing)
-
-
-def ingest(spark: SparkSession, manifest: str, schema: T.StructType) -> LoadResult:
+    return typed_rows.select(F.col(FILE), F.col("_raw"), *[F.col(f.name) for f in schema.fields], reason.alias(REASON))
+
+
+def good_rows(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col(REASON).isNull()).drop(REASON, "_raw", "rejected")
+
+
+def rejected_rows(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col(REASON).isNotNull()).select(F.col(FILE), F.col("_raw").alias("raw_text"), F.col(REASON).alias("reason"))
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType, sep: str = ",",
+                text_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejects) of delimited lines."""
+    checked = check_lines(lines, schema, sep, text_col)
+    return good_rows(checked), rejected_rows(checked)
+
+
+def load_delimited(spark: SparkSession, manifest: DataFrame, root: str, schema: T.StructType,
+                   skip_unreadable: bool = False) -> LoadResult:
+    """The objects under ``root`` that ``manifest`` (column ``name``) names; missing ones are reported, not fatal.
+
+    ``skip_unreadable`` goes on where an object cannot be read (e.g. a damaged ``.gz``): what
+    precedes the damage is loaded, and ``file_stats`` shows an object with bytes but no line.
+    Without it, such an object fails the load.
+    """
+    named = match_manifest(manifest, scan_objects(spark, root))
+    reader = spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", str(skip_unreadable).lower())
+    lines = reader.text(root).select("value", F.col("_metadata.file_path").alias(FILE))
+    wanted = named.select("_key")
+    lines = lines.withColumn("_key", object_key(F.col(FILE))).join(wanted, "_key", "left_semi").drop("_key")
+    return LoadResult(check_lines(lines, schema), schema, named)
+
+
+def ingest(spark: SparkSession, manifest: str, root: str, schema: T.StructType, skip_unreadable: bool = False) -> LoadResult:
     """Manifest -> existing objects -> typed rows and rejects."""
-    return load_delimited(spark, read_manifest(spark, manifest), schema)
+    return load_delimited(spark, scan_manifest(spark, manifest), root, schema, skip_unreadable)
 
 
 def stamp(df: DataFrame, load_id: Column | int, ingest_time: Column | None = None) -> DataFrame:
@@ -131,14 +175,15 @@ def stamp(df: DataFrame, load_id: Column | int, ingest_time: Column | None = Non
     return df.withColumn("epoch", lid).withColumn("epoch_ts", ts)
 
 
-def file_stats(good: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Rows loaded and rejected per object (one aggregate per side, joined by file)."""
-    g = good.groupBy(FILE).agg(F.count(F.lit(1)).alias("rows_loaded"))
-    r = rejects.groupBy(FILE).agg(F.count(F.lit(1)).alias("rows_rejected"))
-    return (g.join(r, FILE, "full_outer")
-            .select(F.col(FILE).alias("file"),
-                    F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"),
-                    F.coalesce("rows_rejected", F.lit(0)).alias("rows_rejected")))
+def file_stats(load: LoadResult) -> DataFrame:
+    """Rows loaded and rejected per present object: one aggregate over the lines, objects without a
+    line included. ``state``: loaded, empty (no bytes), or unreadable (bytes, but not one line)."""
+    per_file = load.checked.groupBy(object_key(F.col(FILE)).alias("_key")).agg(
+        F.count(F.when(F.col(REASON).isNull(), 1)).alias("loaded"), F.count(REASON).alias("rejected"))
+    n = F.coalesce("loaded", F.lit(0)), F.coalesce("rejected", F.lit(0))
+    state = F.when(F.col("loaded").isNotNull(), "loaded").when(F.col("bytes") == 0, "empty").otherwise("unreadable")
+    return (load.manifest.where("present").join(per_file, "_key", "left")
+            .select(F.col("name").alias("file"), "bytes", n[0].alias("rows_loaded"), n[1].alias("rows_rejected"), state.alias("state")))
 
 
 # ------------------------------------------------------------- writing ----
@@ -169,11 +214,6 @@ def write_objects(df: DataFrame, path: str, object_col: str) -> None:
     out.repartition(object_col).write.partitionBy(object_col).mode("error").text(path)
 
 
-def list_objects(spark: SparkSession, path: str) -> list[str]:
-    """The object files under ``path``, from the file index (no data is read)."""
-    return sorted(spark.read.text(path).inputFiles())
-
-
-def write_manifest(spark: SparkSession, names: list[str], manifest: str) -> None:
-    """A manifest: one object name per line, in one text file."""
-    spark.createDataFrame([(n,) for n in names], "value string").coalesce(1).write.text(manifest)
+def write_manifest(names: DataFrame, manifest: str) -> None:
+    """A manifest: one object name (column ``name``) per line."""
+    names.select(F.col("name").alias("value")).write.text(manifest)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchprofile.policy import INSERT_ONLY, NEWEST, NOT_MERGED, OLDEST, ROW, ColumnPolicy
+from patchprofile.policy import DROP, INSERT_ONLY, NEWEST, NOT_MERGED, OLDEST, ROW, ColumnPolicy
 
 MARKER_INT = -11111
 WIDE_COLUMNS = 190
@@ -139,5 +139,28 @@ def wide_policy(n: int = WIDE_COLUMNS) -> ColumnPolicy:
                         unify_rules=rules, merge_rules={"createddate": NOT_MERGED})
 
 
+LOADED_ATTRIBUTES, DROPPED_COLUMNS = 189, 16
+
+
+def wide_load_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide feed as it is loaded: 209 columns (keys, time, id, 189 attributes, 16 that are never unified) and ``epoch``.
+
+    Every tenth attribute of every 29th row is the clear marker.
+    """
+    feed = wide_feed(spark, sf_dir, LOADED_ATTRIBUTES)
+    atts = [f"CASE WHEN epoch % 29 = 0 THEN '{MARKER_INT}' ELSE att{j} END AS att{j}" if j % 10 == 0 else f"att{j}" for j in range(LOADED_ATTRIBUTES)]
+    extra = [f"CAST(epoch % {j + 3} AS STRING) AS extra{j}" for j in range(DROPPED_COLUMNS)]
+    return feed.selectExpr("uid", "utype", "createddate", "cid", *atts, *extra, "epoch")
+
+
+def wide_load_policy() -> ColumnPolicy:
+    """191 merged columns beside the keys: the last two attributes keep their oldest value and are insert-only."""
+    names = [f"att{j}" for j in range(LOADED_ATTRIBUTES)]
+    rules = {"cid": ROW} | {c: NEWEST for c in names[:-2]} | {c: OLDEST for c in names[-2:]} | {"createddate": ROW}
+    rules |= {f"extra{j}": DROP for j in range(DROPPED_COLUMNS)}
+    return ColumnPolicy(keys=("uid", "utype"), order_by="createddate", tie_break=("epoch",),
+                        unify_rules=rules, merge_rules={c: INSERT_ONLY for c in names[-2:]})
+
+
 __all__ = ["FEED_POLICY", "FEED_COLUMNS", "profile_feed", "orders_feed",
-           "wide_feed", "wide_policy", "table", "spread"]
+           "wide_feed", "wide_policy", "wide_load_feed", "wide_load_policy", "table", "spread"]

@@ -20,32 +20,45 @@ def test_load_semantics(spark, tmp_path):
     bad = _write(tmp_path, "bad.txt", "6,short\n7,long,1,2\n8,num,abc\n9,ok,5\n")
     empty = _write(tmp_path, "empty.txt", "")
     missing = os.path.join(tmp_path, "missing.txt")
-    res = D.load_delimited(spark, [good, bad, empty, missing], SCHEMA)
-    assert res.missing_paths == [missing]
+    names = spark.createDataFrame([(n,) for n in (good, bad, empty, missing)], "name string")
+    _write(tmp_path, "unnamed.txt", "10,z,1\n")  # not in the manifest: not loaded
+    res = D.load_delimited(spark, names, str(tmp_path), SCHEMA)
+    assert [r["name"] for r in res.missing.collect()] == [missing]
     got = sorted(tuple(r) for r in res.good.select("a", "b", "c").collect())
     assert got == [(1, "x", 1.5), (2, None, None), (3, "a,b", 2.0), (4, '"q"', 3.0),
                    (5, "back\\slash", 4.0), (9, "ok", 5.0)]
     rej = sorted((r["raw_text"], r["reason"]) for r in res.rejects.collect())
     assert rej == [("6,short", "short row"), ("7,long,1,2", "long row"), ("8,num,abc", "unparsable c")]
     stats = {os.path.basename(r["file"]): (r["rows_loaded"], r["rows_rejected"])
-             for r in D.file_stats(res.good, res.rejects).collect()}
-    assert stats == {"good.txt": (5, 0), "bad.txt": (1, 3)}
+             for r in D.file_stats(res).collect()}
+    assert stats == {"good.txt": (5, 0), "bad.txt": (1, 3), "empty.txt": (0, 0)}
+    once = res.stored(os.path.join(tmp_path, "lines"))
+    assert (once.good.count(), once.rejects.count()) == (6, 3) and once.good.columns == res.good.columns
 
 
 def test_missing_manifest_means_no_loads(spark, tmp_path):
-    assert D.read_manifest(spark, os.path.join(tmp_path, "nope.csv")) == []
-    res = D.ingest(spark, os.path.join(tmp_path, "nope.csv"), SCHEMA)
-    assert res.good.count() == 0 and res.loaded_paths == []
+    nope = os.path.join(tmp_path, "nope.csv")
+    assert D.scan_manifest(spark, nope).count() == 0
+    _write(tmp_path, "good.txt", "1,x,1.5\n")
+    res = D.ingest(spark, nope, str(tmp_path), SCHEMA)
+    assert res.good.count() == 0 and res.manifest.count() == 0
+
+
+def test_an_unreadable_object_is_reported_and_the_rest_loads(spark, tmp_path):
+    _write(tmp_path, "good.txt", "1,x,1.5\n")
+    _write(tmp_path, "bad.txt.gz", "no archive")
+    res = D.load_delimited(spark, D.scan_objects(spark, str(tmp_path)), str(tmp_path), SCHEMA, skip_unreadable=True)
+    assert res.good.count() == 1
+    assert {os.path.basename(r["file"]): r["state"] for r in D.file_stats(res).collect()} == {"good.txt": "loaded", "bad.txt.gz": "unreadable"}
 
 
 def test_round_trip_through_writer(spark, tmp_path):
     df = spark.createDataFrame([(1, "a,b\\c", 1.25), (2, None, None)], SCHEMA)
     out = str(tmp_path / "objs")
     D.write_objects(df.withColumn("obj", df.a), out, "obj")
-    names = D.list_objects(spark, out)
     manifest = str(tmp_path / "manifest")
-    D.write_manifest(spark, names, manifest)
-    res = D.ingest(spark, manifest, SCHEMA)
+    D.write_manifest(D.scan_objects(spark, out), manifest)
+    res = D.ingest(spark, manifest, out, SCHEMA)
     assert sorted(tuple(r) for r in res.good.select("a", "b", "c").collect()) == [(1, "a,b\\c", 1.25), (2, None, None)]
 
 

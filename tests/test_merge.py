@@ -127,3 +127,20 @@ def test_unify_needs_a_tie_break(spark):
             unify(df, policy, method=method)
     with pytest.raises(ValueError):
         top1_per_key(df, policy)
+
+
+@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
+def test_two_batch_rows_of_one_key_raise(spark, strategy):
+    target = _df(spark, [("a", "s", 1.0, 1, T)])
+    batch = _df(spark, [("a", "x", 1.0, 1, T), ("a", "y", 1.0, 1, T)])
+    with pytest.raises(Exception, match="two rows of one key"):
+        merge(target, batch, POLICY, strategy=strategy).collect()
+    nulls = _df(spark, [(None, "x", 1.0, 1, T), (None, "y", 1.0, 1, T)])
+    assert merge(target, nulls, POLICY, strategy=strategy).count() == 3
+
+
+def test_upsert_query_reads_staged_sides_only(spark, sf_small):
+    from patchprofile import queries as Q
+    plan = Q.merge_upsert(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan
+    assert plan.count("Relation") <= 5  # the profile and its found-key scan; the small batch for each join

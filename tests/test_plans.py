@@ -31,7 +31,7 @@ def test_broadcast_merge_never_shuffles_profile(spark, sf_small, tmp_path):
     as_profile(unify(feed, FEED_POLICY), FEED_POLICY).write.parquet(prof_path)
     target = spark.read.parquet(prof_path)
     batch = unify(slice_range(feed, "epoch", 100, 200), FEED_POLICY, method="window")
-    out = merge(target, batch, FEED_POLICY, strategy="broadcast")
+    out = merge(target, batch, FEED_POLICY, strategy="broadcast", unique_batch=True)
     out.explain()  # printed for the log
     plan = out._jdf.queryExecution().sparkPlan().toString()
     # every exchange in the plan is a broadcast or sits on the batch side (the window's shuffle)
