@@ -201,8 +201,8 @@ def merge_tagged(target: DataFrame, batch: DataFrame, policy: ColumnPolicy, *,
 
 
 def _one_row_per_key(batch: DataFrame, keys: list[str]) -> DataFrame:
-    """The batch, raising when it is read and two rows share a key. The row number needs the
-    partitioning that the join needs anyway and buffers no group."""
+    """The batch, raising when it is read and two rows share a key. The row number buffers no group. It costs one
+    shuffle of the batch, which the join uses again unless it broadcasts or the profile has another number of buckets."""
     names = ", ".join(q(k) for k in keys)
     known = " AND ".join(f"{q(k)} IS NOT NULL" for k in keys)
     numbered = batch.selectExpr("*", f"row_number() OVER (PARTITION BY {names} ORDER BY {names}) AS __n")

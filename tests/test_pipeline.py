@@ -72,7 +72,7 @@ def test_bucketed_store_reads_without_profile_shuffle(spark, sf_small):
     assert again.count() == n
     staged_path = f"{base}/staged"
     unify(feed.filter("epoch > 300"), FEED_POLICY).write.parquet(staged_path)
-    out = merge(again, spark.read.parquet(staged_path), FEED_POLICY, strategy="shuffle")
+    out = merge(again, spark.read.parquet(staged_path), FEED_POLICY, strategy="shuffle", unique_batch=True)  # as the loop merges what unify staged
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan
     assert plan.count("Exchange hashpartitioning") == 1  # the batch side only
