@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from patchprofile.operators.merge import (INSERTED, STATE, UNTOUCHED, UPDATED, merge_tagged, size_exprs,
                                           to_batch_size)
-from patchprofile.operators.slices import high_water, slice_range
+from patchprofile.operators.slices import slice_range
 from patchprofile.operators.unify import HOT_KEY_ROWS, unify
 from patchprofile.plans.metrics import StepLog
 from patchprofile.plans.store import ProfileStore, decode_mark, encode_mark
@@ -34,9 +34,23 @@ def reset_staging(spark: SparkSession, path: str, schema) -> None:
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
+def open_loads(raw: DataFrame, load_col: str | None, last: int | None) -> DataFrame:
+    """The rows a poll has to look at: those of load ``last`` and later ones.
+
+    ``load_col`` is the raw table's folder column, so closed loads are pruned before the scan. A load may still
+    grow while it is the newest; it is closed when a later one has been taken up.
+    """
+    if load_col is None or last is None:
+        return raw
+    return raw.where(F.col(load_col) >= F.lit(last))
+
+
 @dataclass
 class UnifyMergeJob:
-    """Slice -> unify -> staging -> merge with the stored profile -> publish."""
+    """Slice -> unify -> staging -> merge with the stored profile -> publish.
+
+    With ``load_col`` a poll reads only the load folders from the newest merged one on (``open_loads``).
+    """
     spark: SparkSession
     store: ProfileStore
     policy: ColumnPolicy
@@ -48,12 +62,15 @@ class UnifyMergeJob:
     hot_key_rows: int = HOT_KEY_ROWS
     log: StepLog = field(default_factory=StepLog)
     next_batch: int | None = None
+    load_col: str | None = None
+    last_load: int | None = None
 
     def __post_init__(self) -> None:
-        """A new process goes on from the newest published version: its mark and the batch after it."""
+        """A new process goes on from the newest published version: its mark, its load and the batch after it."""
         h = self.store.head()
         if self.prev is None:
             self.prev = self.store.mark()
+            self.last_load = h.get("load") if h and self.last_load is None else self.last_load
         if self.next_batch is None:
             self.next_batch = 0 if h is None else int(h["batch_id"]) + 1
 
@@ -65,23 +82,25 @@ class UnifyMergeJob:
         a hot key, so it skips the hot-key scan.
         """
         c = F.col(self.col)
+        raw = open_loads(raw, self.load_col, self.last_load)
         newer = c.isNotNull() if self.prev is None else c > F.lit(self.prev)
-        row = raw.agg(F.max(c).alias("m"), F.count(F.when(newer, 1)).alias("n")).first()
+        load = F.max(self.load_col) if self.load_col else F.lit(None)
+        row = raw.agg(F.max(c).alias("m"), F.count(F.when(newer, 1)).alias("n"), load.alias("load")).first()
         mark = row["m"]
         if mark is None or (self.prev is not None and mark <= self.prev):
             return False
         method = "window" if self.unify_method == "auto" and row["n"] <= self.hot_key_rows else self.unify_method
         done = self.run_slice(slice_range(raw, self.col, self.prev, mark), self.next_batch, self.prev, mark,
-                              method=method)
+                              method=method, load=row["load"])
         if done["skipped"]:
             # the mark must never pass rows that were not merged
             raise RuntimeError(f"batch {self.next_batch} of {self.store.root} was published by someone else; open the job again")
-        self.prev = mark
+        self.prev, self.last_load = mark, row["load"]
         self.next_batch += 1
         return True
 
     def run_slice(self, slice_df: DataFrame, batch_id: int, lo: Any = None, hi: Any = None,
-                  method: str | None = None) -> dict:
+                  method: str | None = None, load: int | None = None) -> dict:
         """Unify one slice (or stream micro-batch) and merge it; skips a batch already published."""
         if self.store.applied(batch_id):
             return {"skipped": True}
@@ -114,7 +133,7 @@ class UnifyMergeJob:
                     F.count(F.when(s == INSERTED, 1)).alias("inserted"),
                     F.count(F.when(s == UNTOUCHED, 1)).alias("untouched"),
                 )
-                self.store.publish(counted.drop(STATE), batch_id, mark=hi, empty=size.rows == 0)
+                self.store.publish(counted.drop(STATE), batch_id, mark=hi, empty=size.rows == 0, load=load)
                 m = obs.get
                 rec["rows"] = int(m["updated"]) + int(m["inserted"])
             reset_staging(self.spark, self.staging, staged.schema)
@@ -127,7 +146,8 @@ class AppendJob:
 
     Each slice has a folder of its own (``slice=<n>``) and, once written, a small record
     with its mark. A slice without a record was cut off: it is written again, over what is there, and
-    ``read`` leaves it out. A new process goes on from the newest record.
+    ``read`` leaves it out. A new process goes on from the newest record. With ``load_col`` a poll reads only the
+    load folders from the newest appended one on (``open_loads``).
     """
     spark: SparkSession
     staging: str
@@ -136,12 +156,15 @@ class AppendJob:
     prev: Any = None
     log: StepLog = field(default_factory=StepLog)
     next_batch: int = 0
+    load_col: str | None = None
+    last_load: int | None = None
 
     def __post_init__(self) -> None:
         done = [int(n.removesuffix(".json")) for n in list_names(self.spark, self._marks) if n.endswith(".json") and not n.startswith(".")]
         if done and self.prev is None:
             last = max(done)
-            self.prev = decode_mark(json.loads(read_text(self.spark, f"{self._marks}/{last}.json")))
+            record = json.loads(read_text(self.spark, f"{self._marks}/{last}.json"))
+            self.prev, self.last_load = decode_mark(record["mark"]), record["load"]
             self.next_batch = last + 1
 
     @property
@@ -149,7 +172,10 @@ class AppendJob:
         return f"{self.staging}/_marks"
 
     def poll(self, raw: DataFrame) -> bool:
-        mark = high_water(raw, self.col)
+        raw = open_loads(raw, self.load_col, self.last_load)
+        load = F.max(self.load_col) if self.load_col else F.lit(None)
+        row = raw.agg(F.max(self.col).alias("m"), load.alias("load")).first()
+        mark = row["m"]
         if mark is None or (self.prev is not None and mark <= self.prev):
             return False
         with self.log.step("append", self.next_batch, self.prev, mark) as rec:
@@ -157,10 +183,10 @@ class AppendJob:
             part = slice_range(raw, self.col, self.prev, mark).select(*self.columns)
             (part.observe(obs, F.count(F.lit(1)).alias("rows"))
                  .write.mode("overwrite").parquet(f"{self.staging}/slice={self.next_batch}"))
-            if not create_text(self.spark, f"{self._marks}/{self.next_batch}.json", json.dumps(encode_mark(mark))):
+            if not create_text(self.spark, f"{self._marks}/{self.next_batch}.json", json.dumps({"mark": encode_mark(mark), "load": row["load"]})):
                 raise RuntimeError(f"slice {self.next_batch} of {self.staging} was appended by another writer")
             rec["rows"] = int(obs.get["rows"])
-        self.prev = mark
+        self.prev, self.last_load = mark, row["load"]
         self.next_batch += 1
         return True
 

@@ -51,12 +51,12 @@ def _raw_schema(feed: DataFrame) -> T.StructType:
     return T.StructType(feed.schema.fields + [T.StructField("load", T.IntegerType())])
 
 
-def _unify_merge_job(spark: SparkSession, base: str) -> UnifyMergeJob:
+def _unify_merge_job(spark: SparkSession, base: str, load_col: str | None = None) -> UnifyMergeJob:
     # Profile versions split into key-hash buckets; each merge reads and rewrites
     # only the buckets its batch touches.
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     store = ProfileStore(spark, f"{base}/profile", buckets=buckets, keys=FEED_POLICY.keys, touched_only=True)
-    return UnifyMergeJob(spark, store, FEED_POLICY, staging=f"{base}/staging", col="epoch")
+    return UnifyMergeJob(spark, store, FEED_POLICY, staging=f"{base}/staging", col="epoch", load_col=load_col)
 
 
 def _run_incremental(spark: SparkSession, sf_dir: str) -> UnifyMergeJob:
@@ -64,7 +64,7 @@ def _run_incremental(spark: SparkSession, sf_dir: str) -> UnifyMergeJob:
     feed = profile_feed(spark, sf_dir)
     bounds = arrival_bounds(feed)
     raw = f"{base}/raw"
-    job = _unify_merge_job(spark, base)
+    job = _unify_merge_job(spark, base, "load")
     for i in range(ARRIVALS):
         write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
         job.poll(spark.read.parquet(raw))
@@ -84,10 +84,10 @@ def restart_batch_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = profile_feed(spark, sf_dir)
     bounds = arrival_bounds(feed)
     raw = f"{base}/raw"
-    job = _unify_merge_job(spark, base)
+    job = _unify_merge_job(spark, base, "load")
     for i in range(ARRIVALS):
         if i == ARRIVALS // 2:
-            job = _unify_merge_job(spark, base)  # a new process: only the folders carry over
+            job = _unify_merge_job(spark, base, "load")  # a new process: only the folders carry over
         write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
         job.poll(spark.read.parquet(raw))
     return job.store.read()
@@ -100,7 +100,7 @@ def crash_before_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = profile_feed(spark, sf_dir)
     bounds = arrival_bounds(feed)
     raw = f"{base}/raw"
-    job = _unify_merge_job(spark, base)
+    job = _unify_merge_job(spark, base, "load")
     for i in range(ARRIVALS):
         write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
         if i == 1:
@@ -108,7 +108,7 @@ def crash_before_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
             left = f"{job.store.root}/v{0 if h is None else h['version'] + 1:08d}-b{job.next_batch}"
             # what the dead process left: rows under the next version's path, no record
             feed.limit(10).withColumn("pbucket", F.lit(0)).write.partitionBy("pbucket").parquet(left)
-            job = _unify_merge_job(spark, base)
+            job = _unify_merge_job(spark, base, "load")
         job.poll(spark.read.parquet(raw))
     return job.store.read()
 
@@ -153,7 +153,7 @@ def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = profile_feed(spark, sf_dir)
     bounds = arrival_bounds(feed)
     raw = f"{base}/raw"
-    new = lambda: AppendJob(spark, staging=f"{base}/staging", columns=FEED_COLUMNS, col="epoch_ts")
+    new = lambda: AppendJob(spark, staging=f"{base}/staging", columns=FEED_COLUMNS, col="epoch_ts", load_col="load")
     job = new()
     for i in range(ARRIVALS):
         if i == ARRIVALS // 2:

@@ -209,3 +209,23 @@ def test_bucket_writes_are_clustered(spark, sf_small):
     store = ProfileStore(spark, f"{base}/p", buckets=16, keys=("uid",), touched_only=True)
     store.publish(feed, 0)
     assert len(spark.read.parquet(*store.head()["buckets"].values()).inputFiles()) <= 16
+
+
+def test_poll_reads_only_the_open_loads(spark, sf_small):
+    """Closed load folders are pruned; the newest one may still grow; a new process prunes alike."""
+    from patchprofile.plans.pipeline import AppendJob, open_loads
+    base = work_dir(spark, "test-open-loads")
+    feed = profile_feed(spark, sf_small)
+    raw = f"{base}/raw"
+    read = lambda: spark.read.parquet(raw)
+    new = lambda: AppendJob(spark, staging=f"{base}/s", columns=["epoch"], col="epoch", load_col="load")
+    job = QI._unify_merge_job(spark, base, "load")
+    for load, cond in ((0, "epoch < 300"), (1, "epoch BETWEEN 300 AND 599"), (1, "epoch BETWEEN 600 AND 699"), (2, "epoch >= 700")):
+        feed.filter(cond).write.mode("append").parquet(f"{raw}/load={load}")
+        assert job.poll(read()) is True and new().poll(read()) is True
+    assert job.last_load == 2 and QI._unify_merge_job(spark, base, "load").last_load == 2
+    assert job.poll(read()) is False and new().last_load == 2
+    plan = open_loads(read(), "load", 2)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load" in plan and ">= 2)]" in plan
+    assert sorted(r[0] for r in new().read().collect()) == sorted(r[0] for r in feed.select("epoch").collect())
+    assert job.store.read().count() == feed.select("uid", "utype").distinct().count()
