@@ -23,14 +23,13 @@ WINDOW = 8
 @dataclass(frozen=True)
 class Limits:
     """``min_repeat``: words of the shortest repeat that counts. A text of at least ``min_words`` words fails when repeated
-    spans cover more than ``max_covered`` of its words, or when its longest repeat has more than
-    ``max_longest`` words and more than ``max_longest_share`` of the text."""
+    spans cover more than ``max_covered`` of its words (the base rule lets 0.30 pass), or when its longest repeat has
+    more than ``max_longest`` words, however long the text is."""
 
     min_repeat: int = 8
     min_words: int = 20
-    max_covered: float = 0.30
+    max_covered: float = 0.15
     max_longest: int = 100
-    max_longest_share: float = 0.15
 
 
 def repeats(codes: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -142,7 +141,7 @@ def score(batch_texts: list[bytes], limits: Limits) -> dict[str, np.ndarray]:
     np.maximum.at(longest, doc, runs)
     longest[longest < limits.min_repeat] = 0
     base = (n < 20) | (100 * window > 30 * n)
-    bad = (n >= limits.min_words) & ((cover > limits.max_covered * n) | ((longest > limits.max_longest) & (longest > limits.max_longest_share * n)))
+    bad = (n >= limits.min_words) & ((cover > limits.max_covered * n) | (longest > limits.max_longest))
     return {"n_words": n, "word_chars": np.array([len(t.decode("utf-8")) - sum(map(t.count, _SPACES)) for t in batch_texts], np.int64),
             "n_symbols": np.array([sum(map(t.count, _SYMBOLS)) for t in batch_texts], np.int64),
             "n_dup_lines": np.array([_lines(t) for t in batch_texts], np.int64), "n_repeat_words": window,

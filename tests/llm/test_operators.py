@@ -128,6 +128,17 @@ def test_repetition_odd_rows(spark):
     assert repetition.repeated_spans("x " + "a b c d e f g h " * 2) == [(1, 17)]
 
 
+def test_repeated_passages_that_pass_the_base_rule():
+    words = [f"w{i}" for i in range(5000)]
+    pasted = words[:1710] + words[100:390]  # a section of 290 words twice in 2,000: 29 %
+    passage = words + words[1000:1200]  # 200 words again in a longer text
+    short = [x for i in range(0, 400, 40) for x in (*words[i : i + 40], *words[5 : 5 + 9])]  # nine words again and again: 20 %
+    few = words[:1000] + words[200:250]
+    got = repetition.score([" ".join(w).encode() for w in (pasted, passage, short, few, words)], repetition.Limits())
+    assert not got["base_failed"].any()
+    assert got["kept"].tolist() == [False, False, False, True, True]
+
+
 # ---- 3
 def test_languages(spark):
     sf = "/root/testdata/sf0.01"
