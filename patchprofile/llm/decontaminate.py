@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -121,8 +122,9 @@ class Items:
         return met
 
 
-def item_sets(benchmark: DataFrame, c: Config) -> DataFrame:
-    """``item_id, set, n``: distinct five-word shingles. Items with fewer words have none and match nothing."""
+def item_sets(benchmark: DataFrame, c: Config, null_ids: bool = False) -> DataFrame:
+    """``item_id, set, n``: distinct five-word shingles. Items with fewer words have none and match nothing;
+    items without an id can't be named and are left out unless ``null_ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -133,7 +135,23 @@ def item_sets(benchmark: DataFrame, c: Config) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("item_id"), pa.array(sets, pa.list_(pa.int64())), pa.array([len(s) for s in sets], pa.int64())], names=["item_id", "set", "n"])
 
     rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "item_id bigint, set array<bigint>, n bigint").where("n > 0 AND item_id IS NOT NULL")
+    return rows.mapInArrow(run, "item_id bigint, set array<bigint>, n bigint").where("n > 0" if null_ids else "n > 0 AND item_id IS NOT NULL")
+
+
+def _blocks(benchmark: DataFrame, c: Config, null_ids: bool = False) -> Iterator[Broadcast]:
+    """The items in blocks of at most ``c.block`` shingles (plus one item), broadcast one after the other."""
+    order = ["item_id", "n"] if null_ids else ["item_id"]
+    placed = materialize(running(item_sets(benchmark, c, null_ids), order, ["n"], "items").withColumn("blk", F.floor(F.col("n_before") / c.block)), "item-blocks")
+    last = placed.agg(F.max("blk")).first()[0]
+    for k in range(0 if last is None else last + 1):
+        # at most c.block shingles plus one item: the stated bound of this collect and broadcast
+        block = [(r.item_id, r["set"]) for r in placed.where(F.col("blk") == k).orderBy("item_id").collect()]
+        yield benchmark.sparkSession.sparkContext.broadcast(block)
+
+
+def _shingled(column: pa.Array, c: Config) -> list[np.ndarray]:
+    words = [(x.as_py() or b"").lower().split() for x in column]
+    return [shingles(word_hashes(w), c.words) if len(w) >= c.words else _NONE for w in words]
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, c: Config = Config()) -> DataFrame:
@@ -147,21 +165,15 @@ def find_items(docs: DataFrame, benchmark: DataFrame, c: Config = Config()) -> D
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
     schema = "doc_id bigint, item_id bigint, shared bigint, n_item bigint"
-    placed = materialize(running(item_sets(benchmark, c), ["item_id"], ["n"], "items").withColumn("blk", F.floor(F.col("n_before") / c.block)), "item-blocks")
     out = None
-    last = placed.agg(F.max("blk")).first()[0]
-    for k in range(0 if last is None else last + 1):
-        # at most c.block shingles plus one item: the stated bound of this collect and broadcast
-        block = [(r.item_id, r["set"]) for r in placed.where(F.col("blk") == k).orderBy("item_id").collect()]
-        sent = spark.sparkContext.broadcast(block)
+    for sent in _blocks(benchmark, c):
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             found = Items(sent.value, c)
             for big in batches:
                 for at in range(0, big.num_rows, 64):
                     b = big.slice(at, 64)
-                    words = [(x.as_py() or b"").lower().split() for x in b.column("text")]
-                    hits = found.search([shingles(word_hashes(w), c.words) if len(w) >= c.words else _NONE for w in words])
+                    hits = found.search(_shingled(b.column("text"), c))
                     ids = b.column("doc_id").to_pylist()
                     cols = [[ids[h[0]] for h in hits], *([h[j] for h in hits] for j in (1, 2, 3))]
                     yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in cols], names=["doc_id", "item_id", "shared", "n_item"])
@@ -178,6 +190,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, c: Config = Config()) ->
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, c: Config = Config()) -> DataFrame:
-    """The rows of ``docs`` in which no test item was found, with all their columns."""
-    bad = materialize(find_items(docs, benchmark, c).select(F.col("doc_id").alias("_id")).distinct(), "leaks")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    """The rows of ``docs`` in which no test item was found, with all their columns.
+
+    Each row is judged by its own text, whatever its ``doc_id`` (null and repeated ids too); items without an id
+    count as well. Map-only, one pass for each block of items.
+    """
+    out = docs
+    for sent in _blocks(benchmark, c, null_ids=True):
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            found = Items(sent.value, c)
+            for big in batches:
+                leaks = np.zeros(big.num_rows, bool)
+                for at in range(0, big.num_rows, 64):
+                    text = big.column("text").slice(at, 64).cast(pa.binary())
+                    leaks[[at + h[0] for h in found.search(_shingled(text, c))]] = True
+                yield big.filter(pa.array(~leaks))
+
+        out = out.mapInArrow(run, docs.schema)
+    return out

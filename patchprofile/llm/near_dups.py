@@ -20,10 +20,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patchprofile.llm.common import materialize, mix, running, shingles, word_hashes
+from patchprofile.llm.common import WORD, materialize, mix, running, shingles, word_hashes
 from patchprofile.llm.components import components
 
 
@@ -82,9 +82,16 @@ def most_bits(c: Config) -> int:
     return int(np.ceil(c.bits / 2 * (1 - np.exp(-2 * differ / c.bits))))
 
 
-def signatures(docs: DataFrame, c: Config) -> DataFrame:
-    """``doc_id, n_shingles, node`` (128-bit digest of the set; null if empty), ``bands``, ``sketch``."""
-    schema = "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>, sketch binary"
+def row_key(docs: DataFrame) -> Column:
+    """Digest of a row's ``doc_id`` and text: rows share it only when they agree in both."""
+    parts = [F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col("text").cast("string"), F.lit(""))]
+    return F.unhex(F.md5(F.concat(*parts)))
+
+
+def signatures(docs: DataFrame, c: Config, keyed: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, node`` (128-bit digest of the set; null if empty), ``bands``, ``sketch``; with ``keyed`` also ``row``, the ``row_key``."""
+    schema = "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>, sketch binary" + (", row binary" if keyed else "")
+    extra = ["row"] if keyed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sk = Sketcher(c)
@@ -103,13 +110,15 @@ def signatures(docs: DataFrame, c: Config) -> DataFrame:
                     else:
                         node.append(None), bands.append(None), odd.append(None)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.binary()),
-                                                  pa.array(bands, pa.list_(pa.int64())), pa.array(odd, pa.binary())], names=["doc_id", "n_shingles", "node", "bands", "sketch"])
+                                                  pa.array(bands, pa.list_(pa.int64())), pa.array(odd, pa.binary()), *(b.column(x) for x in extra)],
+                                                 names=["doc_id", "n_shingles", "node", "bands", "sketch", *extra])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"), *(row_key(docs).alias(x) for x in extra))
+    return rows.mapInArrow(run, schema)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, c: Config) -> DataFrame:
-    """``node, set`` for the nodes of ``wanted`` (``node, rep``), made again from the texts of their representatives."""
+    """``node, set`` for the nodes of ``wanted`` (``node, rep``), made again from the texts of their representatives (``rep``: a ``doc_id``, or a ``row_key``)."""
     schema = "node binary, want binary, set array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +129,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, c: Config) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), b.column("want"),
                                                   pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "want", "set"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("binary").alias("text"))
+    rep = row_key(docs) if dict(wanted.dtypes)["rep"] == "binary" else F.col("doc_id").cast("long")
+    rows = docs.select(rep.alias("rep"), F.col("text").cast("binary").alias("text"))
     want = wanted.select(F.col("node").alias("want"), F.col("rep").alias("_rep"))
     got = rows.join(want, F.col("rep").eqNullSafe(F.col("_rep"))).select("text", "want").mapInArrow(run, schema)
     return got.where("node = want").select("node", "set")
@@ -145,11 +155,23 @@ def near_dups(docs: DataFrame, c: Config = Config()) -> DataFrame:
 
     Null, empty or wordless text: no shingles, linked with nothing, its own component. Rows that
     repeat a ``doc_id`` are nodes of their own with one id; a null ``doc_id`` never names a
-    component that has another one. Other columns are ignored. ``kept``: doc_id = component_id.
+    component that has another one. Other columns are ignored. ``kept``: doc_id = component_id; ``keep_one``
+    chooses rows, not ids.
     """
-    sig = materialize(signatures(docs, c), "near-sig")
+    sig, named = _named(docs, c)
+    out = sig.select("doc_id", "n_shingles", "node").join(named, F.col("node") == F.col("_node"), "left")
+    component = F.coalesce("component_id", "doc_id")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+def _named(docs: DataFrame, c: Config, by_row: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The signatures, and ``_node, component_id`` for every node; with ``by_row`` each node's ``component`` and ``best`` row instead."""
+    sig = materialize(signatures(docs, c, by_row), "near-sig")
+    # the row that stays in a group: the least id, null last, then the least key
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    first = [best["row"].alias("rep"), best.alias("best")] if by_row else [F.min("doc_id").alias("rep")]
     nodes = materialize(sig.where("node IS NOT NULL").groupBy("node")
-                        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "near-nodes")
+                        .agg(*first, F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "near-nodes")
 
     # 3. one pivot per bucket; buckets with one node go before the join
     keys = nodes.select("node", "sketch", F.explode("bands").alias("key"))
@@ -176,12 +198,11 @@ def near_dups(docs: DataFrame, c: Config = Config()) -> DataFrame:
         joined = components(over.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "near-cc").select(F.col("node").alias("component"), F.col("component").alias("to"))
         label = tagged.select("node", "component").join(joined, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
 
-    best = nodes.select("node", "rep").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    best = nodes.select("node", "rep", *(["best"] if by_row else [])).join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    if by_row:
+        return sig, best
     least = best.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = materialize(best.join(least, "component").select(F.col("node").alias("_node"), "component_id"), "near-named")
-    out = sig.select("doc_id", "n_shingles", "node").join(named, F.col("node") == F.col("_node"), "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    return sig, materialize(best.join(least, "component").select(F.col("node").alias("_node"), "component_id"), "near-named")
 
 
 def _rest(docs: DataFrame, tagged: DataFrame, shared: DataFrame, c: Config) -> DataFrame | None:
@@ -246,11 +267,16 @@ def _block_links(pdf: pd.DataFrame, bits: int, percent: int) -> pd.DataFrame:
 
 
 def keep_one(docs: DataFrame, c: Config = Config(words=5)) -> DataFrame:
-    """The rows of ``docs`` whose document is kept by ``near_dups``, with all their columns. Rows without words
-    all stay. Among rows that repeat a kept ``doc_id`` one stays."""
-    found = near_dups(docs, c)
-    keep = materialize(found.where("kept OR n_shingles = 0").groupBy(F.col("doc_id").alias("_id"))
-                       .agg(F.count("*").alias("_n"), F.max("n_shingles").alias("_s")), "near-keep")
-    rows = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")))
-    single = rows.where("_n = 1 OR _s = 0").select(*docs.columns)
-    return single.unionByName(rows.where("_n > 1 AND _s > 0").select(*docs.columns).dropDuplicates(["doc_id"]))
+    """One row of every group of near-duplicates, with all its columns: that of the least ``doc_id`` (null last),
+    ties by digest of the text. Ids name nothing here: rows with a null or a repeated ``doc_id`` are judged by
+    their own text. Rows without words all stay."""
+    sig, best = _named(docs, c, by_row=True)
+    chosen = best.groupBy("component").agg(F.min("best").alias("best")).select(F.col("best.row").alias("row"))
+    # rows that agree in id and text have one key
+    keep = materialize(sig.select("row").join(chosen, "row", "left_semi").groupBy(F.col("row").alias("__row")).agg(F.count("*").alias("__n")), "near-keep")
+    worded = F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False))
+    rows = docs.where(worded).withColumn("__key", row_key(docs)).join(keep, F.col("__key") == F.col("__row"))
+    out = docs.where(~worded).unionByName(rows.where("__n = 1").select(*docs.columns))
+    if keep.where("__n > 1").isEmpty():
+        return out
+    return out.unionByName(rows.where("__n > 1").dropDuplicates(["__key"]).select(*docs.columns))

@@ -354,6 +354,14 @@ def test_near_dups_odd_rows(spark):
     assert near_dups.near_dups(empty(spark)).count() == 0
 
 
+def test_keep_one_by_row(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(None, a), (None, b), (None, b), (1, c), (1, d), (2, d), (3, None), (3, ""), (None, None), (4, a + " z"), (5, c), (5, c)]
+    df = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, _n int")
+    kept = [(r.doc_id, r.text) for r in near_dups.keep_one(df).collect()]
+    assert sorted(kept, key=str) == sorted([(4, a + " z"), (None, b), (1, c), (1, d), (3, None), (3, ""), (None, None)], key=str)
+
+
 # ---- 9
 def test_secrets(spark):
     hexes = [("%040x" % random.Random(i).getrandbits(160)) for i in range(40)]
@@ -397,6 +405,18 @@ def test_containment_in_long_text_and_odd_rows(spark):
     assert decontaminate.find_items(df.limit(0), bench).count() == 0 and decontaminate.find_items(df, bench.limit(0)).count() == 0
 
 
+def test_clean_by_row(spark):
+    item, other = (" ".join(f"{x}{i}" for i in range(30)) for x in "qr")
+    bench = spark.createDataFrame([(1, item), (None, other)], "item_id long, text string")
+    rows = [(None, item), (None, "a clean text of six words"), (None, None), (1, item), (1, "another clean text of six words"), (2, f"x {other} y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted([(r.doc_id, r.text) for r in decontaminate.clean(df, bench).collect()], key=str)
+    assert left == sorted([rows[1], rows[2], rows[4]], key=str)
+    assert decontaminate.clean(df, bench.limit(0)).count() == 6
+    tiny = decontaminate.Config(block=20)  # an item a pass
+    assert sorted([(r.doc_id, r.text) for r in decontaminate.clean(df, bench, tiny).collect()], key=str) == left
+
+
 # ---- pipeline
 def test_pipeline_stages(spark):
     sf = SF
