@@ -17,10 +17,14 @@ from pyspark.sql import functions as F
 
 from patchprofile.llm.common import SPACE, materialize
 
-#: A run of at least 16 characters that keys and tokens are made of.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{16,}(?![A-Za-z0-9+/_=.-])"
+_NAME = "(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer|key)"
+#: What a credential's name is assigned: a quoted value, or one up to white space or a separator. The short looks back come first: they are cheap.
+_VALUE = (r"(?<=[\s:=>\"'])(?=[^\s\"'=])(?<=[:=>]\s{0,4}[\"']?)(?<=(?i:" + _NAME + r")[\"']?\s{0,4}(?:=>|:=|[:=])\s{0,4}[\"']?)"
+          r"(?:(?<=\")[^\"\r\n]{6,200}(?=\")|(?<=')[^'\r\n]{6,200}(?=')|(?<![\"'])[^\s\"',;&<>]{6,})")
+#: Such a value of at least six characters, or a run of at least 16 characters that keys and tokens are made of; ``=`` only pads its end.
+CANDIDATE = _VALUE + r"|(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{16,}={0,2}(?![A-Za-z0-9+/_=.-])"
 #: Names that stand before a credential; words that stand beside what only looks like one.
-NAMES = r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer|key)[\"']?\s*(?:[:=]|=>|:=)?\s*[\"']?$"
+NAMES = r"(?i)" + _NAME + r"[\"']?\s*(?:[:=]|=>|:=)?\s*[\"']?$"
 ASSIGNED = r"[:=]\s*[\"']?$"
 HARMLESS = r"(?i)(?:sha-?\d*|md5|commit|checksum|digest|uuid|example|sample|test|dummy|hash|revision|version|license)\W*$"
 FEATURES = ["length", "digits", "upper", "lower", "marks", "changes", "run", "covered", "path", "named", "assigned", "quoted", "harmless"]
@@ -80,11 +84,13 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
 
 def labelled(found: DataFrame) -> DataFrame:
     """Findings with a ``label``, from what can be told for certain: 1 for a value of letters and digits assigned to a credential's name,
-    0 for a run of letters only or one that stands beside a harmless word; others have no label."""
+    0 for a run without digits or one that stands beside a harmless word; others have no label, also values without digits but
+    with marks that are assigned to a credential's name."""
     c = F.col("candidate")
     mixed = c.rlike("[0-9]") & c.rlike("[A-Za-z]")
+    unsure = ~c.rlike("[0-9]") & c.rlike(r"[^A-Za-z\s]") & (F.col("named") == 1) & (F.col("assigned") == 1)
     label = (F.when(mixed & (F.col("named") == 1) & (F.col("harmless") == 0), 1.0)
-             .when(~c.rlike("[0-9]") | (F.col("harmless") == 1) | ((F.col("path") == 1) & (F.col("named") == 0)), 0.0))
+             .when(~unsure & (~c.rlike("[0-9]") | (F.col("harmless") == 1) | ((F.col("path") == 1) & (F.col("named") == 0))), 0.0))
     return found.withColumn("label", label).where("label IS NOT NULL")
 
 
@@ -103,12 +109,13 @@ def fit(findings: DataFrame, c: Config = Config()) -> RandomForestClassification
 
 
 def score(found: DataFrame, model: RandomForestClassificationModel | None, c: Config = Config()) -> DataFrame:
-    """``doc_id, nth, sha256, masked, n_chars, score, kept``: the candidate itself is not given on. Without a model the score is 1."""
+    """``doc_id, nth, sha256, masked, n_chars, score, kept``: the candidate itself is not given on, only a quarter of it at most,
+    four characters. Without a model the score is 1."""
     if model is None:
         rows = found.withColumn("score", F.lit(1.0))
     else:
         rows = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(found)).withColumn("score", vector_to_array("probability")[1])
-    return rows.select("doc_id", "nth", F.sha2("candidate", 256).alias("sha256"), F.concat(F.substring("candidate", 1, 4), F.lit("...")).alias("masked"),
+    return rows.select("doc_id", "nth", F.sha2("candidate", 256).alias("sha256"), F.concat(F.expr("left(candidate, int(least(4, length(candidate) div 4)))"), F.lit("...")).alias("masked"),
                        F.length("candidate").cast("long").alias("n_chars"), "score", (F.col("score") >= c.least).alias("kept"))
 
 

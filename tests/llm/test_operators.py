@@ -375,6 +375,22 @@ def test_secrets(spark):
     assert secrets.scan(df.limit(0)).count() == 0
 
 
+def test_secrets_assigned_without_spaces_and_short(spark):
+    hexes = [("%040x" % random.Random(i).getrandbits(160)) for i in range(20)]
+    rows = [(i, f"export API_KEY={h} and more") for i, h in enumerate(hexes)]
+    rows += [(100 + i, f"commit {h} made thanthationedthereother words") for i, h in enumerate(hexes)]
+    rows += [(200, f"see http://a.b/c?token={hexes[0][::-1]}&x=1"), (201, f"AWS_SECRET_ACCESS_KEY={hexes[1][::-1]}"), (202, "password: 'Tr0ub4dor&3!x'"),
+             (203, "DB_PASSWORD=p4$sW0rd#9\nNEXT=1"), (204, f"x={'QUJD' * 6}=="), (205, "the key is under the mat, token by token")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.candidate, r.before) for r in secrets.candidates(df).collect() if r.doc_id < 100 or r.doc_id >= 200}
+    assert [found[i][0] for i in range(20)] == hexes and found[0][1].endswith("API_KEY=")
+    assert {i: found[i][0] for i in range(200, 206) if i in found} == {
+        200: hexes[0][::-1], 201: hexes[1][::-1], 202: "Tr0ub4dor&3!x", 203: "p4$sW0rd#9", 204: "QUJD" * 6 + "=="}
+    got = secrets.scan(df).collect()
+    assert {*range(20), 200, 201, 202, 203} <= {r.doc_id for r in got if r.kept} and not any(r.kept for r in got if 100 <= r.doc_id < 200)
+    assert {r.masked for r in got if r.doc_id == 203} == {"p4..."}
+
+
 def test_secrets_plan_is_native(spark, docs):
     plan = secrets.with_features(secrets.candidates(docs), ["the"])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
