@@ -49,16 +49,58 @@ def _pick(place: Column, values: list[str]) -> Column:
     return F.when(place > 0, F.element_at(F.array(*(F.lit(v) for v in values)), F.greatest(place, F.lit(1))))
 
 
+_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+
+
+def unescaped(text: Column) -> Column:
+    """Numeric entities and the five named ones of XML as their characters, each once (``&amp;lt;`` is ``&lt;``)."""
+    entity = r"&(?:(?:#[xX][0-9A-Fa-f]{1,6}|#[0-9]{1,7});?|(?:amp|lt|gt|quot|apos);|(?:amp|lt|gt|quot)(?![A-Za-z0-9=]))"
+    plain, found = F.split(text, entity, -1), F.regexp_extract_all(text, F.lit(f"({entity})"), F.lit(1))
+
+    def char(e: Column) -> Column:
+        body = F.regexp_replace(e, "^&#?|;$", "")
+        code = F.when(e.rlike("^&#[xX]"), F.conv(F.substring(body, 2, 6), 16, 10)).otherwise(body).cast("int")
+        # only code points that are characters stand for something
+        sound = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code < 0x110000))
+        coded = F.when(sound, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+        named = F.coalesce(*(F.when(body == k, F.lit(v)) for k, v in _NAMED.items()))
+        return F.when(e.startswith("&#"), coded).otherwise(named)
+
+    rest = F.zip_with(F.transform(found, char), F.slice(plain, 2, F.greatest(F.size(plain) - 1, F.lit(0))), lambda e, p: F.concat(e, p))
+    return F.when(text.contains("&"), F.concat(plain[0], F.array_join(rest, ""))).otherwise(text)
+
+
+def no_dots(path: Column) -> Column:
+    """A path that begins with ``/`` without its ``.`` and ``..`` segments, as RFC 3986 removes them."""
+    parts = F.split(F.substring(path, 2, 1 << 30), "/", -1)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, x: F.when(x == ".", acc)
+                       .when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.array_append(acc, x)))
+    end = F.when(F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"), end)).otherwise(path)
+
+
+def _resolved(rows: DataFrame) -> DataFrame:
+    """``url, target`` from ``url, href``: the absolute URL that ``href`` names on the page, without dot segments. A column a step:
+    nested in one expression they would be worked out again at each mention."""
+    rows = rows.withColumn("top", F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*)", 1)).withColumn("at", path_of(F.col("url"))).where(F.length("top") > 0)
+    rows = rows.withColumn("at", F.when(F.col("at") == "", "/").otherwise(F.col("at")))
+    href, top, at = F.col("href"), F.col("top"), F.col("at")
+    full = (F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), href).when(href.startswith("//"), F.concat(F.regexp_extract("url", r"(?s)^(.*?:)//", 1), href))
+            .when(href.startswith("/"), F.concat(top, href)).when(href.startswith("?"), F.concat(top, at, href))
+            .when((href == "") | href.startswith("#"), F.concat(top, at, _query_of(F.col("url")), href))
+            .otherwise(F.concat(top, F.regexp_replace(at, r"[^/]*$", ""), href)))
+    rows = rows.select("url", full.alias("full"))
+    rows = rows.select("url", F.regexp_extract("full", r"(?s)^(.*?://[^/?#]*)", 1).alias("start"), path_of(F.col("full")).alias("path"), F.regexp_extract("full", r"(?s)^.*?://[^?#]*(.*)$", 1).alias("tail"))
+    return rows.select("url", F.concat("start", F.when(F.col("path") == "", "").otherwise(no_dots(F.col("path"))), "tail").alias("target"))
+
+
 def links(pages: DataFrame) -> DataFrame:
-    """``url, target`` (absolute) for the canonical links and refresh redirects of each page."""
+    """``url, target`` (absolute) for the canonical links and refresh redirects of each page: entities decoded, references
+    resolved. What names another scheme without ``//`` (``mailto:``) is no address."""
     found = F.array(F.coalesce(*(F.nullif(F.regexp_extract("html", _CANONICAL, k), F.lit("")) for k in (1, 2, 3))), F.nullif(F.regexp_extract("html", _REFRESH, 1), F.lit("")))
     rows = pages.where("url IS NOT NULL AND html IS NOT NULL").select("url", F.explode(found).alias("href")).where("href IS NOT NULL")
-    top = F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_replace(path_of(F.col("url")), r"[^/]*$", "")
-    href = F.trim("href")
-    target = (F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), href).when(href.startswith("//"), F.concat(F.lit("http:"), href))
-              .when(href.startswith("/"), F.concat(top, href)).otherwise(F.concat(top, F.when(folder == "", "/").otherwise(folder), href)))
-    return rows.where(F.length(top) > 0).select("url", target.alias("target"))
+    rows = rows.select("url", F.trim(unescaped(F.col("href"))).alias("href"))
+    return _resolved(rows.where(~F.col("href").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:(?!//)")))
 
 
 def node_of(url: Column) -> Column:
@@ -86,9 +128,10 @@ def judge(pages: DataFrame, rules=RULES, usual_redirects: bool = True) -> DataFr
     said = [v for *_, v in rules]
     base = pages.select("page_id", "url", host_of(url).alias("host"), path_of(url).alias("path")).withColumn("_r", rule_of(F.col("host"), F.col("path"), rules))
     real = pages.where("url IS NOT NULL AND instr(url, '://') > 0")
-    edges = links(real).select(node_of(F.col("url")).alias("a"), node_of(F.col("target")).alias("b"))
+    found = materialize(links(real), "url-links")  # written once: the pages are searched once, and the targets are plain columns
+    edges = found.select(node_of(F.col("url")).alias("a"), node_of(F.col("target")).alias("b"))
     if usual_redirects:
-        both = real.select("url").unionByName(links(real).select(F.col("target").alias("url")))
+        both = real.select("url").unionByName(found.select(F.col("target").alias("url")))
         edges = edges.unionByName(both.select(node_of(url).alias("a"), usual_form(url).alias("b")))
     edges = materialize(edges.where("a <> b").distinct(), "url-edges")
     member = materialize(components(edges, "url-cc"), "url-members")

@@ -226,6 +226,23 @@ def test_url_filter(spark):
     assert url_filter.judge(df.limit(0)).count() == 0
 
 
+def test_link_targets(spark):
+    from urllib.parse import urljoin
+
+    base = "http://a.edu/d/e/page?q=1"
+    hrefs = ["./x", "../x", "../../../x", "?p=2", "x/./y/../z", "/r/../s", "..", "x/..", "."]
+    # urljoin leaves the dots of references that name a host
+    coded = [("//b.net/p/./q", "http://b.net/p/q"), ("http://c.net/a/../b?u=../k", "http://c.net/b?u=../k"), ("http://bad.net/p?a=1&amp;b=2", "http://bad.net/p?a=1&b=2"), ("&#47;n&#x2F;&#xFC;&#38;c", "http://a.edu/n/ü&c"), ("/a?b=&amp;lt;", "http://a.edu/a?b=&lt;"), ("/t?copy=1&lt=2", "http://a.edu/t?copy=1&lt=2")]
+    pages = [(i, base, f'<link rel="canonical" href="{h}">') for i, h in enumerate(hrefs + [h for h, _ in coded])]
+    pages += [(50, "https://a.edu/p", '<link rel="canonical" href="//b.net/">'), (51, base, '<link rel="canonical" href="mailto:x@y.z">')]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = sorted(r.target for r in url_filter.links(df).collect())
+    assert got == sorted([urljoin(base, h) for h in hrefs] + [t for _, t in coded] + ["https://b.net/"])
+    refresh = [(1, base, "<meta http-equiv=refresh content='0; url=../k?a=1&amp;b=2'>"), (2, "http://a.edu/d/k?a=1&b=2", '<link rel=canonical href="http://bad.net/p?a=1&#38;b=2">')]
+    df = spark.createDataFrame(refresh, "page_id long, url string, html string")
+    assert [r.verdict for r in url_filter.judge(df).orderBy("page_id").collect()] == ["block", "block"]
+
+
 def test_components_against_brute_force(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(None, 1), (70, 70)]
