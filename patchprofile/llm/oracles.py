@@ -16,4 +16,45 @@ FROM doc JOIN item USING (s) JOIN n ON n.item_id = item.item_id
 GROUP BY doc.doc_id, item.item_id HAVING 100 * count(*) >= 80 * any_value(n.n_item)
 """
 
-ORACLES = {"op10_containment": OP10}
+#: Every group against every kept term, as the contract words it.
+OP11 = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWER.format("coalesce(text, '')")} AS text FROM documents),
+     w AS (SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+     kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+     v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+     own AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+     grp AS (SELECT DISTINCT lang, source FROM d),
+     ng AS (SELECT lang, source, sum(n) AS total FROM own GROUP BY lang, source),
+     nl AS (SELECT lang, sum(n) AS total FROM own GROUP BY lang),
+     cell AS (SELECT lang, source, term, coalesce(n, 0) AS n,
+                     1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (coalesce(total, 0) + 5 * v)::HUGEINT AS p
+              FROM grp JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN own USING (lang, source, term) LEFT JOIN ng USING (lang, source)),
+     whole AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 5)) // (any_value(total) + 5 * any_value(v))::HUGEINT AS q
+               FROM own JOIN v USING (lang) JOIN nl USING (lang) GROUP BY lang, term),
+     pair AS (SELECT a.lang, a.source, b.source AS item, sum(abs(x.p - y.p)) AS value
+              FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN cell x ON x.lang = a.lang AND x.source = a.source LEFT JOIN cell y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+              WHERE x.term IS NULL OR y.term IS NOT NULL GROUP BY ALL),
+     term AS (SELECT lang, source, term AS item, p - q AS value FROM cell JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+     parts AS (SELECT lang, source, 'pair' AS part, item, coalesce(value, 0) AS value FROM pair UNION ALL SELECT lang, source, 'term', item, value FROM term)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 50
+"""
+
+#: The text as a list of units, cut by list slices.
+OP12 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                  sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+     g AS (SELECT *, len(u) AS n, list_transform(range(0, 4), lambda i: list_reduce(list_transform(range(1, 9), lambda k:
+                  strpos('0123456789abcdef', substr(h, i * 8 + k, 1)) - 1), lambda a, b: a * 16 + b)) AS r FROM d),
+     c AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS i, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS j,
+                  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r[3] % 100 >= 90 THEN 'plain'
+                       WHEN r[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g),
+     p AS (SELECT *, array_to_string(u[1:i], '') AS prefix, array_to_string(u[i + 1:j], '') AS middle, array_to_string(u[j + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+ORACLES = {"op10_containment": OP10, "op11_source_divergence": OP11, "op12_fill_in_middle": OP12}

@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchprofile.llm import (code_switch, decontaminate, html_text, mixing, near_dups, repetition, secrets, token_output, toxicity, url_filter)
+from patchprofile.llm import (bpe, code_switch, decontaminate, divergence, html_text, middle, mixing, near_dups, repetition, secrets, token_output, toxicity,
+                              url_filter)
 from patchprofile.llm.common import held_out
 from patchprofile.session import work_dir
 
@@ -38,10 +39,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +100,26 @@ def op10_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("doc_id", "item_id", "shared", "n_item")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    made = middle.restore(middle.fill_in_middle(table(spark, sf_dir, "documents")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("text", 256).alias("restored_sha256"))
+
+
+def op13_linked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    path = tokenizer_path("word_bpe_49k.json")
+    got = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return got.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_output, op2_repetition, op3_code_switch, op4_fair_mix, op5_redirect_filter, op6_layout_text,
-    op7_string_kernel, op8_odd_sketch, op9_secret_forest, op10_containment)}
+    op7_string_kernel, op8_odd_sketch, op9_secret_forest, op10_containment,
+    op11_source_divergence, op12_fill_in_middle, op13_linked_bpe)}
