@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -94,6 +94,30 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:
         yield x.as_py() or b""
 
 
+def ids_by_piece(pieces: pa.ListArray, learn: Callable[[list[str]], list[bytes]]) -> pa.ListArray:
+    """Ids of texts that are cut into pieces (a list of strings each): every different piece of the batch is looked up
+    once, and its ids are put in its places by Arrow. ``learn`` gives the ids of pieces as 32-bit integers."""
+    coded = pieces.flatten().dictionary_encode()
+    known = learn(coded.dictionary.to_pylist())
+    size = np.array([len(x) // 4 for x in known], np.int64)
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(np.frombuffer(b"".join(known), np.int32)))
+    places = coded.indices
+    # where a text's pieces end among the ids
+    ends = np.concatenate([[0], np.cumsum(size[places.to_numpy(zero_copy_only=False)])]) if len(places) else np.zeros(1, np.int64)
+    cut = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(pieces).to_numpy(zero_copy_only=False))])
+    return pa.ListArray.from_arrays(pa.array(ends[cut].astype(np.int32)), lists.take(places).flatten())
+
+
+def by_bytes(batch: pa.RecordBatch, name: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose column ``name`` holds at most ``most`` bytes, or one row."""
+    size = pa.compute.fill_null(pa.compute.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)
+    ends, lo = np.cumsum(size), 0
+    while lo < len(size):
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - size[lo] + most, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def running(df: DataFrame, order: list[str], values: list[str], name: str) -> DataFrame:
     """``df`` globally sorted by ``order`` with, per value column v, ``v_before``: the sum of v
     over all rows sorted earlier (rows equal in every order column stand in any order).
