@@ -14,33 +14,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchprofile.llm.common import shuffle_partitions, with_offsets
+from patchprofile.llm.common import by_bytes, ids_by_piece, shuffle_partitions, with_offsets
 
 END_ID = 2
 META = ["doc_id", "n_tokens", "start"]
 
-#: Two white-space characters in a row, or one at an end: pieces can't be cut at spaces there.
-_ODD = re.compile(r"\s\s|^\s|\s$")
-#: White space besides the space and the line feed.
-_OTHER = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
-#: A run of letters, perhaps before punctuation marks.
-_LETTERS = re.compile(r"([^\W\d_]+)([.,;:!?]{0,4})")
+#: White space, as the pre-tokenizer sees it.
+_WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+#: Two white-space characters in a row, one at an end, or the mark that cuts are made at: such a text is not cut.
+_CUT = "\x01"
+_ODD = f"[{_WHITE}][{_WHITE}]|^[{_WHITE}]|[{_WHITE}]$|{_CUT}"
 
 
 class Encoder:
     """Ids of whole texts, piece by piece.
 
-    A byte-level tokenizer never joins across a single space or line feed that stands
-    between two other characters, nor between a letter and the punctuation mark behind it,
-    so such pieces are encoded once and kept (within ``limit`` pieces); a run of letters is
-    one unit of its pre-tokenizer and goes to the library's model directly. Texts with other
-    white space go to the tokenizer whole. Equal to encoding the whole text (tested).
+    A byte-level tokenizer never joins across a single space or line feed that stands between two other characters, so texts are
+    cut before these, every different piece of a batch is encoded once, and pieces are kept within twice ``limit``. Nor does it join
+    a letter and the punctuation mark behind it. Texts with white space beside white space or at an end go to the tokenizer whole.
+    Equal to encoding the whole text (tested).
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 250_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -49,63 +48,78 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
         self.limit = limit
+        # two generations: what is met again moves to the young one
         self.kept: dict[str, bytes] = {}
-        self.starts: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
-        self.feed = self.whole("\n")
         # the byte-level alphabet, as the library's own pre-tokenizer spells each byte
         cut = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.spell = {i: cut.pre_tokenize_str(chr(i))[0][0] for i in range(128)}
         self.spell |= {x: cut.pre_tokenize_str(c)[0][0][k] for c in _two_byte() for k, x in enumerate(c.encode())}
+        self.lead = {" ": (self.spell[32], b""), "\n": ("", self.whole("\n"))}
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def letters(self, run: str) -> bytes:
-        spelt = run.encode().decode("latin-1").translate(self.spell)
-        return array("I", [x.id for x in self.model.tokenize(spelt)]).tobytes()
-
-    def learn(self, pieces: set[str], kept: dict[str, bytes], lead: str) -> None:
-        """Encode the pieces not kept yet, each with ``lead`` (a space, or nothing at a line's start) before it."""
-        if len(kept) > self.limit:
-            kept.clear()
-        for p in pieces.difference(kept):
-            m = _LETTERS.fullmatch(p)
-            if not m or max(p) > "\u07ff":  # the spelling covers the lead bytes of two-byte characters
-                kept[p] = self.whole(lead + p)
-                continue
-            head, tail = m.groups()
-            if head not in kept:
-                kept[head] = self.letters(lead + head)
-            if tail:
-                if tail not in self.marks:
-                    self.marks[tail] = self.whole(tail)
-                kept[p] = kept[head] + self.marks[tail]
-
-    def many(self, texts: list[str]) -> list[bytes]:
-        plans: list = []
-        first: set[str] = set()
-        rest: set[str] = set()
-        for t in texts:
-            if not t or odd(t):
-                plans.append(None)
-                continue
-            lines = [line.split(" ") for line in t.split("\n")]
-            plans.append(lines)
-            for line in lines:
-                first.add(line[0])
-                rest.update(line)
-        self.learn(first, self.starts, "")
-        self.learn(rest, self.kept, " ")
-        begin, get = self.starts, self.kept.__getitem__
-        return [self.whole(t) if p is None else self.feed.join([begin[line[0]] + b"".join(map(get, line[1:])) for line in p]) for t, p in zip(texts, plans)]
-
-
-def odd(text: str) -> bool:
-    """Whether white space stands beside white space, or at an end."""
-    if any(map(text.__contains__, _OTHER)):
-        return bool(_ODD.search(text))
-    return "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n"
+    def piece(self, p: str) -> bytes:
+        """Ids of a piece that begins with its space or line feed, or with neither at a text's start. A run of letters is one unit of the
+        pre-tokenizer and goes to the library's model directly, the marks behind it by themselves."""
+        m = _LETTERS.fullmatch(p)
+        if m is None or max(p) > "\u07ff":  # the spelling covers the lead bytes of two-byte characters
+            return self.whole(p)
+        lead, run, tail = m.groups()
+        before, first = self.lead[lead] if lead else ("", b"")
+        spelt = run if run.isascii() else run.encode().decode("latin-1").translate(self.spell)
+        ids = first + array("I", [x.id for x in self.model.tokenize(before + spelt)]).tobytes()
+        if not tail:
+            return ids
+        if tail not in self.marks:
+            self.marks[tail] = self.whole(tail)
+        return ids + self.marks[tail]
+
+    def look_up(self, pieces: list[str]) -> list[bytes]:
+        if len(self.kept) > self.limit:
+            self.kept, self.old = {}, self.kept
+        young, old, long = self.kept, self.old, {}
+        for p in pieces:
+            if p not in young:
+                if p in old:
+                    young[p] = old[p]
+                else:
+                    (young if len(p) <= _KEPT else long)[p] = self.piece(p)
+        return [long[p] if p in long else young[p] for p in pieces] if long else [young[p] for p in pieces]
+
+    def many(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of each text (none is null)."""
+        pc = pa.compute
+        cut = pc.replace_substring(pc.replace_substring(texts, " ", f"{_CUT} "), "\n", f"{_CUT}\n")
+        odd = pc.match_substring_regex(texts, _ODD)
+        # what is not cut must not be split either
+        safe = pc.if_else(odd, "", cut)
+        lists = ids_by_piece(pc.split_pattern(safe, _CUT), self.look_up)
+        if not pc.any(odd).as_py():
+            return lists
+        whole = [self.whole(t) for t in texts.filter(odd).to_pylist()]
+        plain = np.frombuffer(b"".join(whole), np.int32)
+        every = np.concatenate([lists.flatten().to_numpy(), plain])
+        # rows of odd texts take their ids from the end
+        n = pc.list_value_length(lists).to_numpy().copy()
+        start = np.concatenate([[0], np.cumsum(n)])[:-1]
+        at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        size = np.array([len(w) // 4 for w in whole], np.int64)
+        start[at] = len(every) - len(plain) + np.cumsum(size) - size
+        n[at] = size
+        ends = np.concatenate([[0], np.cumsum(n)])
+        take = np.repeat(start - ends[:-1], n) + np.arange(ends[-1])
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(every[take]))
+
+
+#: A piece of letters, perhaps before punctuation marks.
+_LETTERS = re.compile(r"([ \n]?)([^\W\d_]+)([.,;:!?]{0,4})")
+#: Characters of the longest piece that is kept.
+_KEPT = 64
+#: Bytes of text encoded at once.
+_BATCH = 4 << 20
 
 
 def _two_byte() -> list[str]:
@@ -143,20 +157,21 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, *, end_id: int = END
     names = ["doc_id", "tokens", "n_tokens", "n_tokens_before", "part", *keep]
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = ", ".join(f"`{c}` {dict(tokens='array<int>', n_tokens='bigint', n_tokens_before='bigint').get(c) or kinds[c]}" for c in names)
-    end = np.array([end_id], np.uint32).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, total = encoder(tokenizer), 0
         for big in batches:
-            for at in range(0, big.num_rows, 256):
-                b = big.slice(at, 256)
-                got = [x + end for x in enc.many(b.column("text").to_pylist())]
-                n = np.array([len(x) // 4 for x in got], np.int64)
-                ends = np.cumsum(n) + total
-                flat = pa.array(np.frombuffer(b"".join(got), np.int32))
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), flat)
-                total = int(ends[-1])
-                made = {"tokens": lists, "n_tokens": pa.array(n), "n_tokens_before": pa.array(ends - n)}
+            for b in by_bytes(big, "text", _BATCH):
+                got = enc.many(b.column("text").cast(pa.string()))
+                n = pa.compute.list_value_length(got).to_numpy().astype(np.int64) + 1
+                ends = np.cumsum(n)
+                flat = np.full(ends[-1] if len(n) else 0, end_id, np.int32)
+                own = np.ones(len(flat), bool)
+                own[ends - 1] = False
+                flat[own] = got.flatten().to_numpy()
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat))
+                made = {"tokens": lists, "n_tokens": pa.array(n), "n_tokens_before": pa.array(ends - n + total)}
+                total += int(ends[-1]) if len(n) else 0
                 yield pa.RecordBatch.from_arrays([made[c] if c in made else b.column(c) for c in names], names=names)
 
     w = (rows.mapInArrow(run, schema).write.mode("error")
