@@ -39,7 +39,7 @@ class Encoder:
     Equal to encoding the whole text (tested).
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 400_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -65,11 +65,11 @@ class Encoder:
         """Ids of a piece that begins with its space or line feed, or with neither at a text's start. A run of letters is one unit of the
         pre-tokenizer and goes to the library's model directly, the marks behind it by themselves."""
         m = _LETTERS.fullmatch(p)
-        if m is None or max(p) > "\u07ff":  # the spelling covers the lead bytes of two-byte characters
+        if m is None or not (p.isascii() or max(p) <= "\u07ff"):  # the spelling covers the lead bytes of two-byte characters
             return self.whole(p)
         lead, run, tail = m.groups()
         before, first = self.lead[lead] if lead else ("", b"")
-        spelt = run if run.isascii() else run.encode().decode("latin-1").translate(self.spell)
+        spelt = run if p.isascii() else run.encode().decode("latin-1").translate(self.spell)
         ids = first + array("I", [x.id for x in self.model.tokenize(before + spelt)]).tobytes()
         if not tail:
             return ids
@@ -176,7 +176,7 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, *, end_id: int = END
 
     w = (rows.mapInArrow(run, schema).write.mode("error")
          .option("parquet.writer.version", "PARQUET_2_0").option("parquet.block.size", row_group_mb << 20)
-         .option("parquet.page.row.count.limit", page_rows).option("parquet.dictionary.page.size", 1 << 20).option("compression", "zstd"))
+         .option("parquet.page.row.count.limit", page_rows).option("parquet.dictionary.page.size", 1 << 20).option("compression", "zstd").option("parquet.compression.codec.zstd.level", 1))
     for c in ("doc_id", "n_tokens", "n_tokens_before", *(["tokens.list.element"] if encoding == "delta" else [])):
         w = w.option(f"parquet.enable.dictionary#{c}", "false")
     w.parquet(out)
