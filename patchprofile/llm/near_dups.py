@@ -150,6 +150,11 @@ def _bit_gap(x: str, y: str, c: Config):
     return sum((F.bit_count(word(x, i).bitwiseXOR(word(y, i))) for i in range(c.bits // 64)), F.lit(0))
 
 
+def _short(digest: str) -> Column:
+    """The first 64 bits of a digest as a number. Two that agree in it only add a pair to be confirmed, or share a group of blocks."""
+    return F.conv(F.hex(F.substring(digest, 1, 8)), 16, -10).cast("long")
+
+
 def near_dups(docs: DataFrame, c: Config = Config()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (``doc_id, text``).
 
@@ -171,26 +176,28 @@ def _named(docs: DataFrame, c: Config, by_row: bool = False) -> tuple[DataFrame,
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     first = [best["row"].alias("rep"), best.alias("best")] if by_row else [F.min("doc_id").alias("rep")]
     nodes = materialize(sig.where("node IS NOT NULL").groupBy("node")
-                        .agg(*first, F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "near-nodes")
-
-    # 3. one pivot per bucket; buckets with one node go before the join
-    keys = nodes.select("node", "sketch", F.explode("bands").alias("key"))
-    pivots = (nodes.select("node", F.explode("bands").alias("key")).groupBy("key")
-              .agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a"))
-    met = (keys.join(pivots, "key").where("node <> a").select("a", F.col("node").alias("b"), F.col("sketch").alias("kb")).distinct()
-           .join(nodes.select(F.col("node").alias("a"), F.col("sketch").alias("ka")), "a"))
-    pairs = materialize(met.where(_bit_gap("ka", "kb", c) <= most_bits(c)).select("a", "b"), "near-pairs")
+                        .agg(*first, F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+                        .withColumn("nid", _short("node")), "near-nodes")
+
+    # 3. one pivot per bucket; only bucket numbers and short node numbers are dealt out, and of buckets with one node nothing is kept
+    keys = nodes.select("nid", F.explode("bands").alias("key"))
+    pivots = keys.groupBy("key").agg(F.min("nid").alias("a"), F.max("nid").alias("z")).where("a <> z").select("key", "a")
+    members = materialize(keys.join(pivots, "key").select("key", "a", "nid"), "near-members")
+    met = members.where("nid <> a").select("a", F.col("nid").alias("b")).distinct()
+    side = lambda x: nodes.select(F.col("nid").alias(x), F.col("node").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"))
+    near = met.join(side("b"), "b").join(side("a"), "a").where(_bit_gap("ka", "kb", c) <= most_bits(c))
+    pairs = materialize(near.select(F.col("na").alias("a"), F.col("nb").alias("b")), "near-pairs")
     cand = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sets = materialize(full_sets(docs, cand.join(nodes.select("node", "rep"), "node"), c), "near-sets")
     links = materialize(_confirmed(pairs, sets, c), "near-links")
     label = components(links, "near-cc")
 
     # 4. buckets that still hold several components
-    tagged = materialize(nodes.select("node", "rep", "n", "sketch", "bands").join(label, "node", "left")
-                         .withColumn("component", F.coalesce("component", "node")), "near-tagged")
-    keyed = tagged.select("node", "component", F.explode("bands").alias("key"))
-    live = keyed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("z")).where("a <> z").select("key", "a")
-    shared = materialize(keyed.join(live, "key").select("node", "component", "a").distinct(), "near-shared")
+    tagged = materialize(nodes.select("node", "nid", "rep", "n", "sketch").join(label, "node", "left")
+                         .withColumn("component", F.coalesce("component", "node")).withColumn("cid", _short("component")), "near-tagged")
+    keyed = materialize(members.select("key", "nid").join(tagged.select("nid", "node", "component", "cid"), "nid").drop("nid"), "near-keyed")
+    live = keyed.groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where("a <> z").select("key", "a")
+    shared = materialize(keyed.join(live, "key").select("node", "component", "cid", "a").distinct(), "near-shared")
     more = _rest(docs, tagged, shared, c)
     if more is not None:
         # links between components: contract them, then rename
@@ -206,12 +213,12 @@ def _named(docs: DataFrame, c: Config, by_row: bool = False) -> tuple[DataFrame,
 
 
 def _rest(docs: DataFrame, tagged: DataFrame, shared: DataFrame, c: Config) -> DataFrame | None:
-    """Links between components that share a bucket (``shared``: node, its component, the bucket's least component)."""
+    """Links between components that share a bucket (``shared``: node, its component, that component's number, and the bucket's least number)."""
     if shared.isEmpty():
         return None
-    group = components(shared.select(F.col("component").alias("a"), F.col("a").alias("b")).distinct(), "near-groups")
-    members = (shared.select("node", "component").distinct()
-               .join(group.select(F.col("node").alias("component"), F.col("component").alias("grp")), "component")
+    group = components(shared.select(F.col("cid").alias("a"), F.col("a").alias("b")).distinct(), "near-groups")
+    members = (shared.select("node", "component", "cid").distinct()
+               .join(group.select(F.col("node").alias("cid"), F.col("component").alias("grp")), "cid").drop("cid")
                .join(tagged.select("node", "rep", "n", "sketch"), "node")
                .withColumn("weight", F.greatest("n", F.lit(c.block // 500).cast("long"))))
     # blocks of bounded size in the order (group, component): large components fill whole blocks
