@@ -25,7 +25,8 @@ from patchprofile.llm.common import held_out
 
 LONGEST = 16
 _SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n+")
-_WORD = re.compile(r"[^\s,;:()\"]+")
+#: Marks that part words beside white space.
+_PARTS = ",;:()\"/|"
 _SPACED = re.compile(r"(?<!\S)(?:\S ){3,}\S(?!\S)")
 #: Digits and marks that stand for letters inside words.
 _LETTERS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"})
@@ -35,17 +36,19 @@ _PLAIN = re.compile(r"[^a-z]+")
 @dataclass(frozen=True)
 class Config:
     """``toxic_rows`` / ``clean_rows``: the bounds of the labelled sample the model is fitted on (documents of each
-    label, in hash order); ``clean_words`` bounds their rare words. ``landmarks``: Nyström landmark words, most of them spread over
-    the ``telling`` words that set toxic documents apart. ``least_odds``: log odds from which a word may
-    be what makes a sentence toxic; a toxic document without such a word teaches nothing."""
+    label, in hash order), of at most ``text_bytes`` each; ``clean_words`` bounds their rare words. ``landmarks``: Nyström landmark words, most of them spread over
+    the ``telling`` words that set toxic documents apart. ``least_odds``: log odds from which a word that
+    ``least_texts`` toxic texts hold may be what makes a sentence toxic; a toxic document without such a word teaches nothing."""
 
     toxic_rows: int = 800
     clean_rows: int = 1600
+    text_bytes: int = 32_000
     landmarks: int = 64
     telling: int = 400
     clean_words: int = 8_000
     decay: float = 0.7
     least_odds: float = 2.0
+    least_texts: int = 4
 
 
 def normal(word: str) -> str:
@@ -64,15 +67,18 @@ def pieces(word: str) -> list[str]:
     return [word] if len(word) <= LONGEST else [word[i : i + LONGEST] for i in range(0, len(word) - LONGEST // 2, LONGEST // 2)]
 
 
+def words_of(text: str) -> list[str]:
+    """Words between white space and parting marks; letters set apart by single spaces count as one word as well."""
+    low = text.lower()
+    for c in _PARTS:
+        if c in low:
+            low = low.replace(c, " ")
+    return low.split() + [m[0].replace(" ", "") for m in _SPACED.finditer(low)]
+
+
 def sentences(text: str) -> list[list[str]]:
-    """Words of each sentence; letters set apart by single spaces count as one word as well."""
-    out = []
-    for s in _SENTENCE.split(text):
-        words = _WORD.findall(s)
-        words += [m[0].replace(" ", "") for m in _SPACED.finditer(s)]
-        if words:
-            out.append(words)
-    return out
+    """The words of each sentence."""
+    return [w for s in _SENTENCE.split(text) if (w := words_of(s))]
 
 
 #: Letters a-z, and five classes of other letters.
@@ -117,8 +123,9 @@ class Landmarks:
                 by.setdefault(len(w), []).append(i)
         for n, all_at in by.items():
             at, weight = _triples(n, self.decay)
-            # triples at a time, fewer with many landmarks: each that is met takes a row of the table
-            step = max(1, 400_000 * 64 // max(64, len(self.marks)) // len(weight))
+            weight = weight.astype(np.float32)
+            # triples at a time, fewer with many landmarks: each that is met takes a row of the table (some 15 MB in all)
+            step = max(1, 60_000 * 64 // max(64, len(self.marks)) // len(weight))
             for k in range(0, len(all_at), step):
                 part = all_at[k : k + step]
                 ids = self._ids([words[i] for i in part], at)
@@ -140,7 +147,7 @@ class Landmarks:
 
 @dataclass
 class Model:
-    """Scores words, kept while a worker lives within a bounded size."""
+    """Scores words; those met are kept, within twice ``limit``, in two generations: what is met again moves to the young one."""
 
     marks: Landmarks | None
     weights: np.ndarray
@@ -148,34 +155,39 @@ class Model:
     slope: float = 1.0
     offset: float = 0.0
     known: dict[str, float] = field(default_factory=dict)
-    forms: dict[str, float] = field(default_factory=dict)
-    limit: int = 500_000
+    old: dict[str, float] = field(default_factory=dict)
+    limit: int = 150_000
 
     def learn(self, words: set[str]) -> None:
         if len(self.known) > self.limit:
-            self.known.clear()
-            self.forms.clear()
-        new = list(words.difference(self.known))
-        if not new:
-            return
-        forms = [normal(w) for w in new]
-        spelt = {f: pieces(f) for f in set(forms).difference(self.forms)}
-        flat = sorted({p for s in spelt.values() for p in s if len(p) >= 3})
-        margin = dict(zip(flat, (self.marks.kernel(flat) @ self.weights + self.bias).tolist()))
-        for f, s in spelt.items():
-            self.forms[f] = max((margin.get(p, self.bias) for p in s), default=self.bias)
-        for w, f in zip(new, forms):
-            self.known[w] = self.forms[f]
+            self.known, self.old = {}, self.known
+        new = []
+        for w in words:
+            if w not in self.known:
+                if w in self.old:
+                    self.known[w] = self.old[w]
+                else:
+                    new.append(w)
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
+            spelt = [pieces(normal(w)) for w in some]
+            flat = sorted({p for s in spelt for p in s if len(p) >= 3})
+            margin = dict(zip(flat, (self.marks.kernel(flat) @ self.weights + self.bias).tolist()))
+            for w, s in zip(some, spelt):
+                self.known[w] = max((margin.get(p, self.bias) for p in s), default=self.bias)
 
     def margins(self, texts: list[str]) -> list[float]:
         """A sentence's margin is its worst word's and a text's its worst sentence's: the worst word's of the text."""
-        split = []
-        for t in texts:
-            words = t.lower().split()
-            split.append(words + [m[0].replace(" ", "") for m in _SPACED.finditer(t)])
-        self.learn({w for s in split for w in s})
-        get = self.known.__getitem__
-        return [max(map(get, s), default=self.bias) for s in split]
+        out = []
+        for at in range(0, len(texts), 256):
+            split = [words_of(t) for t in texts[at : at + 256]]
+            self.learn({w for s in split for w in s})
+            get = self.known.__getitem__
+            out += [max(map(get, s), default=self.bias) for s in split]
+        return out
+
+    def forget(self) -> None:
+        self.known, self.old = {}, {}
 
     def scores(self, texts: list[str]) -> list[float]:
         if self.marks is None:
@@ -219,8 +231,7 @@ def fit_texts(toxic: list[str], clean: list[str], c: Config = Config()) -> Model
     in_good = Counter(p for d in good for p in set(d) if len(p) >= 3)
     nb, ng = len(bad), len(good)
     odds = {p: np.log((n + 0.5) / (nb + 1)) - np.log((in_good[p] + 0.5) / (ng + 1)) for p, n in in_bad.items()}
-    least = max(4, nb // 100)
-    tell = [p for p in odds if in_bad[p] >= least and odds[p] >= c.least_odds]
+    tell = [p for p in odds if in_bad[p] >= c.least_texts and odds[p] >= c.least_odds]
     tell = sorted(tell, key=lambda p: (-in_bad[p] * odds[p], p))[: c.telling]
     if not tell:
         return Model(None, np.zeros(0), 0.0)
@@ -249,7 +260,7 @@ def fit_texts(toxic: list[str], clean: list[str], c: Config = Config()) -> Model
     # the variants stand for toxic texts too, with little weight: clean texts come first
     m = np.array(model.margins(toxic + clean + [v for v, _ in spelt]))
     model.slope, model.offset = _logistic(m, np.r_[np.ones(nb), np.zeros(ng), np.ones(len(spelt))], np.r_[np.ones(nb + ng), np.full(len(spelt), nb / 50 / max(1, len(spelt)))])
-    model.known, model.forms = {}, {}
+    model.forget()
     return model
 
 
@@ -275,25 +286,29 @@ def _worst(doc: list[list[str]], odds: dict[str, float], tell: set[str]) -> list
 
 
 def sample(docs: DataFrame, labels: DataFrame, c: Config) -> tuple[list[str], list[str]]:
-    """Texts of at most ``toxic_rows`` + ``clean_rows`` labelled documents outside the held-out fold."""
-    rows = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
-    h = F.xxhash64(F.lit(7), "doc_id")
+    """Texts of at most ``toxic_rows`` + ``clean_rows`` labelled documents outside the held-out fold: one text an id, none over ``text_bytes``.
+
+    An id that is labelled both ways counts as toxic; of rows that share an id the least text stands.
+    """
+    rows = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
+            .groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("toxic")))
+    h = F.xxhash64(F.lit(7), "_id")
     ids = None
     for label, most in ((1, c.toxic_rows), (0, c.clean_rows)):
-        some = rows.where(F.col("toxic") == label).select("doc_id", "toxic").orderBy(h, "doc_id").limit(most)
+        some = rows.where(F.col("toxic") == label).orderBy(h, "_id").limit(most)
         ids = some if ids is None else ids.unionByName(some)
-    ids = ids.withColumnRenamed("doc_id", "_id")
-    # at most toxic_rows + clean_rows ids: the stated bound of the broadcast and of the collect
-    got = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic").collect()
-    got.sort(key=lambda r: (r.doc_id, r.text or ""))
-    return [r.text or "" for r in got if r.toxic == 1], [r.text or "" for r in got if r.toxic == 0]
+    # at most toxic_rows + clean_rows ids: the stated bound of the broadcast; of the collect, that many times text_bytes
+    short = docs.select(F.col("doc_id").alias("_doc"), F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= c.text_bytes)
+    found = short.join(F.broadcast(ids), F.col("_doc") == F.col("_id"))
+    got = sorted((r.toxic, r._id, r.text) for r in found.groupBy("_id", "toxic").agg(F.min("text").alias("text")).collect())
+    return [t for y, _, t in got if y == 1], [t for y, _, t in got if y == 0]
 
 
 _MODELS: dict[int, Model] = {}
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` columns prefixed ``d_`` are not kept: returns ``doc_id, held_out, score, predicted``, one row a row.
+    """``doc_id, held_out, score, predicted``: one row a row.
 
     The whole text counts. Null or empty text gets the score of a text without any word. Repeated rows and
     other columns don't matter. Map-only.
