@@ -384,7 +384,7 @@ def io_oracles() -> dict[str, str]:
     o["incremental_unify_merge"] = replay_arrivals_sql(feed)
     o["stream_unify_merge"] = replay_arrivals_sql(feed)
     o["resume_from_checkpoint"] = replay_arrivals_sql(feed)
-    for same in ("restart_batch_loop", "crash_before_commit", "stream_split_load"):
+    for same in ("restart_batch_loop", "crash_before_commit", "stream_split_load", "poll_older_load", "stream_load_gap"):
         o[same] = replay_arrivals_sql(feed)
     loads = f"""WITH feed AS ({feed}), t AS (SELECT *, {_arrival_case()} AS a FROM feed),
 k AS (SELECT DISTINCT a, uid, utype FROM t),
@@ -401,6 +401,17 @@ SELECT step, count(*) AS runs, min(d) AS min_ns, max(d) AS max_ns, CAST(sum(d) A
                                f"WHERE mark_at_arrival IS NULL OR epoch_ts > mark_at_arrival")
     o["late_rows_report"] = (f"WITH {_late_ctes(feed)} SELECT epoch, epoch_ts, arrival_no, mark_at_arrival "
                              f"FROM t JOIN prev USING (arrival_no) WHERE epoch_ts <= mark_at_arrival")
+    o["overlap_append"] = (f"WITH {_late_ctes(feed)} SELECT {_FEED_COLS} FROM t JOIN prev USING (arrival_no) "
+                           f"WHERE mark_at_arrival IS NULL OR epoch_ts > mark_at_arrival - INTERVAL 30 MINUTE")
+    for whole in ("stream_archive", "stream_overlap_append"):
+        o[whole] = f"WITH feed AS ({feed}) SELECT {_FEED_COLS} FROM feed"
+    clear = lambda c, mark: f"CASE WHEN {c} = {mark} THEN NULL ELSE {c} END AS {c}"
+    o["merge_event_time"] = (f"WITH feed AS ({orders_feed_sql()}), u AS ({unify_sql('feed', FEED_POLICY)}) "
+                             f"SELECT {_KEYS}, cid, {clear('att1', repr(MARK))}, {clear('att2', MARK)}, {clear('att3', MARK)}, ad FROM u")
+    o["stream_metrics"] = f"""WITH feed AS ({feed}), t AS (SELECT *, {_arrival_case()} - 1 AS a FROM feed),
+f AS (SELECT uid, utype, min(a) AS first FROM t GROUP BY uid, utype), k AS (SELECT DISTINCT a, uid, utype FROM t),
+c AS (SELECT a, count(*) FILTER (WHERE a = first) AS inserted, count(*) FILTER (WHERE a > first) AS updated FROM k JOIN f USING (uid, utype) GROUP BY a)
+SELECT CAST(a AS BIGINT) AS batch_id, count(*) AS input_rows, any_value(inserted) AS inserted, any_value(updated) AS updated FROM t JOIN c USING (a) GROUP BY a"""
     o["slice_append"] = f"WITH feed AS ({feed}) SELECT {_FEED_COLS} FROM feed"
     o["stream_append"] = f"WITH feed AS ({feed}) SELECT {_FEED_COLS} FROM feed"
     o["align_insert"] = (f"WITH feed AS ({feed}) SELECT uid, utype, CAST(NULL AS BIGINT) AS epoch, createddate, "
@@ -420,6 +431,16 @@ SELECT step, count(*) AS runs, min(d) AS min_ns, max(d) AS max_ns, CAST(sum(d) A
     o["ingest_bad_object"] = (f"SELECT object_no, count(*) FILTER (WHERE reason IS NULL) AS rows_loaded, count(*) FILTER (WHERE reason IS NOT NULL) AS rows_rejected, "
                               f"'loaded' AS state FROM ({dirty}) GROUP BY object_no "
                               f"UNION ALL SELECT 900000001, 0, 0, 'unreadable' UNION ALL SELECT 900000002, 0, 0, 'empty'")
+    per_object = (f"SELECT object_no, count(*) FILTER (WHERE reason IS NULL) AS rows_loaded, count(*) FILTER (WHERE reason IS NOT NULL) AS rows_rejected, 'loaded' AS state, "
+                  f"count(*) FILTER (WHERE reason IS NULL) AS rows_read FROM ({dirty}) GROUP BY object_no")
+    o["ingest_truncated_object"] = (f"WITH p AS ({per_object}) SELECT * FROM p UNION ALL SELECT 900000004, rows_loaded, rows_rejected, state, rows_read FROM p WHERE object_no = 0 "
+                                    f"UNION ALL SELECT 900000003, 0, 0, 'unreadable', 0")
+    # a line counts from its object's second 7n on; seconds in which an object is being read, without counting any twice
+    o["copy_metrics"] = f"""WITH d AS ({dirty}), s AS (SELECT object_no, min(object_no * 7 + uid % (object_no % 12 + 1)) AS lo, max(object_no * 7 + uid % (object_no % 12 + 1)) AS hi,
+  count(*) FILTER (WHERE reason IS NULL) AS n FROM d GROUP BY object_no),
+sec AS (SELECT DISTINCT unnest(range(lo, hi)) AS x FROM s)
+SELECT 'copy' AS step, count(*) AS runs, CAST(min(hi - lo) * 1000000000 AS BIGINT) AS min_ns, CAST(max(hi - lo) * 1000000000 AS BIGINT) AS max_ns,
+       CAST((SELECT count(*) FROM sec) * 1000000000 AS BIGINT) AS total_ns, CAST(sum(hi - lo) * 1000000000 // count(*) AS BIGINT) AS avg_ns, CAST(sum(n) AS BIGINT) AS rows FROM s"""
     o["ingest_control_chars"] = (f"SELECT uid, utype, createddate, cid, CASE WHEN epoch % 3 = 1 THEN chr(1) || att1 || '\\,' || chr(2) || '\\' ELSE att1 END AS att1, "
                                  f"att2, att3, ad FROM ({feed})")
     o["wide_ingest"] = f"SELECT * EXCLUDE (epoch) FROM ({wide_load_sql()})"

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -45,6 +45,37 @@ def slice_range(df: DataFrame, col: str, lo: Any, hi: Any) -> DataFrame:
     return df.filter(in_slice(col, lo, hi))
 
 
+def look_back(df: DataFrame, col: str, prev: Any, hi: Any, overlap: Any, taken: DataFrame | None, key: list[str]) -> DataFrame:
+    """The rows of ``(prev - overlap, hi]`` that were not taken before.
+
+    A row that arrives behind the mark ``prev`` by less than ``overlap`` is still picked up. ``taken`` holds what earlier
+    slices took; it is read from ``prev - overlap`` on only, and its rows are known by ``key`` (unique, nulls
+    equal). With ``prev`` None (the first slice) or ``taken`` None nothing is left out.
+    """
+    lo = None if prev is None else prev - overlap
+    window = slice_range(df, col, lo, hi)
+    if prev is None or taken is None:
+        return window
+    seen = taken.filter(F.col(col) > F.lit(lo)).select(*(F.col(k).alias(f"_seen_{k}") for k in key))
+    same = [F.col(k).eqNullSafe(F.col(f"_seen_{k}")) for k in key]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    return window.join(seen, on, "left_anti")
+
+
+def footer_mark(spark: SparkSession, path: str, col: str) -> Any:
+    """``MAX(col)`` of a Parquet table from the statistics in its footers; no data page is read.
+
+    The aggregate is pushed into the scan in a session of its own, so the caller's settings stay as they are. Types whose
+    statistics do not say the maximum (timestamps, text) are read by Spark as usual. None for an empty table.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return high_water(own.read.parquet(path), col)
+
+
 def split_bounds(lo: Any, hi: Any, n: int) -> list[Any]:
     """``n`` consecutive slices covering ``(lo, hi]`` with integer arithmetic.
 

@@ -168,8 +168,8 @@ class ProfileStore:
         return self.spark.read.parquet(h["path"])
 
     def publish(self, df: DataFrame, batch_id: int, rows: int | None = None, mark: Any = None, empty: bool = False,
-                load: int | None = None) -> int:
-        """Write ``df`` as the next version and commit it with the feed's ``mark`` and newest ``load``; returns the version.
+                trigger: int | None = None) -> int:
+        """Write ``df`` as the next version and commit it with the feed's ``mark`` and the stream's ``trigger``; returns the version.
 
         What an earlier try left under the version's path was never committed and
         belongs to nobody: it is overwritten.
@@ -201,7 +201,7 @@ class ProfileStore:
         record = dict(zip(_LOG_SCHEMA.fieldNames(), (version, int(batch_id), path, rows, time.time())))
         record["schema"] = df.schema.json()
         record["mark"] = encode_mark(mark)
-        record["load"] = load
+        record["trigger"] = trigger
         if buckets is not None:
             record["buckets"] = buckets
         if not create_text(self.spark, self._record(version, int(batch_id)), json.dumps(record)):

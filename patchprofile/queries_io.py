@@ -8,6 +8,8 @@ Every query writes under a fresh folder of the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,19 +17,21 @@ from pyspark.sql import types as T
 from patchprofile.operators.align import align_to
 from patchprofile.operators.slices import high_water, late_rows, slice_number, slice_range, split_bounds
 from patchprofile.operators.unify import unify
-from patchprofile.plans.metrics import summarize
+from patchprofile.plans.metrics import StepLog, read_log, summarize
 from patchprofile.plans.pipeline import AppendJob, UnifyMergeJob
 from patchprofile.plans.store import ProfileStore
 from patchprofile.queries import register
 from patchprofile.session import work_dir
 from patchprofile.sources import delimited as D
-from patchprofile.sources.fixtures import FEED_COLUMNS, FEED_POLICY, profile_feed, wide_load_feed
-from patchprofile.sources.fs import create_text
+from patchprofile.sources.fixtures import FEED_COLUMNS, FEED_POLICY, orders_feed, profile_feed, wide_load_feed
+from patchprofile.sources.fs import create_text, put_bytes
+from patchprofile.streaming.metrics import ProgressLog, observed
 from patchprofile.streaming.unify_merge import feed_stream, start_append_stream, start_unify_merge_stream, write_marker
 
 ARRIVALS = 4           # loads the feed arrives in
 ROWS_PER_FILE = 1_000_000  # a load's files hold at most this many rows
 FILES_PER_TRIGGER = 64     # files a stream takes per trigger; loads may be cut anywhere
+BYTES_PER_TRIGGER = 256 << 20  # or this much
 ROWS_PER_OBJECT = 1000 # delimited objects hold this many epochs each
 
 
@@ -51,12 +55,12 @@ def _raw_schema(feed: DataFrame) -> T.StructType:
     return T.StructType(feed.schema.fields + [T.StructField("load", T.IntegerType())])
 
 
-def _unify_merge_job(spark: SparkSession, base: str, load_col: str | None = None) -> UnifyMergeJob:
+def _unify_merge_job(spark: SparkSession, base: str, **options) -> UnifyMergeJob:
     # Profile versions split into key-hash buckets; each merge reads and rewrites
     # only the buckets its batch touches.
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     store = ProfileStore(spark, f"{base}/profile", buckets=buckets, keys=FEED_POLICY.keys, touched_only=True)
-    return UnifyMergeJob(spark, store, FEED_POLICY, staging=f"{base}/staging", col="epoch", load_col=load_col)
+    return UnifyMergeJob(spark, store, FEED_POLICY, staging=f"{base}/staging", col="epoch", **options)
 
 
 def _run_incremental(spark: SparkSession, sf_dir: str) -> UnifyMergeJob:
@@ -64,10 +68,10 @@ def _run_incremental(spark: SparkSession, sf_dir: str) -> UnifyMergeJob:
     feed = profile_feed(spark, sf_dir)
     bounds = arrival_bounds(feed)
     raw = f"{base}/raw"
-    job = _unify_merge_job(spark, base, "load")
+    job = _unify_merge_job(spark, base, log=StepLog(path=f"{base}/log", spark=spark))
     for i in range(ARRIVALS):
         write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
-        job.poll(spark.read.parquet(raw))
+        job.poll(raw)
     return job
 
 
@@ -84,10 +88,10 @@ def restart_batch_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = profile_feed(spark, sf_dir)
     bounds = arrival_bounds(feed)
     raw = f"{base}/raw"
-    job = _unify_merge_job(spark, base, "load")
+    job = _unify_merge_job(spark, base)
     for i in range(ARRIVALS):
         if i == ARRIVALS // 2:
-            job = _unify_merge_job(spark, base, "load")  # a new process: only the folders carry over
+            job = _unify_merge_job(spark, base)  # a new process: only the folders carry over
         write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
         job.poll(spark.read.parquet(raw))
     return job.store.read()
@@ -100,7 +104,7 @@ def crash_before_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = profile_feed(spark, sf_dir)
     bounds = arrival_bounds(feed)
     raw = f"{base}/raw"
-    job = _unify_merge_job(spark, base, "load")
+    job = _unify_merge_job(spark, base)
     for i in range(ARRIVALS):
         write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
         if i == 1:
@@ -108,17 +112,15 @@ def crash_before_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
             left = f"{job.store.root}/v{0 if h is None else h['version'] + 1:08d}-b{job.next_batch}"
             # what the dead process left: rows under the next version's path, no record
             feed.limit(10).withColumn("pbucket", F.lit(0)).write.partitionBy("pbucket").parquet(left)
-            job = _unify_merge_job(spark, base, "load")
+            job = _unify_merge_job(spark, base)
         job.poll(spark.read.parquet(raw))
     return job.store.read()
 
 
 def _metrics(spark: SparkSession, sf_dir: str) -> tuple[UnifyMergeJob, DataFrame]:
-    """The step log of the loop, written as a table."""
+    """The step log of the loop, as its steps wrote it."""
     job = _run_incremental(spark, sf_dir)
-    path = f"{work_dir(spark, 'metrics')}/log"
-    job.log.to_df(spark).write.partitionBy("batch_id").parquet(path)
-    return job, spark.read.parquet(path)
+    return job, read_log(spark, job.log.path)
 
 
 @register("run_metrics")
@@ -153,16 +155,63 @@ def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = profile_feed(spark, sf_dir)
     bounds = arrival_bounds(feed)
     raw = f"{base}/raw"
-    new = lambda: AppendJob(spark, staging=f"{base}/staging", columns=FEED_COLUMNS, col="epoch_ts", load_col="load")
+    new = lambda: AppendJob(spark, staging=f"{base}/staging", columns=FEED_COLUMNS, col="epoch_ts")
+    job = new()
+    for i in range(ARRIVALS):
+        if i == ARRIVALS // 2:
+            job = new()
+        write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
+        job.poll(spark.read.parquet(raw))
+    return job.read()
+
+
+OVERLAP = dt.timedelta(minutes=30)  # how far the look-back loop looks behind its mark
+
+
+@register("overlap_append")
+def overlap_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-40: the append loop with a look-back of 30 minutes, restarted after two loads and polled twice a load: late rows are taken, none twice."""
+    base = work_dir(spark, "overlap")
+    feed = profile_feed(spark, sf_dir)
+    bounds = arrival_bounds(feed)
+    raw = f"{base}/raw"
+    new = lambda: AppendJob(spark, staging=f"{base}/staging", columns=FEED_COLUMNS, col="epoch_ts", overlap=OVERLAP, row_key=["epoch"])
     job = new()
     for i in range(ARRIVALS):
         if i == ARRIVALS // 2:
             job = new()
         write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
         job.poll(spark.read.parquet(raw))
+        job.poll(spark.read.parquet(raw))
     return job.read()
 
 
+@register("poll_older_load")
+def poll_older_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-37/O-38: rows above the mark that are added to the first load's folder after three later loads are merged all the same."""
+    base = work_dir(spark, "older-load")
+    feed = profile_feed(spark, sf_dir)
+    bounds = arrival_bounds(feed)
+    raw = f"{base}/raw"
+    job = _unify_merge_job(spark, base)
+    for i in range(ARRIVALS):
+        write_arrival(feed, raw, bounds[i], bounds[i + 1], i if i < ARRIVALS - 1 else 0)
+        job.poll(raw)
+    return job.store.read()
+
+
+@register("merge_event_time")
+def merge_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-41: event-time precedence over four loads whose dates are out of order, the newest load first: equal to one unify of all, markers cleared."""
+    base = work_dir(spark, "event-time")
+    feed = orders_feed(spark, sf_dir)
+    bounds = arrival_bounds(feed)
+    job = _unify_merge_job(spark, base, precedence="event_time")
+    for n, i in enumerate(reversed(range(ARRIVALS))):
+        job.run_slice(slice_range(feed, "epoch", bounds[i], bounds[i + 1]), n)
+    return job.profile()
+
+
 @register("late_rows_report")
 def late_rows_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-40: rows whose ingest time is not above the mark left by earlier loads."""
@@ -244,6 +293,71 @@ def resume_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job2.store.read()
 
 
+@register("stream_load_gap")
+def stream_load_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-38: load 2 arrives before load 1: it is held until load 1 is applied, so the profile is that of the loads in order."""
+    base = work_dir(spark, "gap")
+    feed = profile_feed(spark, sf_dir)
+    bounds = arrival_bounds(feed)
+    raw = f"{base}/raw"
+    for some in ([0, 2], [1], [3]):
+        for i in some:
+            write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
+        job = _unify_merge_job(spark, base)
+        start_unify_merge_stream(job, feed_stream(spark, raw, _raw_schema(feed), FILES_PER_TRIGGER), f"{base}/ckpt",
+                                 load_col="load", markers=f"{raw}-complete").awaitTermination()
+    return job.store.read()
+
+
+@register("stream_metrics")
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-42 as a stream: per micro-batch the rows read (the stream's progress reports) and the keys inserted and updated (the step log)."""
+    base = work_dir(spark, "stream-metrics")
+    feed = profile_feed(spark, sf_dir)
+    bounds = arrival_bounds(feed)
+    for i in range(ARRIVALS):  # one object a load, one object a trigger
+        slice_range(feed, "epoch", bounds[i], bounds[i + 1]).coalesce(1).write.mode("append").parquet(f"{base}/raw")
+    job = _unify_merge_job(spark, base, log=StepLog(path=f"{base}/log", spark=spark))
+    progress = ProgressLog(spark, f"{base}/progress")
+    spark.streams.addListener(progress)
+    try:
+        progress.finish(start_unify_merge_stream(job, observed(feed_stream(spark, f"{base}/raw", feed.schema, 1)), f"{base}/ckpt"))
+    finally:
+        spark.streams.removeListener(progress)
+    merged = read_log(spark, job.log.path).where("step = 'merge'").select("batch_id", F.col("counts")["inserted"].alias("inserted"), F.col("counts")["updated"].alias("updated"))
+    return progress.read().select("batch_id", "input_rows").join(merged, "batch_id")
+
+
+@register("stream_archive")
+def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-37: objects leave the source folder once the micro-batch after theirs begins, over a restart; every row is appended once."""
+    base = work_dir(spark, "archive")
+    feed = profile_feed(spark, sf_dir)
+    bounds = arrival_bounds(feed)
+    raw = f"{base}/raw"
+    for some in (range(ARRIVALS // 2), range(ARRIVALS // 2, ARRIVALS)):
+        for i in some:
+            slice_range(feed, "epoch", bounds[i], bounds[i + 1]).write.mode("append").parquet(raw)
+        stream = feed_stream(spark, raw, feed.schema, max_bytes_per_trigger=BYTES_PER_TRIGGER, archive=f"{base}/archive")
+        start_append_stream(stream, f"{base}/staging", f"{base}/ckpt", FEED_COLUMNS).awaitTermination()
+    return spark.read.parquet(f"{base}/staging")
+
+
+@register("stream_overlap_append")
+def stream_overlap_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-40 as a stream: every load also sends the last tenth of the load before it again; each row is appended once."""
+    base = work_dir(spark, "stream-overlap")
+    feed = profile_feed(spark, sf_dir)
+    bounds = arrival_bounds(feed)
+    raw = f"{base}/raw"
+    back = (bounds[1] - bounds[0]) // 10
+    for i in range(ARRIVALS):
+        slice_range(feed, "epoch", bounds[i] - (back if i else 0), bounds[i + 1]).write.mode("append").parquet(raw)
+        start_append_stream(feed_stream(spark, raw, feed.schema, FILES_PER_TRIGGER), f"{base}/staging", f"{base}/ckpt", FEED_COLUMNS,
+                            row_key=["epoch"], ts_col="epoch_ts", overlap="2 hours").awaitTermination()
+    return spark.read.parquet(f"{base}/staging")
+
+
 @register("stream_append")
 def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-37 as a stream: file source to a parquet staging sink; nothing is skipped."""
@@ -353,6 +467,42 @@ def ingest_bad_object(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.file_stats(res).select(_object_no("file").alias("object_no"), "rows_loaded", "rows_rejected", "state")
 
 
+TRUNCATED, WHOLE_GZ = 900_000_003, 900_000_004
+
+
+@register("ingest_truncated_object")
+def ingest_truncated_object(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-03/O-05: an archive cut in half among whole ones leaves no row behind, is reported, and stops no other object."""
+    base = work_dir(spark, "ingest-cut")
+    objects = f"{base}/objects"
+    lines = dirty_objects(profile_feed(spark, sf_dir))
+    lines.repartition("object").write.partitionBy("object").text(objects)
+    lines.where("object = 0").select("value").coalesce(1).write.option("compression", "gzip").text(f"{base}/gz")
+    whole = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(f"{base}/gz").first()["content"]  # one object of 1,000 lines
+    put_bytes(spark, f"{objects}/object={WHOLE_GZ}/part-0.txt.gz", whole)
+    put_bytes(spark, f"{objects}/object={TRUNCATED}/part-0.txt.gz", whole[: len(whole) // 2])
+    res = D.load_delimited(spark, D.scan_objects(spark, objects), objects, LOAD_SCHEMA, skip_unreadable=True).stored(f"{base}/lines")
+    good = res.good.groupBy(_object_no(D.FILE).alias("object_no")).agg(F.count(F.lit(1)).alias("rows_read"))
+    stats = D.file_stats(res).select(_object_no("file").alias("object_no"), "rows_loaded", "rows_rejected", "state")
+    return stats.join(good, "object_no", "left").withColumn("rows_read", F.coalesce("rows_read", F.lit(0)))
+
+
+@register("copy_metrics")
+def copy_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-05/O-17/O-42: durable copy records of every object, summarised with the time in which any object was being read.
+
+    The clock is taken from the rows (object n from second 7n on, a line's second by its user), so that objects overlap and leave gaps.
+    """
+    base = work_dir(spark, "copy-metrics")
+    objects = f"{base}/objects"
+    dirty_objects(profile_feed(spark, sf_dir)).repartition("object").write.partitionBy("object").text(objects)
+    user = F.regexp_extract("value", r"^(\d+),", 1).cast("long")
+    clock = (_object_no(D.FILE) * 7 + user % (_object_no(D.FILE) % 12 + 1)).cast("double")
+    load = D.load_delimited(spark, D.scan_objects(spark, objects), objects, LOAD_SCHEMA, clock=clock).stored(f"{base}/lines")
+    D.copy_records(D.file_stats(load), 0).write.parquet(f"{base}/log")
+    return summarize(spark.read.parquet(f"{base}/log"), wall_clock_steps=("copy",))
+
+
 @register("ingest_control_chars")
 def ingest_control_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-02: control characters, backslashes and delimiters inside every third text survive a round trip."""

@@ -57,20 +57,21 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def read_texts(spark: SparkSession, folder: str) -> dict[str, str]:
-    """Name -> content of the small files directly under ``folder``."""
-    hp, fs = _fs(spark, folder)
-    if not fs.exists(hp):
-        return {}
-    jvm = spark.sparkContext._jvm
-    out = {}
-    for st in fs.listStatus(hp):
-        name = st.getPath().getName()
-        if name.startswith(".") or name.startswith("_"):
-            continue
-        stream = fs.open(st.getPath())
-        try:
-            out[name] = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-    return out
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    put_bytes(spark, path, text.encode("utf-8"))
+
+
+def put_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write one small object at ``path``, over what is there."""
+    hp, fs = _fs(spark, path)
+    out = fs.create(hp, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` and what lies under it; nothing when it does not exist."""
+    hp, fs = _fs(spark, path)
+    fs.delete(hp, True)

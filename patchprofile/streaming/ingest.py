@@ -11,12 +11,13 @@ table is partitioned by commit number, so slices by commit are folder-pruned.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from patchprofile.sources.delimited import FILE, parse_lines, stamp
+from patchprofile.sources.delimited import FILE, check_lines, good_rows, rejected_rows, stamp
 
 
 def start_ingest_stream(spark: SparkSession, objects_dir: str, schema: T.StructType, raw_dir: str,
@@ -29,9 +30,12 @@ def start_ingest_stream(spark: SparkSession, objects_dir: str, schema: T.StructT
              .select("value", F.col("_metadata.file_path").alias(FILE)))
 
     def each_batch(batch_df: DataFrame, batch_id: int) -> None:
-        good, rejects = parse_lines(batch_df, schema)
-        stamp(good, int(batch_id)).write.mode("overwrite").parquet(f"{raw_dir}/load={int(batch_id)}")
-        rejects.write.mode("overwrite").parquet(f"{rejects_dir}/load={int(batch_id)}")
+        checked = check_lines(batch_df, schema).persist(StorageLevel.DISK_ONLY)  # parsed once for both writes
+        try:
+            stamp(good_rows(checked), int(batch_id)).write.mode("overwrite").parquet(f"{raw_dir}/load={int(batch_id)}")
+            rejected_rows(checked).write.mode("overwrite").parquet(f"{rejects_dir}/load={int(batch_id)}")
+        finally:
+            checked.unpersist()
 
     writer = lines.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

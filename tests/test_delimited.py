@@ -69,3 +69,91 @@ def test_blank_lines_are_rejected_and_control_characters_kept(spark):
     good, bad = D.parse_lines(lines, schema)
     assert sorted((r.a, r.b) for r in good.collect()) == [("a\x01b,c", "\x02"), ("x\\", "y")]
     assert [(r.raw_text, r.reason) for r in bad.collect()] == [("", "short row")]
+
+
+def _gz(folder, name, text, keep=1.0):
+    import gzip
+
+    data = gzip.compress(text.encode())
+    path = os.path.join(folder, name)
+    with open(path, "wb") as fh:
+        fh.write(data[: int(len(data) * keep)])
+    return path
+
+
+def test_a_damaged_archive_leaves_no_row_behind(spark, tmp_path):
+    import bz2
+    import random
+
+    rng = random.Random(1)
+    text = "".join(f"{i},{rng.random()},{rng.random()}\n" for i in range(20_000))
+    _gz(tmp_path, "whole.txt.gz", text)
+    _gz(tmp_path, "cut.txt.gz", text, 0.5)
+    _write(tmp_path, "plain.txt", "1,x,1.5\n")
+    with open(tmp_path / "cut.txt.bz2", "wb") as fh:
+        fh.write(bz2.compress(text.encode())[:-200])
+    res = D.load_delimited(spark, D.scan_objects(spark, str(tmp_path)), str(tmp_path), SCHEMA, skip_unreadable=True)
+    stats = {os.path.basename(r["file"]): (r["rows_loaded"], r["state"], r["error"] is None) for r in D.file_stats(res).collect()}
+    assert stats == {"whole.txt.gz": (20_000, "loaded", True), "cut.txt.gz": (0, "unreadable", False), "plain.txt": (1, "loaded", True), "cut.txt.bz2": (0, "unreadable", False)}
+    assert res.good.count() == 20_001
+
+
+def test_a_large_archive_is_probed_by_its_own_scan(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(D, "PROBE_BYTES", 10)
+    whole, cut = _gz(tmp_path, "whole.txt.gz", "1,x,1.5\n" * 9), _gz(tmp_path, "cut.txt.gz", "".join(f"{i},x,{i * 7919 % 1000}\n" for i in range(5_000)), 0.5)
+    got = {r["_key"]: (r["lines"], r["error"] is None) for r in D.probe_objects(spark, [(whole, 100), (cut, 100), ("plain.txt", 5)]).collect()}
+    assert got == {whole: (9, True), cut: (None, False)}
+
+
+def test_only_the_named_objects_are_scanned(spark, tmp_path):
+    """Files scanned = objects of the manifest that are present; no line is shuffled; each line is split once."""
+    for i in range(4):
+        _write(tmp_path, f"o{i}.txt", f"{i},x,1\n")
+    names = spark.createDataFrame([(str(tmp_path / "o2.txt"),), (str(tmp_path / "none.txt"),)], "name string")
+    res = D.load_delimited(spark, names, str(tmp_path), SCHEMA)
+    assert [os.path.basename(f) for f in res.good.inputFiles()] == ["o2.txt"]
+    plan = res.good._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert [tuple(r) for r in res.good.select("a", "b", "c").collect()] == [(2, "x", 1.0)]
+    assert plan.count("Generate inline") == 1 and "split(" not in plan[: plan.index("Generate inline")]
+
+
+def test_many_names_are_read_in_several_scans(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(D, "PATHS_A_SCAN", 2)
+    for i in range(5):
+        _write(tmp_path, f"o{i}.txt", f"{i},x,1\n")
+    res = D.load_delimited(spark, D.scan_objects(spark, str(tmp_path)), str(tmp_path), SCHEMA)
+    assert sorted(r.a for r in res.good.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_odd_object_names(spark, tmp_path):
+    odd = ["a b.txt", "c+d.txt", "e%20f.txt", "[g].txt", "{h,i}.txt", "j*k.txt"]
+    for i, n in enumerate(odd):
+        _write(tmp_path, n, f"{i},x,1\n")
+    names = spark.createDataFrame([(str(tmp_path / n),) for n in odd], "name string")
+    res = D.load_delimited(spark, names, str(tmp_path), SCHEMA)
+    assert sorted(r.a for r in res.good.collect()) == list(range(len(odd)))
+    assert {os.path.basename(r["file"]): r["state"] for r in D.file_stats(res).collect()} == dict.fromkeys(odd, "loaded")
+
+
+def test_any_number_of_escapes(spark):
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    lines = [("\\" * 402 + ",x", "f"), ("\\" * 403 + ",x", "f"), ("y" + "\\,z" * 50_000 + ",w", "f"), ("end\\,\\", "f"), ("a,\\", "f")]
+    good, bad = D.parse_lines(spark.createDataFrame(lines, "value string, _file string"), schema)
+    assert sorted((r.a, r.b) for r in good.collect()) == sorted([("\\" * 201, "x"), ("y" + ",z" * 50_000, "w"), ("a", "\\")])
+    assert sorted(r.raw_text for r in bad.collect()) == sorted(["\\" * 403 + ",x", "end\\,\\"])
+
+
+def test_objects_have_read_times(spark, tmp_path):
+    import time
+
+    from patchprofile.plans.metrics import summarize
+    t0 = time.time()
+    for i in range(3):
+        _write(tmp_path, f"o{i}.txt", f"{i},x,1\n" * 50)
+    res = D.load_delimited(spark, D.scan_objects(spark, str(tmp_path)), str(tmp_path), SCHEMA).stored(str(tmp_path / "lines"))
+    stats = D.file_stats(res).collect()
+    assert all(t0 - 1 <= r["started_at"] <= r["ended_at"] <= time.time() + 1 for r in stats)
+    log = D.copy_records(D.file_stats(res), 4)
+    assert sorted((r["step"], r["batch_id"], os.path.basename(r["lo"]), r["rows"]) for r in log.collect()) == [("copy", 4, f"o{i}.txt", 50) for i in range(3)]
+    assert summarize(log, wall_clock_steps=("copy",)).first()["runs"] == 3

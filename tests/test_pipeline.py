@@ -211,21 +211,177 @@ def test_bucket_writes_are_clustered(spark, sf_small):
     assert len(spark.read.parquet(*store.head()["buckets"].values()).inputFiles()) <= 16
 
 
-def test_poll_reads_only_the_open_loads(spark, sf_small):
-    """Closed load folders are pruned; the newest one may still grow; a new process prunes alike."""
-    from patchprofile.plans.pipeline import AppendJob, open_loads
-    base = work_dir(spark, "test-open-loads")
+def test_poll_finds_rows_in_older_loads_and_skips_merged_row_groups(spark, sf_small):
+    """Rows above the mark count wherever they lie; the slice's bounds reach the scan; a new process does alike."""
+    from patchprofile.operators.slices import slice_range
+    from patchprofile.plans.pipeline import AppendJob
+    base = work_dir(spark, "test-older-load")
     feed = profile_feed(spark, sf_small)
     raw = f"{base}/raw"
-    read = lambda: spark.read.parquet(raw)
-    new = lambda: AppendJob(spark, staging=f"{base}/s", columns=["epoch"], col="epoch", load_col="load")
-    job = QI._unify_merge_job(spark, base, "load")
-    for load, cond in ((0, "epoch < 300"), (1, "epoch BETWEEN 300 AND 599"), (1, "epoch BETWEEN 600 AND 699"), (2, "epoch >= 700")):
+    new = lambda: AppendJob(spark, staging=f"{base}/s", columns=["epoch"], col="epoch")
+    job = QI._unify_merge_job(spark, base)
+    for load, cond in ((0, "epoch < 300"), (1, "epoch BETWEEN 300 AND 599"), (1, "epoch BETWEEN 600 AND 699"), (0, "epoch >= 700")):
         feed.filter(cond).write.mode("append").parquet(f"{raw}/load={load}")
-        assert job.poll(read()) is True and new().poll(read()) is True
-    assert job.last_load == 2 and QI._unify_merge_job(spark, base, "load").last_load == 2
-    assert job.poll(read()) is False and new().last_load == 2
-    plan = open_loads(read(), "load", 2)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(load" in plan and ">= 2)]" in plan
+        assert job.poll(raw) is True and new().poll(spark.read.parquet(raw)) is True
+    assert job.poll(raw) is False and new().poll(spark.read.parquet(raw)) is False
+    plan = slice_range(spark.read.parquet(raw), "epoch", 699, 999)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(epoch,699)" in plan
     assert sorted(r[0] for r in new().read().collect()) == sorted(r[0] for r in feed.select("epoch").collect())
     assert job.store.read().count() == feed.select("uid", "utype").distinct().count()
+
+
+def test_mark_from_footers(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    from patchprofile.operators.slices import footer_mark, high_water
+    base = work_dir(spark, "test-footer")
+    feed = profile_feed(spark, sf_small)
+    feed.write.parquet(f"{base}/raw/load=0")
+    feed.where("epoch < 10").write.parquet(f"{base}/raw/load=1")
+    feed.limit(0).write.parquet(f"{base}/none")
+    for col in ("epoch", "epoch_ts", "att2", "utype"):
+        assert footer_mark(spark, f"{base}/raw", col) == high_water(spark.read.parquet(f"{base}/raw"), col)
+    assert footer_mark(spark, f"{base}/none", "epoch") is None
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    plan = own.read.parquet(f"{base}/raw").agg(F.max("epoch"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(epoch)]" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"  # the caller's session is left alone
+
+
+def test_overlap_takes_late_rows_once(spark, sf_small):
+    """Rows behind the mark, with and without the mark moving; nothing twice; rows behind the look-back stay lost; restarts."""
+    from patchprofile.plans.pipeline import AppendJob
+    base = work_dir(spark, "test-overlap")
+    raw = f"{base}/raw"
+
+    def put(*rows):
+        spark.createDataFrame(list(rows), "id long, at long").write.mode("append").parquet(raw)
+
+    new = lambda: AppendJob(spark, staging=f"{base}/s", columns=["id", "at"], col="at", overlap=10, row_key=["id"])
+    poll = lambda: new().poll(spark.read.parquet(raw))
+    put((1, 100), (2, 95), (None, 99))
+    assert poll() is True and poll() is False
+    put((3, 92), (4, 80))
+    assert poll() is True                       # the mark has not moved; 4 is behind the look-back
+    put((5, 120), (6, 101), (7, 100), (8, 90))
+    assert poll() is True and poll() is False   # 8 is on the open end of (90, 120]
+    put((9, 110), (10, 111))
+    assert poll() is True and poll() is False
+    job = new()
+    assert job.prev == 120
+    assert sorted(map(tuple, job.read().collect()), key=str) == sorted([(1, 100), (2, 95), (None, 99), (3, 92), (5, 120), (6, 101), (7, 100), (10, 111)], key=str)
+
+
+def test_overlap_needs_a_row_key(spark):
+    import pytest
+
+    from patchprofile.plans.pipeline import AppendJob
+    with pytest.raises(ValueError):
+        AppendJob(spark, staging="x", columns=["at"], col="at", overlap=10)
+
+
+def test_a_trigger_reads_no_applied_load(spark, sf_small, monkeypatch):
+    from patchprofile.sources.fs import path_exists
+    from patchprofile.streaming.unify_merge import feed_stream, start_unify_merge_stream
+    base = work_dir(spark, "test-held")
+    feed = profile_feed(spark, sf_small)
+    raw, bounds, read = f"{base}/raw", QI.arrival_bounds(feed), []
+    job = QI._unify_merge_job(spark, base)
+    run_slice = job.run_slice
+    monkeypatch.setattr(job, "run_slice", lambda df, load, **k: (read.append((load, sorted(df.inputFiles()))), run_slice(df, load, **k))[1])
+    for i in range(3):
+        QI.write_arrival(feed, raw, bounds[i], bounds[i + 1], i)
+        start_unify_merge_stream(job, feed_stream(spark, raw, QI._raw_schema(feed), 1), f"{base}/ckpt", load_col="load", markers=f"{raw}-complete").awaitTermination()
+    assert [load for load, _ in read] == [0, 1, 2]
+    assert all(f"_load={load}/" in f for load, files in read for f in files)
+    assert not any(path_exists(spark, f"{base}/ckpt-held/_load={i}") for i in range(3))  # dropped once applied
+
+
+def test_rows_of_an_applied_load_raise(spark, sf_small):
+    import pytest
+
+    from patchprofile.streaming.unify_merge import feed_stream, start_unify_merge_stream
+    base = work_dir(spark, "test-late-load")
+    feed = profile_feed(spark, sf_small)
+    raw, bounds = f"{base}/raw", QI.arrival_bounds(feed)
+    run = lambda: start_unify_merge_stream(QI._unify_merge_job(spark, base), feed_stream(spark, raw, QI._raw_schema(feed)), f"{base}/ckpt",
+                                           load_col="load", markers=f"{raw}-complete").awaitTermination()
+    QI.write_arrival(feed, raw, bounds[0], bounds[1], 0)
+    run()
+    feed.limit(1).write.mode("append").parquet(f"{raw}/load=0")
+    with pytest.raises(Exception, match="more of its rows came"):
+        run()
+
+
+def test_replayed_trigger_of_an_applied_load_changes_nothing(spark, sf_small, monkeypatch):
+    """The process dies after publishing, before the stream's checkpoint moves on: the same trigger comes again."""
+    import pytest
+
+    from patchprofile.streaming import unify_merge as U
+    base = work_dir(spark, "test-replay")
+    feed = profile_feed(spark, sf_small)
+    raw, bounds = f"{base}/raw", QI.arrival_bounds(feed)
+    QI._write_arrivals(spark, feed, raw, range(2), bounds)
+    run = lambda: U.start_unify_merge_stream(QI._unify_merge_job(spark, base), U.feed_stream(spark, raw, QI._raw_schema(feed)), f"{base}/ckpt",
+                                             load_col="load", markers=f"{raw}-complete").awaitTermination()
+    real = U.delete_folder
+    with monkeypatch.context() as m:
+        m.setattr(U, "delete_folder", lambda s, p: (_ for _ in ()).throw(OSError("died")) if p.endswith("_load=0") else real(s, p))
+        with pytest.raises(Exception, match="died"):
+            run()
+    assert QI._unify_merge_job(spark, base).store.head()["batch_id"] == 0
+    run()
+    store = QI._unify_merge_job(spark, base).store
+    assert store.head()["batch_id"] == 1 and store.head()["version"] == 1
+    assert store.read().count() == feed.where(f"epoch <= {bounds[2]}").select("uid", "utype").distinct().count()
+
+
+def test_steps_are_logged_as_they_end(spark, sf_small):
+    import pytest
+
+    from patchprofile.plans.metrics import read_log
+    base = work_dir(spark, "test-log")
+    log = StepLog(path=f"{base}/log", spark=spark)
+    with log.step("unify", 0):
+        pass
+    assert [r.step for r in read_log(spark, f"{base}/log").collect()] == ["unify"]  # before the batch is over
+    with pytest.raises(OSError), log.step("merge", 0):
+        raise OSError("died")
+    again = StepLog(path=f"{base}/log", spark=spark)  # a new process
+    with again.step("merge", 0) as rec:
+        rec["rows"], rec["counts"] = 3, {"inserted": 2}
+    got = {r.step: r for r in read_log(spark, f"{base}/log").collect()}
+    assert set(got) == {"unify", "merge"} and got["merge"].rows == 3 and got["merge"].counts == {"inserted": 2}
+
+
+def test_busy_time_counts_overlaps_once_and_gaps_not(spark):
+    from patchprofile.plans.metrics import METRICS_SCHEMA, busy_ns
+    spans = [("copy", 0, 10), ("copy", 2, 3), ("copy", 10, 12), ("copy", 20, 21), ("copy", 20, 25), ("merge", 1, 2), ("merge", None, 5)]
+    rows = [(s, 0, None, None, 1, a and float(a) if a is None else float(a), float(b), 0, None) for s, a, b in spans]
+    got = {r.step: r.busy_ns for r in busy_ns(spark.createDataFrame(rows, METRICS_SCHEMA)).collect()}
+    assert got == {"copy": 17_000_000_000, "merge": 1_000_000_000}
+
+
+def test_archive_leaves_only_the_newest_objects(spark, sf_small, tmp_path):
+    """Over restarts: an object moves once the micro-batch after its own is planned, so the listing stays short; no row is lost or taken twice."""
+    import glob
+    import time
+
+    from patchprofile.streaming.unify_merge import feed_stream, start_append_stream
+    feed = profile_feed(spark, sf_small)
+    raw, last = str(tmp_path / "raw"), set()
+    for n in range(4):
+        feed.where(f"epoch % 4 = {n}").coalesce(1).write.mode("append").parquet(raw)
+        here = set(glob.glob(f"{raw}/*.parquet"))
+        newest = here - last
+        stream = feed_stream(spark, raw, feed.schema, archive=str(tmp_path / "archive"))
+        start_append_stream(stream, str(tmp_path / "s"), str(tmp_path / "ckpt"), ["epoch"]).awaitTermination()
+        until = time.time() + 20
+        while set(glob.glob(f"{raw}/*.parquet")) != newest and time.time() < until:
+            time.sleep(0.2)
+        last = set(glob.glob(f"{raw}/*.parquet"))
+        assert last == newest and len(newest) == 1
+    assert len(glob.glob(f"{tmp_path}/archive/**/*.parquet", recursive=True)) == 3
+    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "s")).collect()) == sorted(r[0] for r in feed.select("epoch").collect())
