@@ -188,7 +188,9 @@ def _named(docs: DataFrame, c: Config, by_row: bool = False) -> tuple[DataFrame,
     near = met.join(side("b"), "b").join(side("a"), "a").where(_bit_gap("ka", "kb", c) <= most_bits(c))
     pairs = materialize(near.select(F.col("na").alias("a"), F.col("nb").alias("b")), "near-pairs")
     cand = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = materialize(full_sets(docs, cand.join(nodes.select("node", "rep"), "node"), c), "near-sets")
+    # written first, so that its size is known when the texts are joined: they are only shuffled when it is large
+    wanted = materialize(cand.join(nodes.select("node", "rep"), "node"), "near-wanted")
+    sets = materialize(full_sets(docs, wanted, c), "near-sets")
     links = materialize(_confirmed(pairs, sets, c), "near-links")
     label = components(links, "near-cc")
 
@@ -228,7 +230,7 @@ def _rest(docs: DataFrame, tagged: DataFrame, shared: DataFrame, c: Config) -> D
     x, y = blocks.alias("x"), blocks.alias("y")
     meet = x.join(y, "grp").where("x.blk <= y.blk AND NOT (x.lo = x.hi AND y.lo = y.hi AND x.lo = y.lo)")
     meet = materialize(meet.select("grp", F.col("x.blk").alias("i"), F.col("y.blk").alias("j")), "near-meet")
-    sets = full_sets(docs, placed.select("node", "rep").distinct(), c)
+    sets = full_sets(docs, materialize(placed.select("node", "rep").distinct(), "near-wanted"), c)
     rows = materialize(placed.select("grp", "component", "node", "sketch", "blk").join(sets, "node"), "near-rows")
     sides = (meet.select("grp", "i", "j", F.col("i").alias("blk"))
              .unionByName(meet.where("i <> j").select("grp", "i", "j", F.col("j").alias("blk"))))
