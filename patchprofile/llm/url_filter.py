@@ -1,27 +1,27 @@
 """URL filter with redirect equivalence: block decisions spread over connected aliases, allow rules win.
 
 Nodes are URLs without scheme and fragment. Edges are canonical links and refresh redirects in a page's
-HTML and, unless switched off, the usual redirects between spellings of one address (``www.`` and ``m.``
+HTML and, where asked for, the usual redirects between spellings of one address (``www.`` and ``m.``
 hosts, tracking parameters, trailing slash, ``index.html``, ``.html``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patchprofile.llm.common import materialize
 from patchprofile.llm.components import components
+from patchprofile.llm.html_text import page_links
 
 #: Rule: (host, path, verdict). A rule fits its host and all subdomains when the path starts with its own; the longest wins.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TRACKING = r"(?<=[?&])(?:utm_[a-z]+|ref|fbclid|gclid)=[^&]*&?"
-_CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
-_REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["']?[^"'>]*?\burl\s*=\s*([^"'>\s]+)"""
-
-
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; null or no ``://``: empty."""
     return F.coalesce(F.translate(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), _UPPER, _LOWER), F.lit(""))
@@ -49,27 +49,6 @@ def _pick(place: Column, values: list[str]) -> Column:
     return F.when(place > 0, F.element_at(F.array(*(F.lit(v) for v in values)), F.greatest(place, F.lit(1))))
 
 
-_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
-
-
-def unescaped(text: Column) -> Column:
-    """Numeric entities and the five named ones of XML as their characters, each once (``&amp;lt;`` is ``&lt;``)."""
-    entity = r"&(?:(?:#[xX][0-9A-Fa-f]{1,6}|#[0-9]{1,7});?|(?:amp|lt|gt|quot|apos);|(?:amp|lt|gt|quot)(?![A-Za-z0-9=]))"
-    plain, found = F.split(text, entity, -1), F.regexp_extract_all(text, F.lit(f"({entity})"), F.lit(1))
-
-    def char(e: Column) -> Column:
-        body = F.regexp_replace(e, "^&#?|;$", "")
-        code = F.when(e.rlike("^&#[xX]"), F.conv(F.substring(body, 2, 6), 16, 10)).otherwise(body).cast("int")
-        # only code points that are characters stand for something
-        sound = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code < 0x110000))
-        coded = F.when(sound, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
-        named = F.coalesce(*(F.when(body == k, F.lit(v)) for k, v in _NAMED.items()))
-        return F.when(e.startswith("&#"), coded).otherwise(named)
-
-    rest = F.zip_with(F.transform(found, char), F.slice(plain, 2, F.greatest(F.size(plain) - 1, F.lit(0))), lambda e, p: F.concat(e, p))
-    return F.when(text.contains("&"), F.concat(plain[0], F.array_join(rest, ""))).otherwise(text)
-
-
 def no_dots(path: Column) -> Column:
     """A path that begins with ``/`` without its ``.`` and ``..`` segments, as RFC 3986 removes them."""
     parts = F.split(F.substring(path, 2, 1 << 30), "/", -1)
@@ -80,8 +59,8 @@ def no_dots(path: Column) -> Column:
 
 
 def _resolved(rows: DataFrame) -> DataFrame:
-    """``url, target`` from ``url, href``: the absolute URL that ``href`` names on the page, without dot segments. A column a step:
-    nested in one expression they would be worked out again at each mention."""
+    """``page, target`` from ``page, url, href``: the absolute URL that ``href`` names as seen from ``url``, without dot segments. A column a
+    step: nested in one expression they would be worked out again at each mention."""
     rows = rows.withColumn("top", F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*)", 1)).withColumn("at", path_of(F.col("url"))).where(F.length("top") > 0)
     rows = rows.withColumn("at", F.when(F.col("at") == "", "/").otherwise(F.col("at")))
     href, top, at = F.col("href"), F.col("top"), F.col("at")
@@ -89,18 +68,31 @@ def _resolved(rows: DataFrame) -> DataFrame:
             .when(href.startswith("/"), F.concat(top, href)).when(href.startswith("?"), F.concat(top, at, href))
             .when((href == "") | href.startswith("#"), F.concat(top, at, _query_of(F.col("url")), href))
             .otherwise(F.concat(top, F.regexp_replace(at, r"[^/]*$", ""), href)))
-    rows = rows.select("url", full.alias("full"))
-    rows = rows.select("url", F.regexp_extract("full", r"(?s)^(.*?://[^/?#]*)", 1).alias("start"), path_of(F.col("full")).alias("path"), F.regexp_extract("full", r"(?s)^.*?://[^?#]*(.*)$", 1).alias("tail"))
-    return rows.select("url", F.concat("start", F.when(F.col("path") == "", "").otherwise(no_dots(F.col("path"))), "tail").alias("target"))
+    rows = rows.select("page", full.alias("full"))
+    rows = rows.select("page", F.regexp_extract("full", r"(?s)^(.*?://[^/?#]*)", 1).alias("start"), path_of(F.col("full")).alias("path"), F.regexp_extract("full", r"(?s)^.*?://[^?#]*(.*)$", 1).alias("tail"))
+    return rows.select("page", F.concat("start", F.when(F.col("path") == "", "").otherwise(no_dots(F.col("path"))), "tail").alias("target"))
 
 
 def links(pages: DataFrame) -> DataFrame:
-    """``url, target`` (absolute) for the canonical links and refresh redirects of each page: entities decoded, references
-    resolved. What names another scheme without ``//`` (``mailto:``) is no address."""
-    found = F.array(F.coalesce(*(F.nullif(F.regexp_extract("html", _CANONICAL, k), F.lit("")) for k in (1, 2, 3))), F.nullif(F.regexp_extract("html", _REFRESH, 1), F.lit("")))
-    rows = pages.where("url IS NOT NULL AND html IS NOT NULL").select("url", F.explode(found).alias("href")).where("href IS NOT NULL")
-    rows = rows.select("url", F.trim(unescaped(F.col("href"))).alias("href"))
-    return _resolved(rows.where(~F.col("href").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:(?!//)")))
+    """``url, target`` (absolute) for every canonical link and refresh redirect of each page: tags outside of comments and scripts, entities
+    decoded, references resolved against the page's ``<base>``, else its address. What names another scheme without ``//`` (``mailto:``)
+    is no address. Only pages that hold one of the words at all leave the JVM."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for at in range(0, big.num_rows, 256):
+                b = big.slice(at, 256)
+                found = [(u, base, h) for u, page in zip(b.column("url").to_pylist(), b.column("html").to_pylist()) for base, h in page_links(page)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.string()) for k in range(3)], names=["page", "base", "href"])
+
+    some = pages.where("url IS NOT NULL AND html IS NOT NULL").where(F.col("html").rlike("(?i)canonical|refresh"))
+    rows = some.select("url", "html").mapInArrow(run, "page string, base string, href string")
+    rows = rows.where(~F.col("href").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:(?!//)"))
+    plain = rows.where("base IS NULL").select("page", F.col("page").alias("url"), "href")
+    # a base is itself a reference, seen from the page; the link is carried along in its place
+    based = rows.where("base IS NOT NULL").select(F.struct("page", "href").alias("page"), F.col("page").alias("url"), F.col("base").alias("href"))
+    based = _resolved(based).select("page.page", F.col("target").alias("url"), "page.href")
+    return _resolved(plain.unionByName(based)).withColumnRenamed("page", "url")
 
 
 def node_of(url: Column) -> Column:
@@ -115,7 +107,7 @@ def usual_form(url: Column) -> Column:
     return F.concat(host, F.when(path == "", "/").otherwise(path), query)
 
 
-def judge(pages: DataFrame, rules=RULES, usual_redirects: bool = True) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, usual_redirects: bool = False) -> DataFrame:
     """``page_id, host, path, rule, verdict`` for every row of ``pages`` (``page_id, url, html``).
 
     A page with a rule gets its verdict. Another is blocked when its component has a blocked address and no
