@@ -26,14 +26,15 @@ UND = "und"
 
 @dataclass(frozen=True)
 class Config:
-    """``docs``: documents per language in the labelled sample (hash order), ``words``: at most so many words of the sample per
-    language enter the fit, ``lexicon``: most usual words per language. ``span``: words in a chain;
-    longer texts are chains one after the other."""
+    """``docs``: documents per language in the labelled sample (hash order), of at most ``text_bytes`` each; ``words``: at most so many
+    words of the sample per language enter the fit, ``lexicon``: most usual words per language. ``span``: words that are walked
+    one by one; the spans of a longer text are walked side by side, joined by their transfer matrices (the result is the whole chain's)."""
 
     docs: int = 300
+    text_bytes: int = 32_000
     words: int = 20_000
     lexicon: int = 500
-    span: int = 128
+    span: int = 512
     steps: int = 40
     rate: float = 0.5
 
@@ -43,15 +44,14 @@ def words_of(text: str) -> list[str]:
 
 
 def features(word: str, lexicons: dict[str, int]) -> list[str]:
-    w = word if len(word) <= 40 else word[:20] + word[-20:]
     out = ["*"]
     for k in (1, 2, 3, 4):
-        if len(w) >= k:
-            out += (f"p{w[:k]}", f"s{w[-k:]}")
-    out += [f"g{w[i : i + 2]}" for i in range(len(w) - 1)]
-    out += [f"g{w[i : i + 3]}" for i in range(len(w) - 2)]
+        if len(word) >= k:
+            out += (f"p{word[:k]}", f"s{word[-k:]}")
+    out += [f"g{word[i : i + 2]}" for i in range(len(word) - 1)]
+    out += [f"g{word[i : i + 3]}" for i in range(len(word) - 2)]
     if word in lexicons:
-        out += [f"l{i}" for i in range(16) if lexicons[word] >> i & 1]
+        out += [f"l{i}" for i in range(lexicons[word].bit_length()) if lexicons[word] >> i & 1]
         out.append(f"w{word}")
     return out
 
@@ -94,31 +94,61 @@ class Model:
             return [np.zeros((0, len(self.langs))) for _ in docs]
         e = self.emissions([w for d in docs for w in d])
         begin = np.cumsum([0, *n])
-        chains = [(b + i, min(self.span, m - i)) for b, m in zip(begin[:-1].tolist(), n) for i in range(0, m, self.span)]
-        chains.sort(key=lambda x: -x[1])
-        out = np.empty_like(e)
-        starts, sizes = np.array([c[0] for c in chains]), np.array([c[1] for c in chains])
-        forward, backward = forward_backward(e, starts, sizes, np.exp(self.moves - self.moves.max()))
+        spans = [(b + i, min(self.span, m - i), i == 0) for b, m in zip(begin[:-1].tolist(), n) for i in range(0, m, self.span)]
+        starts, sizes, first = (np.array(x) for x in zip(*spans))
+        order = np.argsort(-sizes, kind="stable")
+        moves = np.exp(self.moves - self.moves.max())
+        enter, leave = _joints(e, starts, sizes, first.astype(bool), moves)
+        forward, backward = forward_backward(e, starts[order], sizes[order], moves, enter[order], leave[order])
         out = forward * backward
         out /= out.sum(axis=1, keepdims=True)
         return [out[a:b] for a, b in zip(begin[:-1], begin[1:])]
 
 
-def forward_backward(e: np.ndarray, starts: np.ndarray, sizes: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Scaled forward and backward values of chains [start, start + size) of ``e``; ``sizes`` falls."""
+def _joints(e: np.ndarray, starts: np.ndarray, sizes: np.ndarray, first: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What enters each span of a chain from the words before it (ones where a chain begins), and what its last word takes from the words behind it."""
+    m = e.shape[1]
+    enter, leave = np.ones((len(starts), m)), np.ones((len(starts), m))
+    more = np.flatnonzero(~first)
+    if not len(more):
+        return enter, leave
+    # spans of chains that have several: the matrix that carries a state over all of a span's words
+    many = np.unique(np.r_[more, more - 1])
+    many = many[np.argsort(-sizes[many], kind="stable")]
+    live = np.searchsorted(-sizes[many], -np.arange(1, int(sizes[many[0]]) + 1), side="right")
+    over = np.where(first[many][:, None, None], np.eye(m), moves) * e[starts[many]][:, None, :]
+    for t in range(1, len(live)):
+        k = live[t]
+        x = (over[:k] @ moves) * e[starts[many[:k]] + t][:, None, :]
+        over[:k] = x / x.max(axis=(1, 2), keepdims=True)
+    carry = dict(zip(many.tolist(), over))
+    for i in more.tolist():
+        v = (np.ones(m) if first[i - 1] else enter_raw) @ carry[i - 1]
+        enter_raw = v / v.sum()
+        enter[i] = enter_raw @ moves
+    for i in more[::-1].tolist():
+        z = carry[i] @ leave[i]
+        leave[i - 1] = z / z.sum()
+    return enter, leave
+
+
+def forward_backward(e: np.ndarray, starts: np.ndarray, sizes: np.ndarray, moves: np.ndarray,
+                     enter: np.ndarray | None = None, leave: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled forward and backward values of chains [start, start + size) of ``e``; ``sizes`` falls. ``enter`` weighs the labels of each
+    chain's first word, ``leave`` those of its last (ones: a chain that stands alone)."""
     f, b = np.empty_like(e), np.empty_like(e)
     longest = int(sizes[0])
     live = np.searchsorted(-sizes, -np.arange(1, longest + 1), side="right")  # chains with at least t words
     a = None
     for t in range(longest):
         at = starts[: live[t]] + t
-        a = e[at] if a is None else (a[: live[t]] @ moves) * e[at]
+        a = (e[at] if enter is None else enter * e[at]) if a is None else (a[: live[t]] @ moves) * e[at]
         a = a / a.sum(axis=1, keepdims=True)
         f[at] = a
     z = None
     for t in range(longest - 1, -1, -1):
         at = starts[: live[t]] + t
-        last = np.ones((live[t], e.shape[1]))
+        last = np.ones((live[t], e.shape[1])) if leave is None else leave[: live[t]].copy()
         if z is not None:
             last[: len(z)] = z
         b[at] = last
@@ -142,7 +172,7 @@ def fit_texts(texts: dict[str, list[str]], c: Config = Config()) -> Model:
     lexicons: dict[str, int] = {}
     for k, lang in enumerate(langs):
         for w, _ in Counter(w for d in by[lang] for w in d).most_common(c.lexicon):
-            lexicons[w] = lexicons.get(w, 0) | 1 << k % 16
+            lexicons[w] = lexicons.get(w, 0) | 1 << k
     runs: list[tuple[int, list[str]]] = []
     for k, lang in enumerate(langs):
         flat = [w for d in by[lang] for w in d]
@@ -216,12 +246,15 @@ def fit_texts(texts: dict[str, list[str]], c: Config = Config()) -> Model:
 
 
 def fit(docs: DataFrame, c: Config = Config()) -> Model:
-    """Fit on at most ``c.docs`` documents per language, none from the held-out fold or without ``lang``."""
+    """Fit on at most ``c.docs`` documents per language, one text an id, none over ``c.text_bytes``, from the held-out fold or without ``lang``."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     w = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(11), "doc_id"), "doc_id")
     # the top rows of each language are cut down in every task before they meet
-    ids = rows.select("doc_id", "lang").withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= c.docs).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
-    got = docs.select("doc_id", "lang", "text").join(F.broadcast(ids), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("doc_id", "lang", "text").collect()
+    top = rows.select("doc_id", "lang").withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= c.docs)
+    ids = top.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
+    short = docs.select("doc_id", "lang", "text").where(F.octet_length("text") <= c.text_bytes)
+    found = short.join(F.broadcast(ids), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
+    got = found.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()  # at most c.docs a language, c.text_bytes each
     texts: dict[str, list[str]] = {}
     for r in sorted(got, key=lambda r: (r.doc_id, r.text or "")):
         texts.setdefault(r.lang, []).append(r.text or "")
