@@ -57,4 +57,46 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
 FROM p
 """
 
-ORACLES = {"op10_containment": OP10, "op11_source_divergence": OP11, "op12_fill_in_middle": OP12}
+#: Windows of 8 words found twice mark their words; a window of 101 words found twice is a repeat of over 100.
+OP2 = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS text, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+     k8 AS (SELECT row, k, hash(array_to_string(w[k:k + 7], ' ')) AS h FROM (SELECT row, w, unnest(range(1, len(w) - 6)) AS k FROM d)),
+     twice AS (SELECT row, k FROM k8 QUALIFY count(*) OVER (PARTITION BY row, h) > 1),
+     marked AS (SELECT row, count(DISTINCT k + i) AS n FROM twice, range(0, 8) t(i) GROUP BY row),
+     k101 AS (SELECT DISTINCT row FROM (SELECT row, hash(array_to_string(w[k:k + 100], ' ')) AS h FROM (SELECT row, w, unnest(range(1, len(w) - 99)) AS k FROM d)) GROUP BY row, h HAVING count(*) > 1),
+     lines AS (SELECT row, unnest(string_split(text, chr(10))) AS line FROM d),
+     dup AS (SELECT row, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY row),
+     b AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                  CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
+                  CAST(coalesce(marked.n, 0) AS BIGINT) AS n_repeat_words, k101.row IS NOT NULL AS long
+           FROM d LEFT JOIN dup USING (row) LEFT JOIN marked USING (row) LEFT JOIN k101 USING (row))
+SELECT * EXCLUDE (long), n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT (n_repeat_words > 0.15 * n_words OR long) AS kept
+FROM b
+"""
+
+#: The given pages hold no canonical link and no refresh, so a page without a rule is allowed; links are tested in tests/llm.
+OP5 = """
+WITH p AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+     h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+     r(rh, rp, said) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+     f AS (SELECT h.*, rh || rp AS rule, said FROM h LEFT JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
+SELECT page_id, host, path, rule, coalesce(said, 'allow') AS verdict FROM f QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) = 1
+"""
+
+#: All pairs that share a shingle, then the least id that links reach.
+OP8 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+     s AS (SELECT DISTINCT doc_id, hash(array_to_string(w[k:k + 3], ' ')) AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS k FROM d WHERE len(w) > 0)),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     pair AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+              WHERE 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+              GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(x.n) + any_value(y.n) - count(*))),
+     reach(doc_id, other) AS (SELECT a, b FROM pair UNION SELECT reach.doc_id, pair.b FROM reach JOIN pair ON pair.a = reach.other),
+     least_id AS (SELECT doc_id, min(other) AS c FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(c, d.doc_id)) AS component_id, least(d.doc_id, coalesce(c, d.doc_id)) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_id USING (doc_id)
+"""
+
+ORACLES = {"op2_repetition": OP2, "op5_redirect_filter": OP5, "op8_odd_sketch": OP8, "op10_containment": OP10, "op11_source_divergence": OP11, "op12_fill_in_middle": OP12}

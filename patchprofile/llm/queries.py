@@ -54,7 +54,8 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    return repetition.repetition(table(spark, sf_dir, "documents"))
+    got = repetition.repetition(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op3_code_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
