@@ -331,6 +331,7 @@ def oracles() -> dict[str, str]:
 FROM m""")
     o["out_of_order_batches"] = _with_run(orders_feed_sql(), f"SELECT {pcols} FROM m")
 
+    o["slice_clustered"] = slice_timestamp_sql().replace("SELECT uid, utype", "SELECT * EXCLUDE (slice_no) FROM (SELECT uid, utype", 1) + ") WHERE slice_no = 2"
     o["high_water_epoch"] = f"WITH feed AS ({feed}) SELECT coalesce(max(epoch), 0) AS high_water FROM feed"
     o["high_water_ts"] = f"WITH feed AS ({feed}) SELECT max(epoch_ts) AS high_water FROM feed"
     o["slice_epoch"] = slice_epoch_sql()

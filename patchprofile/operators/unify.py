@@ -19,17 +19,19 @@ Two physical forms give the same rows:
     the reference's shape: one shared window, full frame, top-1 filter. Fast,
     but every row of a key goes to one task.
 
-``auto`` (default) splits the feed by key size. One cheap aggregate over the
-key columns finds the keys with more than ``hot_key_rows`` rows; those (at
-most ``max_hot_keys``, so the set is broadcast with a known bound) go through
+``auto`` (default) splits the feed by key size. A frequent-items sketch over a hash of the
+key columns finds the keys with more than ``hot_key_rows`` rows: one scan of these columns, of
+which only sketches of a fixed size leave a task; no key is shuffled. The rows of those (at
+most ``max_hot_keys`` hashes, as literals of a filter) go through
 the aggregate form, all other keys through the window form, and the two
 results are concatenated. With no hot key it is the window form alone; with
-more hot keys than the bound it is the aggregate form alone.
+more hot keys than the bound it is the aggregate form alone. Whichever way a key goes, its result is the same,
+so neither a hash that two keys share nor the sketch's error can change a row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patchprofile.functions.ordering import event_order_desc, event_order_sql, order_sql, q
@@ -40,14 +42,19 @@ _RN = "__rn"
 
 
 HOT_KEY_ROWS = 500_000
-MAX_HOT_KEYS = 100_000
+MAX_HOT_KEYS = 10_000
+#: Hashes a sketch keeps count of. Counts are low by at most about 4/3 of the rows over this number; up to three quarters of it they are exact.
+TRACKED = 100_000
+#: Sketches are brought together in two steps: first this many groups of tasks, then one.
+GROUPS = 64
 
 
 def unify(feed: DataFrame, policy: ColumnPolicy, method: str = "auto", *,
-          hot_key_rows: int = HOT_KEY_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+          hot_key_rows: int = HOT_KEY_ROWS, max_hot_keys: int = MAX_HOT_KEYS, hot_share: float | None = None) -> DataFrame:
+    """One row per key. ``hot_share``: with ``auto``, a key is hot from this share of all rows on, instead of from ``hot_key_rows``."""
     policy.check_order()  # all forms agree only on a total order
     if method == "auto":
-        return _unify_split(feed, policy, hot_key_rows, max_hot_keys)
+        return _unify_split(feed, policy, hot_key_rows, max_hot_keys, hot_share)
     if method == "aggregate":
         return _unify_aggregate(feed, policy)
     if method == "window":
@@ -55,37 +62,40 @@ def unify(feed: DataFrame, policy: ColumnPolicy, method: str = "auto", *,
     raise ValueError(f"unknown unify method {method!r}")
 
 
-def hot_keys(feed: DataFrame, keys: list[str], hot_key_rows: int, max_hot_keys: int) -> list | None:
-    """Keys with more than ``hot_key_rows`` rows; None when there are more than
-    ``max_hot_keys`` of them. Reads the key columns only (hash aggregate)."""
-    counts = feed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    # The limit bounds what reaches the driver; it never drops data: past the
-    # bound the caller unifies every key with the aggregate form.
-    rows = counts.filter(F.col("__n") > hot_key_rows).select(*keys).limit(max_hot_keys + 1).collect()
-    return None if len(rows) > max_hot_keys else rows
+def key_hash(keys: list[str]) -> Column:
+    return F.xxhash64(*(F.col(k) for k in keys))
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]):
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
+def key_sketch(feed: DataFrame, keys: list[str]) -> DataFrame:
+    """``sketch, rows``: frequent key hashes of a feed, a few rows; sketches of several loads can be united and kept with them."""
+    hashed = feed.select(key_hash(keys).alias("h"))
+    return (hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("g"))
+            .agg(F.expr(f"approx_top_k_accumulate(h, {TRACKED})").alias("sketch"), F.count(F.lit(1)).alias("rows")).drop("g"))
 
 
-def _unify_split(feed: DataFrame, policy: ColumnPolicy, hot_key_rows: int, max_hot_keys: int) -> DataFrame:
+def hot_hashes(sketches: DataFrame, hot_key_rows: int, max_hot_keys: int, hot_share: float | None = None) -> list[int] | None:
+    """Hashes of keys with more than ``hot_key_rows`` rows (or ``hot_share`` of all); None when there are more than ``max_hot_keys``."""
+    k = min(max_hot_keys + 1, TRACKED)
+    # grouped, so that no sketches give no row
+    united = sketches.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"), F.sum("rows").alias("rows"))
+    row = united.select(F.expr(f"approx_top_k_estimate(sketch, {k})").alias("top"), "rows").first()
+    if row is None:
+        return []
+    least = hot_key_rows if hot_share is None else hot_share * row["rows"]
+    # the limit bounds what reaches the driver; it never drops data: past it the caller unifies every key with the aggregate form
+    hot = [r["item"] for r in row["top"] if r["count"] > least]
+    return None if len(hot) > max_hot_keys else hot
+
+
+def _unify_split(feed: DataFrame, policy: ColumnPolicy, hot_key_rows: int, max_hot_keys: int, hot_share: float | None) -> DataFrame:
     keys = list(policy.keys)
-    hot = hot_keys(feed, keys, hot_key_rows, max_hot_keys)
+    hot = hot_hashes(key_sketch(feed, keys), hot_key_rows, max_hot_keys, hot_share)
     if hot is None:
         return _unify_aggregate(feed, policy)
     if not hot:
         return _unify_window(feed, policy)
-    schema = feed.select(*keys).schema
-    hot_df = F.broadcast(feed.sparkSession.createDataFrame(hot, schema))
-    on = _null_safe_on(feed, hot_df, keys)
-    hot_rows = feed.join(hot_df, on, "left_semi")
-    cold_rows = feed.join(hot_df, on, "left_anti")
-    return _unify_window(cold_rows, policy).unionByName(_unify_aggregate(hot_rows, policy))
+    is_hot = key_hash(keys).isin(hot)
+    return _unify_window(feed.where(~is_hot), policy).unionByName(_unify_aggregate(feed.where(is_hot), policy))
 
 
 # Wide policies (the reference unifies 190 columns) are built as SQL expression

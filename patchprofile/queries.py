@@ -78,8 +78,7 @@ def top1_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("unify_skewed")
 def unify_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-22b on a feed where one user's two keys hold a third of the rows: keys with over a tenth of all rows are split off."""
-    feed = profile_feed(spark, sf_dir, skewed=True)
-    return unify(feed, FEED_POLICY, hot_key_rows=max(1, feed.count() // 10))
+    return unify(profile_feed(spark, sf_dir, skewed=True), FEED_POLICY, hot_share=0.1)
 
 
 @register("unify_wide")
@@ -153,7 +152,8 @@ def _batch_marker(df: DataFrame) -> F.Column:
 @register("merge_clear_marker")
 def merge_clear_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-26/O-34: matched keys whose batch row carried the marker, after the merge."""
-    r = _run(spark, sf_dir)
+    # staged as the loop does, so that the batch is unified once for the merge and for the markers
+    r = _run(spark, sf_dir, staging=work_dir(spark, "clear"))
     marked = r.batch.filter(_batch_marker(r.batch)).select(*_keys())
     upd = r.tagged.filter(F.col(STATE) == UPDATED)
     return upd.join(marked, _keys(), "left_semi").select(*_keys(), "att1", "att2", "att3")

@@ -25,6 +25,7 @@ from patchprofile.session import work_dir
 from patchprofile.sources import delimited as D
 from patchprofile.sources.fixtures import FEED_COLUMNS, FEED_POLICY, orders_feed, profile_feed, wide_load_feed
 from patchprofile.sources.fs import create_text, put_bytes
+from patchprofile.sources.raw import read_clustered, write_clustered
 from patchprofile.streaming.metrics import ProgressLog, observed
 from patchprofile.streaming.unify_merge import feed_stream, start_append_stream, start_unify_merge_stream, write_marker
 
@@ -32,6 +33,7 @@ ARRIVALS = 4           # loads the feed arrives in
 ROWS_PER_FILE = 1_000_000  # a load's files hold at most this many rows
 FILES_PER_TRIGGER = 64     # files a stream takes per trigger; loads may be cut anywhere
 BYTES_PER_TRIGGER = 256 << 20  # or this much
+SLICE_FILES = 4            # files a quarter of the clustered raw table's time is cut into
 ROWS_PER_OBJECT = 1000 # delimited objects hold this many epochs each
 
 
@@ -229,6 +231,17 @@ def slice_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.read()
 
 
+@register("slice_clustered")
+def slice_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-12: the raw table sorted by ingest time; its second quarter of time, for which only that quarter's files and row groups are read."""
+    raw = f"{work_dir(spark, 'clustered')}/raw"
+    write_clustered(profile_feed(spark, sf_dir), raw, "epoch_ts", partitions=4 * SLICE_FILES)
+    table = spark.read.parquet(raw)
+    ends = table.agg(F.min("epoch_ts").alias("lo"), F.max("epoch_ts").alias("hi")).first()
+    bounds = split_bounds(ends["lo"], ends["hi"], 4)
+    return read_clustered(table, "epoch_ts", bounds[1], bounds[2]).select(*FEED_COLUMNS)
+
+
 @register("align_insert")
 def align_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-07: unified rows inserted by name into the raw-shaped staging; missing columns are NULL."""

@@ -46,3 +46,25 @@ def test_late_rows(spark):
     ], "epoch long, ts timestamp_ntz")
     out = late_rows(df, slice_number("epoch", [0, 2, 4]), "ts").select("epoch").collect()
     assert [r[0] for r in out] == [3]
+
+
+def test_a_slice_of_a_clustered_table_reads_its_own_row_groups(spark, sf_small, tmp_path):
+    from patchprofile.sources.fixtures import profile_feed
+    from patchprofile.sources.raw import read_clustered, write_clustered
+
+    feed = profile_feed(spark, sf_small)
+    write_clustered(feed, str(tmp_path / "t"), "epoch_ts", partitions=10)
+
+    def read(path, lo, hi):
+        """(rows of the slice, rows the scan gave out before the filter)"""
+        df = read_clustered(spark.read.parquet(path), "epoch_ts", lo, hi)
+        n = len(df.collect())
+        plan = df._jdf.queryExecution().executedPlan()
+        scans = plan.collectLeaves()
+        return n, sum(scans.apply(i).metrics().apply("numOutputRows").value() for i in range(scans.size()))
+
+    times = sorted(r[0] for r in feed.select("epoch_ts").collect())
+    lo, hi = times[400], times[500]
+    n, rows = read(str(tmp_path / "t"), lo, hi)
+    assert n == sum(lo < t <= hi for t in times) and rows <= 3 * len(times) // 10
+    assert read(str(tmp_path / "t"), None, times[-1]) == (len(times), len(times))

@@ -78,10 +78,20 @@ def test_unknown_rule_rejected():
 
 def test_hot_key_split_on_skewed_feed(spark, sf_small):
     """One key holds a third of the rows: only it goes through the aggregate form."""
-    from patchprofile.operators.unify import hot_keys
+    from patchprofile.operators.unify import hot_hashes, key_hash, key_sketch
     feed = profile_feed(spark, sf_small, skewed=True)
-    hot = hot_keys(feed, ["uid", "utype"], 100, 10)
-    assert hot and all(r["uid"] == 0 for r in hot)
+    keys = ["uid", "utype"]
+    hot = hot_hashes(key_sketch(feed, keys), 100, 10)
+    assert hot and {r["uid"] for r in feed.where(key_hash(keys).isin(hot)).select("uid").distinct().collect()} == {0}
+    assert hot_hashes(key_sketch(feed, keys), 10**6, 10, hot_share=0.1) == hot
+    assert hot_hashes(key_sketch(feed, keys), 1, 10) is None                     # more hot keys than the bound
+    assert hot_hashes(key_sketch(feed.limit(0), keys), 1, 10) == []
+    # sketches of two loads, united, are the sketch of both
+    both = key_sketch(feed.where("epoch % 2 = 0"), keys).unionByName(key_sketch(feed.where("epoch % 2 = 1"), keys))
+    assert sorted(hot_hashes(both, 100, 10)) == sorted(hot)
+    # no key is shuffled to find them: sketches by group of tasks, then one
+    plan = key_sketch(feed, keys)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_approx_top_k_accumulate" in plan
     split = unify(feed, FEED_POLICY, method="auto", hot_key_rows=100)
     assert rows(split) == rows(unify(feed, FEED_POLICY, method="window"))
     plan = split._jdf.queryExecution().executedPlan().toString()
