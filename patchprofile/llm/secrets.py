@@ -2,7 +2,7 @@
 
 DataFrame functions and Spark ML only. Features: length, character classes and the changes
 between them, share of the candidate that usual words of the corpus cover, whether it stands in
-a path or address, and the words beside it.
+a path or address, and the words beside it, hashed into buckets.
 """
 
 from __future__ import annotations
@@ -11,33 +11,35 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patchprofile.llm.common import SPACE, materialize
 
-_NAME = "(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer|key)"
+_NAME = "(?:token|secret|passw(?:or)?d|pwd|credential|key)"
 #: What a credential's name is assigned: a quoted value, or one up to white space or a separator. The short looks back come first: they are cheap.
 _VALUE = (r"(?<=[\s:=>\"'])(?=[^\s\"'=])(?<=[:=>]\s{0,4}[\"']?)(?<=(?i:" + _NAME + r")[\"']?\s{0,4}(?:=>|:=|[:=])\s{0,4}[\"']?)"
-          r"(?:(?<=\")[^\"\r\n]{6,200}(?=\")|(?<=')[^'\r\n]{6,200}(?=')|(?<![\"'])[^\s\"',;&<>]{6,})")
+          r"(?:(?<=\")[^\"\r\n]{6,}+(?=\")|(?<=')[^'\r\n]{6,}+(?=')|(?<![\"'])[^\s\"',;&<>]{6,})")
 #: Such a value of at least six characters, or a run of at least 16 characters that keys and tokens are made of; ``=`` only pads its end.
 CANDIDATE = _VALUE + r"|(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{16,}={0,2}(?![A-Za-z0-9+/_=.-])"
-#: Names that stand before a credential; words that stand beside what only looks like one.
+#: Names that stand before a credential.
 NAMES = r"(?i)" + _NAME + r"[\"']?\s*(?:[:=]|=>|:=)?\s*[\"']?$"
 ASSIGNED = r"[:=]\s*[\"']?$"
-HARMLESS = r"(?i)(?:sha-?\d*|md5|commit|checksum|digest|uuid|example|sample|test|dummy|hash|revision|version|license)\W*$"
-FEATURES = ["length", "digits", "upper", "lower", "marks", "changes", "run", "covered", "path", "named", "assigned", "quoted", "harmless"]
+#: Words that stand before what is published on purpose; they only label, the forest sees hashed words.
+PUBLIC = r"(?i)(?:sha-?\d*|md5|commit|checksum|hash|revision|version)\W*$"
+FEATURES = ["length", "digits", "upper", "lower", "marks", "changes", "run", "covered", "path", "named", "assigned", "quoted", "near"]
 
 
 @dataclass(frozen=True)
 class Config:
     """``words``: usual words of the corpus that make the dictionary; ``findings``: labelled findings of each label the forest is
-    fitted on at most (hash order); ``least``: probability from which a finding is kept."""
+    fitted on at most (hash order); ``near``: buckets of the words beside a candidate; ``least``: probability from which a finding is kept."""
 
     words: int = 400
     findings: int = 5_000
     trees: int = 20
+    near: int = 32
     depth: int = 6
     least: float = 0.5
 
@@ -66,7 +68,17 @@ def _share(pattern: str) -> Column:
     return F.length(F.regexp_replace("candidate", pattern, "")) / F.length("candidate")
 
 
-def with_features(found: DataFrame, words: list[str]) -> DataFrame:
+def near_words(buckets: int) -> Column:
+    """A vector with 1 in the bucket of each of the three words before a candidate and the two behind it (letters only, lower-cased, either side by itself)."""
+    said = lambda side: F.filter(F.split(F.lower(side), "[^a-z]+"), lambda w: w != "")
+    before, after = said("before"), F.slice(said("after"), 1, 2)
+    last = F.slice(F.reverse(before), 1, 3)
+    at = lambda mark: lambda w: F.pmod(F.xxhash64(F.lit(mark), w), F.lit(buckets)).cast("int")
+    met = F.concat(F.transform(last, at("b")), F.transform(after, at("a")))
+    return array_to_vector(F.array(*(F.when(F.array_contains(met, i), 1.0).otherwise(0.0) for i in range(buckets))))
+
+
+def with_features(found: DataFrame, words: list[str], buckets: int = Config.near) -> DataFrame:
     low = F.lower("candidate")
     usual = "|".join(sorted(words, key=lambda w: (-len(w), w)))
     covered = 1 - F.length(F.regexp_replace(low, usual, "")) / F.length("candidate") if words else F.lit(0.0)
@@ -78,19 +90,19 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
         "covered": covered,
         "path": flag(F.col("before").rlike(r"[/\\@?&]$|(?i)https?:\S*$|www\.\S*$") | F.col("candidate").rlike(r"/.*/|\.[a-z]{2,4}$") | F.col("after").rlike(r"^[/\\@]")),
         "named": flag(F.col("before").rlike(NAMES)), "assigned": flag(F.col("before").rlike(ASSIGNED)),
-        "quoted": flag(F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]")), "harmless": flag(F.col("before").rlike(HARMLESS)),
+        "quoted": flag(F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]")), "public": flag(F.col("before").rlike(PUBLIC)), "near": near_words(buckets),
     })
 
 
 def labelled(found: DataFrame) -> DataFrame:
     """Findings with a ``label``, from what can be told for certain: 1 for a value of letters and digits assigned to a credential's name,
-    0 for a run without digits or one that stands beside a harmless word; others have no label, also values without digits but
+    0 for a run without digits or one that stands behind a word for what is public; others have no label, also values without digits but
     with marks that are assigned to a credential's name."""
     c = F.col("candidate")
     mixed = c.rlike("[0-9]") & c.rlike("[A-Za-z]")
     unsure = ~c.rlike("[0-9]") & c.rlike(r"[^A-Za-z\s]") & (F.col("named") == 1) & (F.col("assigned") == 1)
-    label = (F.when(mixed & (F.col("named") == 1) & (F.col("harmless") == 0), 1.0)
-             .when(~unsure & (~c.rlike("[0-9]") | (F.col("harmless") == 1) | ((F.col("path") == 1) & (F.col("named") == 0))), 0.0))
+    label = (F.when(mixed & (F.col("named") == 1) & (F.col("public") == 0), 1.0)
+             .when(~unsure & (~c.rlike("[0-9]") | (F.col("public") == 1) | ((F.col("path") == 1) & (F.col("named") == 0))), 0.0))
     return found.withColumn("label", label).where("label IS NOT NULL")
 
 
@@ -99,7 +111,7 @@ def fit(findings: DataFrame, c: Config = Config()) -> RandomForestClassification
     h = F.xxhash64(F.lit(3), "candidate", "before", "after")
     some = None
     for label in (0.0, 1.0):
-        part = findings.where(F.col("label") == label).select("label", *FEATURES, h.alias("_h")).orderBy("_h", *FEATURES).limit(c.findings)
+        part = findings.where(F.col("label") == label).select("label", *FEATURES, h.alias("_h")).orderBy("_h", *FEATURES[:-1]).limit(c.findings)
         some = part if some is None else some.unionByName(part)
     some = materialize(some.drop("_h"), "secret-sample")
     if some.select("label").distinct().count() < 2:
@@ -123,5 +135,5 @@ def scan(docs: DataFrame, c: Config = Config()) -> DataFrame:
     """Every candidate of every whole text with its score and verdict. The forest learns from the findings that can be told for certain;
     the dictionary counts all documents."""
     words = dictionary(docs, c)
-    found = materialize(with_features(candidates(docs), words), "secret-candidates")
+    found = materialize(with_features(candidates(docs), words, c.near), "secret-candidates")
     return score(found, fit(labelled(found), c), c)

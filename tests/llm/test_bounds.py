@@ -107,3 +107,17 @@ def test_scanner_against_any_mixture():
     for _ in range(400):
         page = "".join(rng.choices([*PARTS, "word ", "</td>", "</table>", "</p>", ">", '"', "</script>", "-->", "<td rowspan=2>", "</select>", "</svg>"], k=rng.randrange(1, 25)))
         html_text.text_of(page)
+
+
+# ---- 9
+
+def test_long_values_are_candidates_and_neighbours_are_hashed(spark):
+    from patchprofile.llm import secrets
+
+    rng = random.Random(7)
+    phrase = " ".join("".join(rng.choices("abcdefghijk", k=5)) for _ in range(60))
+    df = spark.createDataFrame([(1, f'passphrase_secret = "{phrase}" end'), (2, "deploy commit 4d44c7d0a9b1e8f2c3d4 to main"), (3, "deploy commit aaaac7d0a9b1e8f2c3d4 to main")], "doc_id long, text string")
+    found = {r.doc_id: r.candidate for r in secrets.candidates(df).collect()}
+    assert found[1] == phrase and len(phrase) > 300
+    near = {r.doc_id: r.near.toArray().tolist() for r in secrets.with_features(secrets.candidates(df), []).collect()}
+    assert near[2] == near[3] != near[1] and 0 < sum(near[2]) <= 5
