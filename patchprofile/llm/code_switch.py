@@ -66,7 +66,7 @@ class Model:
     span: int
     known: dict[str, int] = field(default_factory=dict)
     rows: list[np.ndarray] = field(default_factory=list)
-    limit: int = 400_000
+    limit: int = 200_000
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """exp of the words' scores, scaled to a largest of 1."""

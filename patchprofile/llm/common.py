@@ -52,7 +52,7 @@ def held_out(doc_id: Column) -> Column:
 class WordHash(dict):
     """word (bytes) -> 64-bit hash, kept while the worker lives, within a bounded size."""
 
-    LIMIT = 1_000_000
+    LIMIT = 250_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

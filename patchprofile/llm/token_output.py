@@ -39,7 +39,7 @@ class Encoder:
     Equal to encoding the whole text (tested).
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 120_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

@@ -156,7 +156,7 @@ class Model:
     offset: float = 0.0
     known: dict[str, float] = field(default_factory=dict)
     old: dict[str, float] = field(default_factory=dict)
-    limit: int = 150_000
+    limit: int = 100_000
 
     def learn(self, words: set[str]) -> None:
         if len(self.known) > self.limit:
@@ -348,5 +348,6 @@ def reject(docs: DataFrame, labels: DataFrame, c: Config = Config()) -> DataFram
                 b = big.slice(at, 256)
                 p = m.scores([x or "" for x in b.column("text").to_pylist()])
                 yield b.filter(pa.array([x < 0.5 for x in p]))
+        m.forget()  # the worker lives on and serves other stages
 
     return docs.mapInArrow(run, docs.schema)
