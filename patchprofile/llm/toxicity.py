@@ -169,12 +169,15 @@ class Model:
                 else:
                     new.append(w)
         for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            spelt = [pieces(normal(w)) for w in some]
-            flat = sorted({p for s in spelt for p in s if len(p) >= 3})
+            # words of one form (marks around them, look-alike digits) have one margin
+            forms = {w: normal(w) for w in new[at : at + 20_000]}
+            spelt = {f: pieces(f) for f in set(forms.values()) if f not in self.known}
+            flat = sorted({p for s in spelt.values() for p in s if len(p) >= 3})
             margin = dict(zip(flat, (self.marks.kernel(flat) @ self.weights + self.bias).tolist()))
-            for w, s in zip(some, spelt):
-                self.known[w] = max((margin.get(p, self.bias) for p in s), default=self.bias)
+            for f, s in spelt.items():
+                self.known[f] = max((margin.get(p, self.bias) for p in s), default=self.bias)
+            for w, f in forms.items():
+                self.known[w] = self.known[f]
 
     def margins(self, texts: list[str]) -> list[float]:
         """A sentence's margin is its worst word's and a text's its worst sentence's: the worst word's of the text."""
