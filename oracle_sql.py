@@ -3,17 +3,54 @@
 The oracle is written independently of the Spark code: unify uses window
 functions with IGNORE NULLS and QUALIFY (the form of the reference's SQL),
 merge is a full outer join with CASE/coalesce, and multi-batch runs use a
-closed form of "apply the batches in order". Feed definitions mirror
-``patchprofile/sources/fixtures.py``.
+closed form of "apply the batches in order". Feed definitions and column rules are stated
+here a second time, not imported.
 """
 
 from __future__ import annotations
 
-from patchprofile.policy import INSERT_ONLY, NEWEST, OLDEST, ROW, ColumnPolicy
-from patchprofile.sources.fixtures import FEED_POLICY, WIDE_COLUMNS, wide_load_policy, wide_policy
+from dataclasses import dataclass, field
 
 MARK = "-11111"
 
+# The rules that the queries' policies are checked against, stated here once more.
+NEWEST, OLDEST, ROW, INSERT_ONLY, NOT_MERGED = "newest", "oldest", "row", "insert only", "not merged"
+WIDE_COLUMNS, LOADED_COLUMNS = 190, 189
+
+
+@dataclass
+class Rules:
+    unify_rules: dict[str, str]
+    merge_rules: dict[str, str] = field(default_factory=dict)
+    keys: tuple[str, ...] = ("uid", "utype")
+    order_by: str = "createddate"
+    tie_break: tuple[str, ...] = ("epoch",)
+    nulls_first: bool = True
+
+    def unified_columns(self) -> list[str]:
+        return [*self.keys, *self.unify_rules]
+
+    def merge_rule(self, col: str) -> str:
+        return self.merge_rules.get(col, "patch")
+
+    def profile_columns(self) -> list[str]:
+        return [c for c in self.unified_columns() if self.merge_rule(c) != NOT_MERGED]
+
+
+FEED_POLICY = Rules({"cid": ROW, "att1": NEWEST, "att2": NEWEST, "att3": NEWEST, "ad": OLDEST, "createddate": ROW}, {"ad": INSERT_ONLY, "createddate": NOT_MERGED})
+
+
+def wide_policy() -> Rules:
+    return Rules({"cid": ROW, **{f"att{j}": NEWEST for j in range(WIDE_COLUMNS)}, "createddate": ROW}, {"createddate": NOT_MERGED})
+
+
+def wide_load_policy() -> Rules:
+    """All but the last two of the loaded attributes keep their newest value; those two their oldest, and are never updated."""
+    last = (f"att{LOADED_COLUMNS - 2}", f"att{LOADED_COLUMNS - 1}")
+    rules = {f"att{j}": NEWEST for j in range(LOADED_COLUMNS)} | dict.fromkeys(last, OLDEST)
+    return Rules({"cid": ROW, **rules, "createddate": ROW}, dict.fromkeys(last, INSERT_ONLY))
+
+
 # ---------------------------------------------------------------- feeds -----
 
 def _utype(marker_key: bool = False) -> str:
@@ -91,7 +128,7 @@ FROM events"""
 
 # ---------------------------------------------------------------- unify -----
 
-def _order(policy: ColumnPolicy, reverse: bool = False) -> str:
+def _order(policy: Rules, reverse: bool = False) -> str:
     """ORDER BY text of the event order, newest first (or oldest first)."""
     if not reverse:
         nulls = "NULLS FIRST" if policy.nulls_first else "NULLS LAST"
@@ -102,7 +139,7 @@ def _order(policy: ColumnPolicy, reverse: bool = False) -> str:
     return ", ".join(parts)
 
 
-def unify_sql(src: str, policy: ColumnPolicy) -> str:
+def unify_sql(src: str, policy: Rules) -> str:
     """Window form with a full frame and a top-1 filter, as the reference writes it."""
     keys = ", ".join(policy.keys)
     w = f"PARTITION BY {keys} ORDER BY {_order(policy)}"
@@ -120,7 +157,7 @@ def unify_sql(src: str, policy: ColumnPolicy) -> str:
             f"QUALIFY row_number() OVER ({w}) = 1")
 
 
-def top1_sql(src: str, policy: ColumnPolicy, cols: list[str]) -> str:
+def top1_sql(src: str, policy: Rules, cols: list[str]) -> str:
     keys = ", ".join(policy.keys)
     return (f"SELECT {', '.join(cols)} FROM {src} "
             f"QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {_order(policy)}) = 1")
@@ -140,7 +177,7 @@ def _is_marker(expr: str, kind: str) -> str:
     return "false"
 
 
-def merge_sql(target: str, batch: str, policy: ColumnPolicy, types: dict[str, str] | None = None,
+def merge_sql(target: str, batch: str, policy: Rules, types: dict[str, str] | None = None,
               clear_on_insert: bool = False, null_marker_keys: bool = False,
               with_state: bool = False) -> str:
     types = types or _TYPES
@@ -177,7 +214,7 @@ def merge_sql(target: str, batch: str, policy: ColumnPolicy, types: dict[str, st
 
 # ------------------------------------------------------- two-slice runs -----
 
-def two_slices(feed_sql: str, policy: ColumnPolicy = FEED_POLICY) -> str:
+def two_slices(feed_sql: str, policy: Rules = FEED_POLICY) -> str:
     """CTEs: feed, hw (high-water mark and midpoint), s1 = (-1, mid], s2 = (mid, hi],
     u1/u2 = unified slices."""
     return f"""
@@ -189,7 +226,7 @@ u1 AS ({unify_sql('s1', policy)}),
 u2 AS ({unify_sql('s2', policy)})"""
 
 
-def profile_cols(policy: ColumnPolicy = FEED_POLICY) -> str:
+def profile_cols(policy: Rules = FEED_POLICY) -> str:
     return ", ".join(policy.profile_columns())
 
 
@@ -201,7 +238,7 @@ SELECT {profile_cols()} FROM m"""
 
 # --------------------------------------------------- multi-batch replay -----
 
-def replay_sql(src: str, policy: ColumnPolicy, batch_expr: str, types: dict[str, str] | None = None) -> str:
+def replay_sql(src: str, policy: Rules, batch_expr: str, types: dict[str, str] | None = None) -> str:
     """Profile after applying every batch of ``src`` in batch order, in closed form.
 
     For a patch column the last batch holding a non-null value decides: its
@@ -306,7 +343,7 @@ def oracles() -> dict[str, str]:
     wide = wide_load_policy()
     o["wide_unify_merge"] = (f"WITH {two_slices(wide_load_sql(), wide)}, m AS ({merge_sql('u1', 'u2', wide, {'createddate': 'other'})}) "
                              f"SELECT {profile_cols(wide)} FROM m")
-    narrow = ColumnPolicy(keys=("uid", "utype"), order_by="createddate", tie_break=("epoch",), unify_rules={"tiny": NEWEST, "dec": NEWEST})
+    narrow = Rules({"tiny": NEWEST, "dec": NEWEST})
     o["merge_narrow_types"] = (f"WITH {two_slices(narrow_feed_sql(), narrow)}, m AS ({merge_sql('u1', 'u2', narrow, {'tiny': 'other', 'dec': 'other'})}) "
                                f"SELECT uid, utype, tiny, CAST(dec AS DOUBLE) AS dec FROM m")
     o["merge_match"] = f"WITH {two_slices(feed)} SELECT {_KEYS} FROM u2 WHERE EXISTS " \
@@ -331,6 +368,7 @@ def oracles() -> dict[str, str]:
 FROM m""")
     o["out_of_order_batches"] = _with_run(orders_feed_sql(), f"SELECT {pcols} FROM m")
 
+    o["high_water_footer"] = f"WITH feed AS ({feed}) SELECT max(epoch) AS high_water FROM feed"
     o["slice_clustered"] = slice_timestamp_sql().replace("SELECT uid, utype", "SELECT * EXCLUDE (slice_no) FROM (SELECT uid, utype", 1) + ") WHERE slice_no = 2"
     o["high_water_epoch"] = f"WITH feed AS ({feed}) SELECT coalesce(max(epoch), 0) AS high_water FROM feed"
     o["high_water_ts"] = f"WITH feed AS ({feed}) SELECT max(epoch_ts) AS high_water FROM feed"

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patchprofile.operators.align import align_to
-from patchprofile.operators.slices import high_water, late_rows, slice_number, slice_range, split_bounds
+from patchprofile.operators.slices import footer_mark, high_water, late_rows, slice_number, slice_range, split_bounds
 from patchprofile.operators.unify import unify
 from patchprofile.plans.metrics import StepLog, read_log, summarize
 from patchprofile.plans.pipeline import AppendJob, UnifyMergeJob
@@ -222,6 +222,15 @@ def late_rows_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late_rows(feed, arrival, "epoch_ts").select("epoch", "epoch_ts", "arrival_no", "mark_at_arrival")
 
 
+@register("high_water_footer")
+def high_water_footer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-16: the mark of the stored raw table from its Parquet footers; no data page is read."""
+    feed = profile_feed(spark, sf_dir)
+    raw = f"{work_dir(spark, 'footer')}/raw"
+    _write_arrivals(spark, feed, raw, range(ARRIVALS), arrival_bounds(feed))
+    return spark.createDataFrame([(footer_mark(spark, raw, "epoch"),)], "high_water bigint")
+
+
 @register("slice_append")
 def slice_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-06/O-09/O-10: first run of the append mode: everything up to the mark, 10 named columns."""
