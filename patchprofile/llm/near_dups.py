@@ -31,7 +31,8 @@ from patchprofile.llm.components import components
 class Config:
     """``percent``: link when 100 * shared >= percent * united. With 32 bands of 5 rows a pair at
     0.8 meets in no band with probability 3e-6. ``slack`` is five standard errors of the
-    sketch's estimate. ``block`` bounds the shingles in one side of a block comparison."""
+    sketch's estimate. ``block`` bounds the shingles in one side of a block comparison. ``broadcast_rows``: up to so many
+    texts to be read again are named to every task (some 64 bytes each); beyond, the texts are shuffled to be joined with their names."""
 
     words: int = 4
     percent: int = 80
@@ -40,6 +41,7 @@ class Config:
     bits: int = 1024
     slack: float = 0.17
     block: int = 200_000
+    broadcast_rows: int = 1_000_000
 
 
 def shingle_set(text: bytes, words: int) -> np.ndarray:
@@ -118,7 +120,7 @@ def signatures(docs: DataFrame, c: Config, keyed: bool = False) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, c: Config) -> DataFrame:
-    """``node, set`` for the nodes of ``wanted`` (``node, rep``), made again from the texts of their representatives (``rep``: a ``doc_id``, or a ``row_key``)."""
+    """``node, set`` for the nodes of ``wanted`` (``node, rep``; a written table), made again from the texts of their representatives (``rep``: a ``doc_id``, or a ``row_key``)."""
     schema = "node binary, want binary, set array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,6 +134,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, c: Config) -> DataFrame:
     rep = row_key(docs) if dict(wanted.dtypes)["rep"] == "binary" else F.col("doc_id").cast("long")
     rows = docs.select(rep.alias("rep"), F.col("text").cast("binary").alias("text"))
     want = wanted.select(F.col("node").alias("want"), F.col("rep").alias("_rep"))
+    if wanted.count() <= c.broadcast_rows:
+        want = F.broadcast(want)
     got = rows.join(want, F.col("rep").eqNullSafe(F.col("_rep"))).select("text", "want").mapInArrow(run, schema)
     return got.where("node = want").select("node", "set")
 
