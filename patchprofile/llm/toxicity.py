@@ -54,9 +54,11 @@ class Config:
 def normal(word: str) -> str:
     """A word as the kernel sees it: lower case, look-alike digits as letters, letters only."""
     low = word.lower()
-    if low.isascii() and low.isalpha():
+    if low.isalpha():
         return low
     low = "".join(low.split()).strip(".,;:!?'\"()[]")
+    if low.isalpha():
+        return low
     if any(c.isdigit() or c in "@$" for c in low) and any(c.isalpha() for c in low):
         low = low.translate(_LETTERS)
     return _PLAIN.sub("", low) if low.isascii() else "".join(c for c in low if c.isalpha())
@@ -73,7 +75,13 @@ def words_of(text: str) -> list[str]:
     for c in _PARTS:
         if c in low:
             low = low.replace(c, " ")
-    return low.split() + [m[0].replace(" ", "") for m in _SPACED.finditer(low)]
+    return low.split() + ([m[0].replace(" ", "") for m in _SPACED.finditer(low)] if _may_be_spaced(low) else [])
+
+
+def _may_be_spaced(text: str) -> bool:
+    """Whether three spaces stand two characters apart somewhere, as they do among letters set apart by single spaces."""
+    space = np.frombuffer(text.encode("latin-1", "replace"), np.uint8) == 32  # one byte a character
+    return bool((space[:-4] & space[2:-2] & space[4:]).any())
 
 
 def sentences(text: str) -> list[list[str]]:
@@ -86,7 +94,7 @@ _SYMBOLS = 32
 
 
 def _codes(words: list[str], n: int) -> np.ndarray:
-    c = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), n).astype(np.int64)
+    c = np.frombuffer("".join(words).encode("utf-32-le"), np.int32).reshape(len(words), n)
     return np.where((c >= 97) & (c <= 122), c - 97, 26 + c % 5)
 
 
@@ -133,9 +141,11 @@ class Landmarks:
                 if not len(row):
                     continue
                 first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-                top = np.add.reduceat(self.table[ids[row, col]] * weight[col, None], first, axis=0)
+                met = self.table.take(ids[row, col], axis=0)
+                met *= weight.take(col)[:, None]
+                top = np.add.reduceat(met, first, axis=0)
                 hit = row[first]
-                ids = ids[hit]
+                ids = ids[hit].astype(np.int64)
                 order = np.argsort(ids, axis=1)
                 key = (np.take_along_axis(ids, order, 1) + np.arange(len(hit))[:, None] * _SYMBOLS**3).ravel()
                 cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
@@ -162,29 +172,29 @@ class Model:
         if len(self.known) > self.limit:
             self.known, self.old = {}, self.known
         new = []
-        for w in words:
-            if w not in self.known:
-                if w in self.old:
-                    self.known[w] = self.old[w]
-                else:
-                    new.append(w)
+        for w in words.difference(self.known):
+            if (m := self.old.get(w)) is not None:
+                self.known[w] = m
+            else:
+                new.append(w)
         for at in range(0, len(new), 20_000):
             # words of one form (marks around them, look-alike digits) have one margin
             forms = {w: normal(w) for w in new[at : at + 20_000]}
-            spelt = {f: pieces(f) for f in set(forms.values()) if f not in self.known}
-            flat = sorted({p for s in spelt.values() for p in s if len(p) >= 3})
+            fresh = set(forms.values()).difference(self.known)
+            spelt = {f: pieces(f) for f in fresh if len(f) > LONGEST}
+            flat = sorted({f for f in fresh if 3 <= len(f) <= LONGEST}.union(*spelt.values()))
             margin = dict(zip(flat, (self.marks.kernel(flat) @ self.weights + self.bias).tolist()))
-            for f, s in spelt.items():
-                self.known[f] = max((margin.get(p, self.bias) for p in s), default=self.bias)
-            for w, f in forms.items():
-                self.known[w] = self.known[f]
+            self.known.update(margin)
+            self.known.update({f: max(map(margin.__getitem__, spelt[f])) if f in spelt else self.bias for f in fresh.difference(margin)})
+            get = self.known.__getitem__
+            self.known.update({w: get(f) for w, f in forms.items()})
 
     def margins(self, texts: list[str]) -> list[float]:
         """A sentence's margin is its worst word's and a text's its worst sentence's: the worst word's of the text."""
         out = []
         for at in range(0, len(texts), 256):
-            split = [words_of(t) for t in texts[at : at + 256]]
-            self.learn({w for s in split for w in s})
+            split = [set(words_of(t)) for t in texts[at : at + 256]]
+            self.learn(set().union(*split))
             get = self.known.__getitem__
             out += [max(map(get, s), default=self.bias) for s in split]
         return out

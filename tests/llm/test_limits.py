@@ -1,12 +1,14 @@
 """What a task holds and hands on at once stays bounded."""
 
 import random
+import re
 import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
-from patchprofile.llm import divergence, queries
+from patchprofile.llm import divergence, queries, toxicity
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -37,3 +39,49 @@ def test_terms_handed_on_in_slices_are_all_there(spark):
     assert divergence.shards(docs, c).count() == 2_000
     kept = divergence.term_counts(docs, c).collect()
     assert len(kept) == 2_000 and all((r.n, r.total, r.first) == (30, 30, True) for r in kept)
+
+
+# ---- 7
+
+def test_only_texts_that_may_hold_spaced_letters_are_searched_for_them(monkeypatch):
+    plain = toxicity._SPACED
+    searched = []
+
+    class Counted:
+        def finditer(self, text):
+            searched.append(text)
+            return plain.finditer(text)
+
+    monkeypatch.setattr(toxicity, "_SPACED", Counted())
+    rng = random.Random(7)
+    odd = ["", " ", "a b c d", "a b c", "i d i o t", "é ü ß 字", "\U0001f600 x y z", "a  b c d e", "x\ty z w v", "İ a b c d"]
+    odd += ["".join(rng.choices("ab  é字.,\n\U0001f600", k=rng.randint(0, 30))) for _ in range(3_000)]
+    for t in odd:
+        low = re.sub(r"[,;:()\"/|]", " ", t.lower())
+        assert toxicity.words_of(t) == low.split() + [m[0].replace(" ", "") for m in plain.finditer(low)]
+    searched.clear()
+    assert toxicity.words_of("an ordinary text, as most are: no letter of it stands alone") and not searched
+
+
+def test_short_words_are_not_cut_and_all_spellings_keep_their_margins(monkeypatch):
+    model = toxicity.Model(toxicity.Landmarks(["idiot", "fool", "garden"], 0.7), np.array([1.0, 0.5, -0.25]), -0.1)
+    words = ["idiot", "Idiot!", "1d10t", "i.d.i.o.t", "fool", "ab", "", "...", "été", "x²y", "gardener", "idiot" * 9, "字" * 40, "[fool]", "f-o-o-l"]
+    want = {}
+    for w in words:
+        parts = [p for p in toxicity.pieces(toxicity.normal(w)) if len(p) >= 3]
+        want[w] = max((float(model.marks.kernel([p])[0] @ model.weights + model.bias) for p in parts), default=model.bias)
+    cut = []
+    whole = toxicity.pieces
+    monkeypatch.setattr(toxicity, "pieces", lambda w: cut.append(w) or whole(w))
+    model.learn(set(words))
+    assert {w: pytest.approx(model.known[w]) for w in words} == want
+    assert sorted(cut) == sorted(["idiot" * 9, "字" * 40])
+    model.limit = 1
+    for _ in range(3):
+        model.learn(set(words))  # a word met again comes from the older generation
+        assert {w: pytest.approx(model.known[w]) for w in words} == want
+
+
+def test_the_form_of_a_word_is_as_it_was():
+    for w, form in {"Fool": "fool", "fool!": "fool", "[ÉTÉ]": "été", "1d10t": "idiot", "x²y": "xy", "字.": "字", "a1": "ai", "12": "", "don't": "dont", "İx": "i̇x".replace("\u0307", "")}.items():
+        assert toxicity.normal(w) == form
