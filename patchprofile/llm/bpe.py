@@ -20,7 +20,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patchprofile.llm.common import by_bytes, ids_by_piece
+from patchprofile.llm.common import by_bytes, id_lists, ids_by_piece
 
 
 class Merges:
@@ -173,8 +173,9 @@ class Codec:
                 out[hard[i]] += self._piece(piece)
         return out
 
-    def look_up(self, words: list[str]) -> list[bytes]:
+    def look_up(self, found: pa.StringArray) -> pa.ListArray:
         """Ids of different words; those met for the first time are learned."""
+        words = found.to_numpy(zero_copy_only=False).tolist()
         if len(self.words) > self.limit:
             self.words, self.old_words = {}, self.words
         young, old = self.words, self.old_words
@@ -189,7 +190,7 @@ class Codec:
                     new.append(w)
         if new:
             young.update(zip(new, self.learn(new)))
-        return [odd[w] if w in odd else young[w] for w in words] if odd else [young[w] for w in words]
+        return id_lists([odd[w] if w in odd else young[w] for w in words] if odd else [young[w] for w in words])
 
     def encode(self, texts: pa.Array) -> pa.ListArray:
         """Ids of each text. Any cut at white space is as good as another, so texts are cut at spaces and line feeds only."""

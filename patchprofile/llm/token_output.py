@@ -7,7 +7,8 @@ is used, so files go to any shared store, are committed atomically and carry pag
 
 from __future__ import annotations
 
-import re
+import codecs
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -18,7 +19,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchprofile.llm.common import by_bytes, ids_by_piece, shuffle_partitions, with_offsets
+from patchprofile.llm.common import by_bytes, id_lists, ids_by_piece, shuffle_partitions, with_offsets
 
 END_ID = 2
 META = ["doc_id", "n_tokens", "start"]
@@ -35,7 +36,7 @@ class Encoder:
 
     A byte-level tokenizer never joins across a single space or line feed that stands between two other characters, so texts are
     cut before these, every different piece of a batch is encoded once, and pieces are kept within twice ``limit``. Nor does it join
-    a letter and the punctuation mark behind it. Texts with white space beside white space or at an end go to the tokenizer whole.
+    a letter and the mark behind it, so marks behind letters are cut off too. Texts with white space beside white space or at an end go to the tokenizer whole.
     Equal to encoding the whole text (tested).
     """
 
@@ -51,43 +52,66 @@ class Encoder:
         # two generations: what is met again moves to the young one
         self.kept: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
         # the byte-level alphabet, as the library's own pre-tokenizer spells each byte
         cut = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.spell = {i: cut.pre_tokenize_str(chr(i))[0][0] for i in range(128)}
-        self.spell |= {x: cut.pre_tokenize_str(c)[0][0][k] for c in _two_byte() for k, x in enumerate(c.encode())}
-        self.lead = {" ": (self.spell[32], b""), "\n": ("", self.whole("\n"))}
+        spell = {i: cut.pre_tokenize_str(chr(i))[0][0] for i in range(128)}
+        spell |= {x: cut.pre_tokenize_str(c)[0][0][k] for c in _two_byte() for k, x in enumerate(c.encode())}
+        self.spell = "".join(spell.get(x, _LONGER) for x in range(256))
+        self.lead = {" ": (self.spell[32], b""), "\n": ("", self.whole("\n")), "": ("", b"")}
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def piece(self, p: str) -> bytes:
-        """Ids of a piece that begins with its space or line feed, or with neither at a text's start. A run of letters is one unit of the
-        pre-tokenizer and goes to the library's model directly, the marks behind it by themselves."""
-        m = _LETTERS.fullmatch(p)
-        if m is None or not (p.isascii() or max(p) <= "\u07ff"):  # the spelling covers the lead bytes of two-byte characters
+    def unit(self, p: str) -> bytes:
+        """Ids of a piece. Letters behind a space or line feed, or behind neither at a text's start, are one unit of the pre-tokenizer, which
+        goes to the library's model directly."""
+        lead = p[:1]
+        if lead in self.lead:
+            word = p[1:]
+        else:
+            lead, word = "", p
+        if not word.isalpha():
             return self.whole(p)
-        lead, run, tail = m.groups()
-        before, first = self.lead[lead] if lead else ("", b"")
-        spelt = run if p.isascii() else run.encode().decode("latin-1").translate(self.spell)
-        ids = first + array("I", [x.id for x in self.model.tokenize(before + spelt)]).tobytes()
-        if not tail:
-            return ids
-        if tail not in self.marks:
-            self.marks[tail] = self.whole(tail)
-        return ids + self.marks[tail]
-
-    def look_up(self, pieces: list[str]) -> list[bytes]:
+        if not word.isascii():
+            word = codecs.charmap_decode(word.encode(), "strict", self.spell)[0]
+            if _LONGER in word:  # the spelling covers characters of two bytes
+                return self.whole(p)
+        before, first = self.lead[lead]
+        return first + array("I", [x.id for x in self.model.tokenize(before + word)]).tobytes()
+
+    def look_up(self, found: pa.StringArray) -> pa.ListArray:
         if len(self.kept) > self.limit:
             self.kept, self.old = {}, self.kept
-        young, old, long = self.kept, self.old, {}
-        for p in pieces:
-            if p not in young:
-                if p in old:
-                    young[p] = old[p]
-                else:
-                    (young if len(p) <= _KEPT else long)[p] = self.piece(p)
-        return [long[p] if p in long else young[p] for p in pieces] if long else [young[p] for p in pieces]
+        pieces = found.to_numpy(zero_copy_only=False).tolist()
+        young, old = self.kept, self.old
+        out = list(map(young.get, pieces))
+        for i, ids in enumerate(out):
+            if ids is None:
+                p = pieces[i]
+                ids = old.get(p)
+                if ids is None:
+                    ids = self.unit(p)
+                if len(p) <= _KEPT:
+                    young[p] = ids
+                out[i] = ids
+        return id_lists(out)
+
+    def units(self, pieces: pa.StringArray) -> pa.ListArray:
+        """Ids of pieces. Up to four marks behind letters are a unit by themselves: letters and marks are looked up apart."""
+        pc = pa.compute
+        core = pc.ascii_rtrim(pieces, _MARKS)
+        n = pc.subtract(pc.binary_length(pieces), pc.binary_length(core))
+        two = pc.and_(pc.and_(pc.greater(n, 0), pc.less_equal(n, 4)), pc.utf8_is_alpha(pc.ascii_ltrim(core, " \n")))
+        marked = pieces.filter(two).to_numpy(zero_copy_only=False).tolist()
+        marks = pa.array([p[-k:] for p, k in zip(marked, n.filter(two).to_pylist())], pa.string())
+        # a piece's letters, then its marks
+        at = two.to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(1 + at)])
+        order = np.empty(ends[-1], np.int64)
+        order[ends[:-1]] = np.arange(len(at))
+        order[ends[1:][at] - 1] = len(at) + np.arange(len(marks))
+        both = pa.concat_arrays([pc.if_else(two, core, pieces), marks]).take(pa.array(order))
+        return ids_by_piece(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), both), self.look_up)
 
     def many(self, texts: pa.Array) -> pa.ListArray:
         """Ids of each text (none is null)."""
@@ -96,7 +120,7 @@ class Encoder:
         odd = pc.match_substring_regex(texts, _ODD)
         # what is not cut must not be split either
         safe = pc.if_else(odd, "", cut)
-        lists = ids_by_piece(pc.split_pattern(safe, _CUT), self.look_up)
+        lists = ids_by_piece(pc.split_pattern(safe, _CUT), self.units)
         if not pc.any(odd).as_py():
             return lists
         whole = [self.whole(t) for t in texts.filter(odd).to_pylist()]
@@ -114,8 +138,10 @@ class Encoder:
         return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(every[take]))
 
 
-#: A piece of letters, perhaps before punctuation marks.
-_LETTERS = re.compile(r"([ \n]?)([^\W\d_]+)([.,;:!?]{0,4})")
+#: ASCII marks, which the pre-tokenizer parts from letters before them (an apostrophe may belong to letters behind it).
+_MARKS = string.punctuation.replace("'", "")
+#: Stands for bytes of longer characters in a spelling.
+_LONGER = "\x00"
 #: Characters of the longest piece that is kept.
 _KEPT = 64
 #: Bytes of text encoded at once.
@@ -204,7 +230,7 @@ def checksums(tokens: DataFrame) -> DataFrame:
         for b in batches:
             lists = b.column("tokens")
             flat, ends = lists.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False), lists.offsets.to_numpy()
-            crc = [zlib.crc32(flat[i:j].tobytes()) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            crc = [zlib.crc32(flat[i:j]) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("start"), b.column("n_tokens"), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return tokens.select("doc_id", "start", "n_tokens", "tokens").mapInArrow(run, schema)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from patchprofile.llm import divergence, queries, toxicity
+from patchprofile.llm import divergence, queries, token_output, toxicity
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -85,3 +85,26 @@ def test_short_words_are_not_cut_and_all_spellings_keep_their_margins(monkeypatc
 def test_the_form_of_a_word_is_as_it_was():
     for w, form in {"Fool": "fool", "fool!": "fool", "[ÉTÉ]": "été", "1d10t": "idiot", "x²y": "xy", "字.": "字", "a1": "ai", "12": "", "don't": "dont", "İx": "i̇x".replace("\u0307", "")}.items():
         assert toxicity.normal(w) == form
+
+
+# ---- 1
+
+def test_marks_behind_letters_cost_no_encoding_of_the_letters_again(monkeypatch):
+    e = token_output.Encoder(queries.tokenizer_path())
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdeéßдא字ª²½ǅʰ", k=rng.randint(1, 9))) for _ in range(300)]
+    marks = ["", ".", ",", "***", "&&&", "%%%%", "%%%%%", "'s", "!'s", "-x", "_", "__", "'", "<|endoftext|>", "9", "²", "…"]
+    texts = [" ".join(rng.choice(words) + rng.choice(marks) for _ in range(40)).replace(" a", "\na") for _ in range(120)]
+    texts += ["", ".", "a", "a.", "x²", "x² y½.", "<|endoftext|>", "a <|endoftext|>.", "\x00a b\x00", "don't, I'll. we've"]
+    want = [np.frombuffer(e.whole(t), np.uint32).tolist() for t in texts]
+    assert e.many(pa.array(texts)).to_pylist() == want
+    e.limit = 50
+    for _ in range(2):
+        assert [x for t in texts for x in e.many(pa.array([t])).to_pylist()] == want
+    # one unit of letters, however it is marked
+    e = token_output.Encoder(queries.tokenizer_path())
+    seen = []
+    unit = e.unit
+    monkeypatch.setattr(e, "unit", lambda p: seen.append(p) or unit(p))
+    e.many(pa.array([" ".join("x letters" + m for m in ("", ".", ",", "!!", "&&&", "***", "%%", ":"))]))
+    assert [p for p in seen if "letters" in p] == [" letters"]
