@@ -433,7 +433,7 @@ def _ingest_run(spark: SparkSession, sf_dir: str) -> D.LoadResult:
     """The feed as delimited objects, a manifest that also names a missing one, and the load."""
     base = work_dir(spark, "ingest")
     objects = f"{base}/objects"
-    dirty_objects(profile_feed(spark, sf_dir)).repartition("object").write.partitionBy("object").text(objects)
+    D.write_lines(dirty_objects(profile_feed(spark, sf_dir)), objects, "object", len(LOAD_COLUMNS))
     gone = spark.range(1).select(F.lit(f"{objects}/object=missing/part-none.txt").alias("name"))
     D.write_manifest(D.scan_objects(spark, objects).select("name").union(gone), f"{base}/manifest")
     return D.ingest(spark, f"{base}/manifest", objects, LOAD_SCHEMA)
@@ -482,7 +482,7 @@ def ingest_bad_object(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-03/O-05: a damaged archive and an empty object among the feed's: both are reported, the rest loads."""
     base = work_dir(spark, "ingest-bad")
     objects = f"{base}/objects"
-    dirty_objects(profile_feed(spark, sf_dir)).repartition("object").write.partitionBy("object").text(objects)
+    D.write_lines(dirty_objects(profile_feed(spark, sf_dir)), objects, "object", len(LOAD_COLUMNS))
     create_text(spark, f"{objects}/object=900000001/part-0.txt.gz", "this is no archive")
     create_text(spark, f"{objects}/object=900000002/part-0.txt", "")
     res = D.load_delimited(spark, D.scan_objects(spark, objects), objects, LOAD_SCHEMA, skip_unreadable=True)
@@ -498,7 +498,7 @@ def ingest_truncated_object(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "ingest-cut")
     objects = f"{base}/objects"
     lines = dirty_objects(profile_feed(spark, sf_dir))
-    lines.repartition("object").write.partitionBy("object").text(objects)
+    D.write_lines(lines, objects, "object", len(LOAD_COLUMNS))
     lines.where("object = 0").select("value").coalesce(1).write.option("compression", "gzip").text(f"{base}/gz")
     whole = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(f"{base}/gz").first()["content"]  # one object of 1,000 lines
     put_bytes(spark, f"{objects}/object={WHOLE_GZ}/part-0.txt.gz", whole)
@@ -517,7 +517,7 @@ def copy_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     base = work_dir(spark, "copy-metrics")
     objects = f"{base}/objects"
-    dirty_objects(profile_feed(spark, sf_dir)).repartition("object").write.partitionBy("object").text(objects)
+    D.write_lines(dirty_objects(profile_feed(spark, sf_dir)), objects, "object", len(LOAD_COLUMNS))
     user = F.regexp_extract("value", r"^(\d+),", 1).cast("long")
     clock = (_object_no(D.FILE) * 7 + user % (_object_no(D.FILE) % 12 + 1)).cast("double")
     load = D.load_delimited(spark, D.scan_objects(spark, objects), objects, LOAD_SCHEMA, clock=clock).stored(f"{base}/lines")
@@ -561,7 +561,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = work_dir(spark, "stream-ingest")
     objects = f"{base}/objects"
-    dirty_objects(profile_feed(spark, sf_dir)).repartition("object").write.partitionBy("object").text(objects)
+    D.write_lines(dirty_objects(profile_feed(spark, sf_dir)), objects, "object", len(LOAD_COLUMNS))
     q = start_ingest_stream(spark, objects, LOAD_SCHEMA, f"{base}/raw", f"{base}/rejects", f"{base}/ckpt",
                             max_files_per_trigger=FILES_PER_TRIGGER)
     q.awaitTermination()

@@ -43,6 +43,8 @@ PATHS_A_SCAN = 10_000
 COMPRESSED = (".gz", ".bz2", ".deflate", ".zst", ".lz4", ".snappy")
 #: A compressed object above this size is decoded by a scan of its own instead of in one row.
 PROBE_BYTES = 512 << 20
+#: Fields of the lines that one writing task sorts by object (some tens of MB of short texts).
+SORTED_FIELDS = 4_000_000
 
 
 @dataclass
@@ -323,8 +325,17 @@ def to_delimited_line(df: DataFrame, ts_format: str = "yyyy-MM-dd HH:mm:ss.SSSSS
 def write_objects(df: DataFrame, path: str, object_col: str) -> None:
     """Write ``df`` as delimited objects, one folder per ``object_col`` value."""
     body = df.drop(object_col)
-    out = df.select(to_delimited_line(body).alias("value"), F.col(object_col))
-    out.repartition(object_col).write.partitionBy(object_col).mode("error").text(path)
+    write_lines(df.select(to_delimited_line(body).alias("value"), F.col(object_col)), path, object_col, len(body.columns))
+
+
+def write_lines(lines: DataFrame, path: str, object_col: str, fields: int) -> None:
+    """Write delimited lines (``value``) of about ``fields`` fields each, one folder per ``object_col`` value.
+
+    A task sorts its lines by object, so the lines are counted first (without being made) and dealt to as many tasks as
+    keep each at about ``SORTED_FIELDS`` fields. A larger object is still one task.
+    """
+    tasks = max(lines.sparkSession.sparkContext.defaultParallelism, -(-lines.count() * fields // SORTED_FIELDS))
+    lines.repartition(tasks, object_col).write.partitionBy(object_col).mode("error").text(path)
 
 
 def write_manifest(names: DataFrame, manifest: str) -> None:

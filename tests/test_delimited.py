@@ -157,3 +157,22 @@ def test_objects_have_read_times(spark, tmp_path):
     log = D.copy_records(D.file_stats(res), 4)
     assert sorted((r["step"], r["batch_id"], os.path.basename(r["lo"]), r["rows"]) for r in log.collect()) == [("copy", 4, f"o{i}.txt", 50) for i in range(3)]
     assert summarize(log, wall_clock_steps=("copy",)).first()["runs"] == 3
+
+
+def test_a_writing_task_sorts_a_bounded_number_of_fields(spark, tmp_path, monkeypatch):
+    import re
+
+    monkeypatch.setattr(D, "SORTED_FIELDS", 120, raising=False)
+    for rows in (400, 1_600):
+        out = str(tmp_path / f"objs{rows}")
+        df = spark.range(rows).selectExpr("CAST(id AS INT) a", "concat('x', id) b", "CAST(id AS DOUBLE) c", "id div 4 AS obj")
+        D.write_objects(df, out, "obj")
+        back = spark.read.option("basePath", out).text(out).selectExpr("_metadata.file_name AS f", "obj", "value").collect()
+        assert sorted((r.obj, r.value) for r in back) == sorted((i // 4, f"{i},x{i},{float(i)}") for i in range(rows))
+        per_task = {}
+        for r in back:
+            n = re.match(r"part-(\d+)-", r.f)[1]
+            per_task[n] = per_task.get(n, 0) + 1
+        # 40 rows a task on average; hashing objects of 4 rows deals some more to one
+        assert len(per_task) >= rows // 80 and max(per_task.values()) <= 160
+    D.write_objects(spark.range(0).selectExpr("CAST(id AS INT) a", "id AS obj"), str(tmp_path / "none"), "obj")
