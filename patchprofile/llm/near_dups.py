@@ -222,7 +222,7 @@ def _rest(docs: DataFrame, tagged: DataFrame, shared: DataFrame, c: Config) -> D
     """Links between components that share a bucket (``shared``: node, its component, that component's number, and the bucket's least number)."""
     if shared.isEmpty():
         return None
-    group = components(shared.select(F.col("cid").alias("a"), F.col("a").alias("b")).distinct(), "near-groups")
+    group = components(shared.select(F.col("cid").alias("a"), F.col("a").alias("b")), "near-groups")
     members = (shared.select("node", "component", "cid").distinct()
                .join(group.select(F.col("node").alias("cid"), F.col("component").alias("grp")), "cid").drop("cid")
                .join(tagged.select("node", "rep", "n", "sketch"), "node")

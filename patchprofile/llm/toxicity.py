@@ -239,10 +239,10 @@ def fit_texts(toxic: list[str], clean: list[str], c: Config = Config()) -> Model
         return Model(None, np.zeros(0), 0.0)
     toxic, clean = sorted(set(toxic)), sorted(set(clean))  # copies count once
     bad = [[[p for w in s for p in pieces(normal(w))] for s in sentences(t)] for t in toxic]
-    good = [[p for s in sentences(t) for w in s for p in pieces(normal(w))] for t in clean]
     in_bad = Counter(p for d in bad for p in {p for s in d for p in s} if len(p) >= 3)
-    in_good = Counter(p for d in good for p in set(d) if len(p) >= 3)
-    nb, ng = len(bad), len(good)
+    # text by text: the words of all clean ones are never held at once
+    in_good = Counter(p for t in clean for p in {p for s in sentences(t) for w in s for p in pieces(normal(w))} if len(p) >= 3)
+    nb, ng = len(bad), len(clean)
     odds = {p: np.log((n + 0.5) / (nb + 1)) - np.log((in_good[p] + 0.5) / (ng + 1)) for p, n in in_bad.items()}
     tell = [p for p in odds if in_bad[p] >= c.least_texts and odds[p] >= c.least_odds]
     tell = sorted(tell, key=lambda p: (-in_bad[p] * odds[p], p))[: c.telling]
@@ -279,7 +279,8 @@ def fit_texts(toxic: list[str], clean: list[str], c: Config = Config()) -> Model
 
 def _spread(words: list[str], gain: np.ndarray, n: int, decay: float) -> list[str]:
     """Words of high gain that differ from each other."""
-    near = Landmarks(words, decay).kernel(words)
+    # some words at a time: the table of all of them would be the largest thing the driver holds
+    near = np.hstack([Landmarks(words[k : k + 64], decay).kernel(words) for k in range(0, len(words), 64)])
     left, out = gain.copy(), []
     for _ in range(min(n, len(words))):
         i = int(np.argmax(left))
