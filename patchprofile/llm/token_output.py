@@ -19,7 +19,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchprofile.llm.common import by_bytes, id_lists, ids_by_piece, shuffle_partitions, with_offsets
+from patchprofile.llm.common import id_lists, ids_by_piece, one_at_a_time, shuffle_partitions, with_offsets
 
 END_ID = 2
 META = ["doc_id", "n_tokens", "start"]
@@ -145,7 +145,7 @@ _LONGER = "\x00"
 #: Characters of the longest piece that is kept.
 _KEPT = 64
 #: Bytes of text encoded at once.
-_BATCH = 4 << 20
+_BATCH = 2 << 20
 
 
 def _two_byte() -> list[str]:
@@ -185,20 +185,7 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, *, end_id: int = END
     schema = ", ".join(f"`{c}` {dict(tokens='array<int>', n_tokens='bigint', n_tokens_before='bigint').get(c) or kinds[c]}" for c in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, total = encoder(tokenizer), 0
-        for big in batches:
-            for b in by_bytes(big, "text", _BATCH):
-                got = enc.many(b.column("text").cast(pa.string()))
-                n = pa.compute.list_value_length(got).to_numpy().astype(np.int64) + 1
-                ends = np.cumsum(n)
-                flat = np.full(ends[-1] if len(n) else 0, end_id, np.int32)
-                own = np.ones(len(flat), bool)
-                own[ends - 1] = False
-                flat[own] = got.flatten().to_numpy()
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat))
-                made = {"tokens": lists, "n_tokens": pa.array(n), "n_tokens_before": pa.array(ends - n + total)}
-                total += int(ends[-1]) if len(n) else 0
-                yield pa.RecordBatch.from_arrays([made[c] if c in made else b.column(c) for c in names], names=names)
+        return _encoded(batches, encoder(tokenizer), names, end_id)
 
     w = (rows.mapInArrow(run, schema).write.mode("error")
          .option("parquet.writer.version", "PARQUET_2_0").option("parquet.block.size", row_group_mb << 20)
@@ -208,6 +195,30 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str, *, end_id: int = END
     w.parquet(out)
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], enc: Encoder, names: list[str], end_id: int) -> Iterator[pa.RecordBatch]:
+    """Columns ``names`` of each batch's rows, some bytes of text at a time: a task holds one Spark batch and one slice's ids."""
+    total = 0
+    for b in one_at_a_time(batches, "text", _BATCH):
+        got = _with_ids(b, enc, names, end_id, total)
+        del b
+        total += pa.compute.sum(got.column("n_tokens")).as_py()
+        yield got
+        del got
+
+
+def _with_ids(b: pa.RecordBatch, enc: Encoder, names: list[str], end_id: int, total: int) -> pa.RecordBatch:
+    got = enc.many(b.column("text").cast(pa.string()))
+    n = pa.compute.list_value_length(got).to_numpy().astype(np.int64) + 1
+    ends = np.cumsum(n)
+    flat = np.full(ends[-1], end_id, np.int32)
+    own = np.ones(len(flat), bool)
+    own[ends - 1] = False
+    flat[own] = got.flatten().to_numpy()
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat))
+    made = {"tokens": lists, "n_tokens": pa.array(n), "n_tokens_before": pa.array(ends - n + total)}
+    return pa.RecordBatch.from_arrays([made[c] if c in made else b.column(c) for c in names], names=names)
+
+
 def read_meta(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, n_tokens, start`` (ids of all documents before it) without touching the id lists."""
     return _started(spark.read.parquet(path).select("doc_id", "n_tokens", "n_tokens_before", "part")).select(*META)
@@ -224,13 +235,19 @@ def _started(df: DataFrame, path: str | None = None) -> DataFrame:
 
 def checksums(tokens: DataFrame) -> DataFrame:
     """``ids_crc32``: crc32 over a document's ids as little-endian unsigned 32-bit integers."""
-    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
+    return tokens.select("doc_id", "start", "n_tokens", "tokens").mapInArrow(_checked, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+
+
+def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in one_at_a_time(batches):
+        got = _with_crc(b)
+        del b
+        yield got
+        del got
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            lists = b.column("tokens")
-            flat, ends = lists.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False), lists.offsets.to_numpy()
-            crc = [zlib.crc32(flat[i:j]) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("start"), b.column("n_tokens"), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return tokens.select("doc_id", "start", "n_tokens", "tokens").mapInArrow(run, schema)
+def _with_crc(b: pa.RecordBatch) -> pa.RecordBatch:
+    lists = b.column("tokens")
+    flat, ends = lists.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False), lists.offsets.to_numpy()
+    crc = [zlib.crc32(flat[i:j]) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
+    return pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("start"), b.column("n_tokens"), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])

@@ -2,7 +2,11 @@
 
 import random
 import re
+import subprocess
+import sys
 import tracemalloc
+import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +14,8 @@ import pytest
 
 from patchprofile.llm import divergence, queries, token_output, toxicity
 
+ROOT = Path(__file__).parents[2]
+
 
 @pytest.fixture(scope="module", autouse=True)
 def shipped(spark):
@@ -108,3 +114,50 @@ def test_marks_behind_letters_cost_no_encoding_of_the_letters_again(monkeypatch)
     monkeypatch.setattr(e, "unit", lambda p: seen.append(p) or unit(p))
     e.many(pa.array([" ".join("x letters" + m for m in ("", ".", ",", "!!", "&&&", "***", "%%", ":"))]))
     assert [p for p in seen if "letters" in p] == [" letters"]
+
+
+# ---- 1, pipeline: what a worker keeps after its task
+
+KEEPS = """
+import random, sys
+import pyarrow as pa
+from patchprofile.llm import common, token_output
+
+def mb():
+    return sum(int(x.split()[1]) for x in open("/proc/self/smaps_rollup") if x.startswith("Pss_Anon")) / 1024
+
+rng = random.Random(5)
+words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(5_000)]
+texts = [" ".join(rng.choices(words, k=4_000)) for _ in range(60)]
+
+def batches():
+    for k in range(8):
+        yield pa.RecordBatch.from_pydict({"doc_id": list(range(240)), "text": texts * 4, "part": [0] * 240})
+
+enc = token_output.Encoder(sys.argv[1])
+enc.many(pa.array(texts[:5]))
+common.word_hashes([b"word"])
+start = mb()
+n = sum(b.num_rows for b in token_output._encoded(batches(), enc, ["doc_id", "tokens", "n_tokens", "n_tokens_before", "part"], 2))
+print(n, len(common._HASHES), round(mb() - start))
+"""
+
+
+def test_a_worker_gives_back_the_memory_of_its_batches():
+    # 48 MB of text, 6 MB a batch, whose every word is known: nothing of it has to stay
+    got = subprocess.run([sys.executable, "-c", KEEPS, queries.tokenizer_path()], cwd=ROOT, capture_output=True, text=True, check=True, timeout=120)
+    n, hashes, kept = map(int, got.stdout.split())
+    assert (n, hashes) == (1_920, 0)
+    assert kept < 25
+
+
+def test_a_batch_is_dropped_before_the_next_is_read():
+    held = []
+
+    def batches():
+        for k in range(4):
+            held.append(pa.total_allocated_bytes())
+            yield pa.RecordBatch.from_pydict({"doc_id": [k], "start": [0], "n_tokens": [500_000], "tokens": pa.array([[k] * 500_000], pa.list_(pa.int32()))})
+
+    assert [b.column("ids_crc32").to_pylist() for b in token_output._checked(batches())] == [[zlib.crc32(np.full(500_000, k, "<u4"))] for k in range(4)]
+    assert max(held) - held[0] < 100_000
